@@ -52,17 +52,22 @@ def _grid(shapes: DataFrame) -> tuple[float, float, int]:
     if not mean["n"]:
         return 1.0, 1.0, 0
     width, height = mean["w"] or 1.0, mean["h"] or 1.0
-    sizes = []
-    for i, g in enumerate(_GROWTH):
-        cells = (_cell(F.col("x1"), width * g) - _cell(F.col("x0"), width * g) + 1) * (
-            _cell(F.col("y1"), height * g) - _cell(F.col("y0"), height * g) + 1
+    w, h = F.col("growth") * width, F.col("growth") * height
+    cells = (F.floor(F.col("x1") / w) - F.floor(F.col("x0") / w) + 1) * (
+        F.floor(F.col("y1") / h) - F.floor(F.col("y0") / h) + 1
+    )
+    sizes = (
+        shapes.select("*", F.explode(F.lit(_GROWTH)).alias("growth"))
+        .groupBy("growth")
+        .agg(
+            F.sum(cells).alias("cells"),
+            F.sum(cells * (F.size("edges") * _EDGE_BYTES + _ENTRY_BYTES)).alias("bytes"),
         )
-        sizes.append(F.sum(cells).alias(f"cells{i}"))
-        sizes.append(F.sum(cells * (F.size("edges") * _EDGE_BYTES + _ENTRY_BYTES)).alias(f"bytes{i}"))
-    total = shapes.agg(*sizes).first()
-    fits = (i for i in range(len(_GROWTH)) if total[f"cells{i}"] <= CELLS_PER_AREA * mean["n"])
-    i = next(fits, len(_GROWTH) - 1)
-    return width * _GROWTH[i], height * _GROWTH[i], total[f"bytes{i}"]
+        .orderBy("growth")
+        .collect()  # one row per entry of _GROWTH
+    )
+    size = next((s for s in sizes if s["cells"] <= CELLS_PER_AREA * mean["n"]), sizes[-1])
+    return width * size["growth"], height * size["growth"], size["bytes"]
 
 
 def append_areas(

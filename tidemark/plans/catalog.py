@@ -85,7 +85,7 @@ def _by_window(size: str, keys: str, result: str, rows: str = "first") -> str:
 
 
 _COUNT = "count(*) AS count"
-_SPEED = "round(avg(value), 6) AS speed"
+_SPEED = "avg(round(value * 100)) AS speed"
 
 _TRAFFIC = """
 SELECT user_id::VARCHAR AS "vehicleId", event_type AS "vehicleType",
@@ -132,7 +132,7 @@ AND l_tax BETWEEN 0.01::DOUBLE AND 0.08::DOUBLE AND l_discount BETWEEN 0.01::DOU
 
 def _ride_fare(condition: str = "true") -> str:
     return f"""
-    SELECT o_orderdate AS "startTime", o_totalprice AS "totalFare", o_totalprice AS tip,
+    SELECT o_orderdate AS "startTime", o_totalprice AS "totalFare", round(o_totalprice * 100) AS tip,
            l_orderkey AS "rideId", l_shipdate AS "endTime", l_suppkey AS "driverId", l_partkey AS "taxiId",
            l_discount AS "startLon", l_tax AS "startLat", l_tax AS "endLon", l_discount AS "endLat"
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey
@@ -183,7 +183,7 @@ days AS (SELECT *, (epoch_us("endTime") // 86400000000)::BIGINT AS day FROM enri
 placed AS (SELECT "stopNbhd", tip, day - day % 10 - 10 * i AS first_day FROM days, range(3) AS r(i))
 SELECT TIMESTAMP '1970-01-01' + to_days(first_day::INTEGER) AS window_start,
        TIMESTAMP '1970-01-01' + to_days(first_day::INTEGER + 30) AS window_end,
-       "stopNbhd", round(avg(tip), 4) AS tip
+       "stopNbhd", avg(tip) AS tip
 FROM placed GROUP BY first_day, "stopNbhd"
 """
 
@@ -248,7 +248,8 @@ ORACLES: dict[str, str] = {
     "traffic_decode_stream": _TRAFFIC,
     "envelope_passthrough": _ENVELOPE,
     "vehicle_dedup": f"""{_READINGS}
-        SELECT user_id AS "vehicleId", ts AS "eventTime", event_id AS "readingId", "vehicleType", value AS speed
+        SELECT user_id AS "vehicleId", ts AS "eventTime", event_id AS "readingId", "vehicleType",
+               round(value * 100) AS speed
         FROM first""",
     "type_count": _by_key('"vehicleType"', _COUNT),
     "type_count_stream": _by_key('"vehicleType"', _COUNT, "readings"),

@@ -61,4 +61,4 @@ def session_events_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Events of the sessions that processing the whole table as one batch closes."""
     events = decode_user_events(_lines(read_table_stream(spark, folder, "events")))
     closed = processing_time_sessions(events, row_per_event=True)
-    return run_to_table(closed, "update").drop("batch_id")
+    return run_to_table(closed, "update", one_batch=True).drop("batch_id")

@@ -68,6 +68,7 @@ def run_to_table(
     folder: str | None = None,
     state_partitions: int | None = None,
     timeout: float | None = None,
+    one_batch: bool = False,
 ) -> DataFrame:
     """Run a stream over all the data there is now, and return what it wrote as a table.
 
@@ -75,12 +76,14 @@ def run_to_table(
     second call with the same folder takes up where the first one stopped. In append mode the table
     has the stream's columns. In complete mode it is the last state of the result. In update mode it
     has one more column, ``batch_id``, and every version of every row; see ``latest_per_key``.
+
+    A query with timers on the clock would wait for them for ever; ``one_batch`` ends it after one batch.
     """
     spark = df.sparkSession
     folder = folder or new_folder(spark, "stream")
     out = f"{folder}/out"
-    writer = df.writeStream.outputMode(mode).trigger(availableNow=True)
-    writer = writer.option("checkpointLocation", f"{folder}/checkpoint")
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
+    writer = writer.trigger(once=True) if one_batch else writer.trigger(availableNow=True)
     with _settings(spark, state_settings(spark, state_partitions)):
         if mode == "append":
             query = writer.format("parquet").option("path", out).start()

@@ -59,12 +59,13 @@ class BatchSessions(StatefulProcessor):
         yield from self._close(key, "timeout")
 
     def _close(self, key, closed_by: str) -> Iterator[Row]:
-        events = (Row(userId=e[0], time=e[1], page=e[2], isLast=e[3]) for e in self._events.get())
+        events = (dict(zip(USER_EVENT.fieldNames(), e)) for e in self._events.get())
         if self._row_per_event:
             for event in events:
-                yield Row(*event, closed_by)
+                yield Row(**event, closed_by=closed_by)
         else:
-            yield Row(userId=key[0], userEvents=list(events), closed_by=closed_by)
+            listed = [Row(**event) for event in events]
+            yield Row(userId=key[0], userEvents=listed, closed_by=closed_by)
         self._events.clear()
 
 

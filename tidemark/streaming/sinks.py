@@ -1,5 +1,7 @@
 """Sinks. Each starts its query and returns the handle."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -51,20 +53,25 @@ def to_parquet_lake(
     path: str,
     checkpoint: str,
     ts: str = "startTime",
+    by: Sequence[str] = DATE_PARTS,
     name: str | None = None,
     every: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Append to parquet files in ``year=/month=/day=`` folders, exactly once across restarts."""
+    """Append to parquet files in ``year=/month=/day=`` folders, exactly once across restarts.
+
+    Where days are small, ``by`` can be just the year and month: every folder a task writes to costs a
+    file. ``year``, ``month`` and ``day`` are columns in any case.
+    """
     writer = _writer(with_date_parts(df, ts), name, "append", checkpoint, every, available_now)
-    return writer.format("parquet").option("path", path).partitionBy(*DATE_PARTS).start()
+    return writer.format("parquet").option("path", path).partitionBy(*by).start()
 
 
-def write_lake(df: DataFrame, path: str, ts: str = "startTime") -> None:
+def write_lake(df: DataFrame, path: str, ts: str = "startTime", by: Sequence[str] = DATE_PARTS) -> None:
     """Write a table the way ``to_parquet_lake`` lays out a stream.
 
-    Rows of a day are brought together, so that a day gets few files; a day too large for one task is
-    split by adaptive execution.
+    Rows of a folder are brought together, so that it gets few files; a folder too large for one task
+    is split by adaptive execution.
     """
     parts = with_date_parts(df, ts)
-    parts.hint("rebalance", *DATE_PARTS).write.partitionBy(*DATE_PARTS).parquet(path)
+    parts.hint("rebalance", *by).write.partitionBy(*by).parquet(path)
