@@ -19,14 +19,16 @@ def parse_java_date(text: Column | str, zones: Mapping[str, str] = DEFAULT_ZONES
     The day name is not looked at. The zone goes through ``zones`` because an abbreviation by itself
     is ambiguous; one that is not listed gives NULL rather than a guess.
     """
-    text = F.col(text) if isinstance(text, str) else text
-    part = F.split(F.trim(text), " +")
+    text = F.trim(F.col(text) if isinstance(text, str) else text)
+    space = F.lit(" ")
+    clock = F.substring_index(text, " ", 4)
+    zone = F.substring_index(F.substring_index(text, " ", -2), " ", 1)
+    year = F.substring_index(text, " ", -1)
     offset = F.lit(None).cast("string")
     for name, value in zones.items():
-        offset = F.when(F.get(part, F.lit(4)) == name, value).otherwise(offset)
-    # concat is NULL as soon as one piece is missing or the zone is unknown.
-    readable = F.concat(
-        F.get(part, F.lit(1)), F.lit(" "), F.get(part, F.lit(2)), F.lit(" "),
-        F.get(part, F.lit(3)), F.lit(" "), offset, F.lit(" "), F.get(part, F.lit(5)),
-    )
-    return F.when(F.size(part) == 6, F.try_to_timestamp(readable, F.lit("MMM d HH:mm:ss XXX yyyy")))
+        offset = F.when(zone == name, value).otherwise(offset)
+    # concat is NULL where the zone is unknown.
+    without_day = F.substr(clock, F.instr(clock, " ") + 1)
+    readable = F.concat(without_day, space, offset, space, year)
+    whole = F.concat(clock, space, zone, space, year) == text
+    return F.when(whole, F.try_to_timestamp(readable, F.lit("MMM d HH:mm:ss XXX yyyy")))

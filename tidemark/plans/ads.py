@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import interval_join
-from tidemark.sources import as_wall_clock, read_table, read_table_stream
+from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_table, read_table_stream
 from tidemark.streaming import run_to_table
 
 CLICK_BOUND = "6 hours"
@@ -42,7 +42,8 @@ def ad_click_interval_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ad_click_join_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return as_wall_clock(run_to_table(_join(read_table_stream(spark, folder, "events"))))
+    events = read_table_stream(spark, folder, "events", FILES_PER_BATCH)
+    return as_wall_clock(run_to_table(_join(events)))
 
 
 def ad_click_interval_join_stream(spark: SparkSession, folder: str) -> DataFrame:

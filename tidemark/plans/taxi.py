@@ -17,7 +17,7 @@ from tidemark.operators import (
     within_bbox,
 )
 from tidemark.schemas import AREA
-from tidemark.sources import as_wall_clock, read_table, read_table_stream
+from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_table, read_table_stream
 from tidemark.streaming import await_query, run_to_table, scratch_folder, to_parquet_lake
 
 TOWN = BoundingBox(west=0.01, east=0.08, south=0.01, north=0.07)
@@ -152,7 +152,8 @@ def neighbourhoods_shuffled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def neighbourhoods_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return run_to_table(_in_regions(_points(read_table_stream(spark, folder, "embeddings"))))
+    embeddings = read_table_stream(spark, folder, "embeddings", FILES_PER_BATCH)
+    return run_to_table(_in_regions(_points(embeddings)))
 
 
 # --- Messages and files ---------------------------------------------------------------------------
@@ -170,14 +171,14 @@ def delimited_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def delimited_decode_stream(spark: SparkSession, folder: str) -> DataFrame:
-    lines, schema = _order_lines(read_table_stream(spark, folder, "orders"))
+    lines, schema = _order_lines(read_table_stream(spark, folder, "orders", FILES_PER_BATCH))
     return as_wall_clock(run_to_table(decode_delimited(lines, schema)))
 
 
 def lake_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Orders streamed into files by month; the folders of one year are read back."""
     base = scratch_folder(spark, "lake")
-    orders = read_table_stream(spark, folder, "orders")
+    orders = read_table_stream(spark, folder, "orders", FILES_PER_BATCH)
     query = to_parquet_lake(
         orders, f"{base}/data", f"{base}/checkpoint", "o_orderdate", ("year", "month"), available_now=True
     )

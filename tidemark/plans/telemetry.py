@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import parse_java_date
 from tidemark.operators import avg_by, count_by, decode_json, dedup, windowed_avg, windowed_count
 from tidemark.schemas import TRAFFIC
-from tidemark.sources import as_wall_clock, pack_envelope, read_table, read_table_stream
+from tidemark.sources import (
+    FILES_PER_BATCH,
+    as_wall_clock,
+    pack_envelope,
+    read_table,
+    read_table_stream,
+)
 from tidemark.streaming import latest_per_key, run_to_table
 
 _ROUTE = "get_json_object(props, '$.k')"
@@ -89,8 +95,11 @@ def route_window_count_watermark(spark: SparkSession, folder: str) -> DataFrame:
 # The streams therefore de-duplicate readings, not vehicles, so that their results are determined.
 
 
-def _reading_stream(spark: SparkSession, folder: str, *fields: str) -> DataFrame:
-    readings = _readings(read_table_stream(spark, folder, "events"), "readingId", "eventTime", *fields)
+def _reading_stream(
+    spark: SparkSession, folder: str, *fields: str, files: int | None = FILES_PER_BATCH
+) -> DataFrame:
+    events = read_table_stream(spark, folder, "events", files)
+    readings = _readings(events, "readingId", "eventTime", *fields)
     return dedup(readings, ["readingId"])
 
 
@@ -108,7 +117,8 @@ def type_window_count_watermark_stream(spark: SparkSession, folder: str) -> Data
 
 
 def route_window_count_watermark_stream(spark: SparkSession, folder: str) -> DataFrame:
-    readings = _reading_stream(spark, folder, "routeId")
+    # All files in one batch: in update mode a file of earlier events would be late in the next one.
+    readings = _reading_stream(spark, folder, "routeId", files=None)
     counts = windowed_count(readings, "eventTime", "1 hour", ["routeId"], delay="1 minute")
     updates = run_to_table(counts, "update")
     return as_wall_clock(latest_per_key(updates, ["window_start", "window_end", "routeId"]))
@@ -168,7 +178,7 @@ def traffic_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def traffic_decode_stream(spark: SparkSession, folder: str) -> DataFrame:
-    stream = _decoded(_traffic_topic(read_table_stream(spark, folder, "events")))
+    stream = _decoded(_traffic_topic(read_table_stream(spark, folder, "events", FILES_PER_BATCH)))
     return as_wall_clock(run_to_table(stream))
 
 
@@ -184,7 +194,7 @@ def decoded_type_window_count(spark: SparkSession, folder: str) -> DataFrame:
 def envelope_passthrough(spark: SparkSession, folder: str) -> DataFrame:
     """Records go through undecoded; the bytes are shown as hexadecimal digits."""
     envelope = pack_envelope(
-        read_table_stream(spark, folder, "events"),
+        read_table_stream(spark, folder, "events", FILES_PER_BATCH),
         topic="events",
         value=F.col("props"),
         timestamp=F.col("ts"),

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import word_count as count_words
-from tidemark.sources import read_table, read_table_stream
+from tidemark.sources import FILES_PER_BATCH, read_table, read_table_stream
 from tidemark.streaming import latest_per_key, run_to_table, word_count_per_batch as count_each_batch
 
 
@@ -12,12 +12,13 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return run_to_table(count_words(read_table_stream(spark, folder, "documents"), "text"), "complete")
+    documents = read_table_stream(spark, folder, "documents", FILES_PER_BATCH)
+    return run_to_table(count_words(documents, "text"), "complete")
 
 
 def word_count_update(spark: SparkSession, folder: str) -> DataFrame:
-    counts = count_words(read_table_stream(spark, folder, "documents"), "text")
-    return latest_per_key(run_to_table(counts, "update"), ["value"])
+    documents = read_table_stream(spark, folder, "documents", FILES_PER_BATCH)
+    return latest_per_key(run_to_table(count_words(documents, "text"), "update"), ["value"])
 
 
 def word_count_per_batch(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,9 +1,16 @@
 from tidemark.sources.areas import read_areas
 from tidemark.sources.kafka import kafka_options, pack_envelope, read_kafka
 from tidemark.sources.lines import read_lines, read_socket
-from tidemark.sources.tables import as_instants, as_wall_clock, read_table, read_table_stream
+from tidemark.sources.tables import (
+    FILES_PER_BATCH,
+    as_instants,
+    as_wall_clock,
+    read_table,
+    read_table_stream,
+)
 
 __all__ = [
+    "FILES_PER_BATCH",
     "as_instants",
     "as_wall_clock",
     "kafka_options",

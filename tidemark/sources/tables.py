@@ -4,6 +4,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A limit on the files of one micro-batch that keeps a batch of a large table within bounds.
+FILES_PER_BATCH = 1000
+
 
 def _recast(df: DataFrame, source: type, target: str) -> DataFrame:
     return df.select(
@@ -31,7 +34,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def read_table_stream(
     spark: SparkSession, folder: str, name: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Stream a table stored either as one parquet file or as a folder of part files."""
+    """Stream a table stored either as one parquet file or as a folder of part files.
+
+    Limit the files per trigger where watermarks allow it: parts of a table need not be in order of time.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:

@@ -3,9 +3,11 @@
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.checkpoints import new_folder
 from tidemark.operators.words import word_count
@@ -87,16 +89,30 @@ def run_to_table(
     with _settings(spark, state_settings(spark, state_partitions)):
         if mode == "append":
             query = writer.format("parquet").option("path", out).start()
-        else:
+        elif mode == "update":
             query = writer.foreachBatch(_save_batch(out)).start()
+        else:
+            query = writer.foreachBatch(_save(out)).start()
     await_query(query, timeout)
-    if mode == "append":
-        return spark.read.schema(df.schema).parquet(out)
-    batches = spark.read.schema(df.schema.add("batch_id", "long")).option("basePath", out).parquet(f"{out}/*")
     if mode == "update":
-        return batches
-    last = batches.agg(F.max("batch_id")).first()[0]
-    return batches.where(F.col("batch_id") == last).drop("batch_id")
+        return _batches(spark, df.schema, out)
+    return _read(spark, df.schema, out)
+
+
+def _read(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # there was no data and so no batch
+
+
+def _save(out: str):
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    return save
 
 
 def _save_batch(out: str):
@@ -107,6 +123,11 @@ def _save_batch(out: str):
     return save
 
 
+def _batches(spark: SparkSession, schema: StructType, out: str) -> DataFrame:
+    schema = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return _read(spark, schema, out)
+
+
 def latest_per_key(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last version of each row of an update-mode result."""
     rest = [c for c in updates.columns if c not in keys and c != "batch_id"]
@@ -127,5 +148,5 @@ def word_count_per_batch(lines: DataFrame, column: str = "value", folder: str |
         .start()
     )
     await_query(query)
-    schema = "value string, count long, batch_id long"
-    return spark.read.schema(schema).option("basePath", out).parquet(f"{out}/*")
+    schema = StructType().add("value", "string").add("count", "long")
+    return _batches(spark, schema, out)
