@@ -7,18 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.
+    """The folder all executors share: ``spark.checkpoint.dir``, or else the application's checkpoint folder.
 
-    Where that is not set a local session gets a temporary folder; a cluster has to name one.
+    Where neither is set a local session gets a temporary folder; a cluster has to name one.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -28,7 +29,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of ``df``, computed once and kept in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
