@@ -93,6 +93,25 @@ def test_bucketing_spreads_one_key_over_the_shuffle(spark, conf):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_frequent_keys_of_an_open_ended_join_are_split(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1KB")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "40")
+    rng = random.Random(8)
+    left, right = (
+        [(1 if i % 3 == 0 else rng.randint(2, 500), START + dt.timedelta(minutes=rng.randint(0, 90)), i) for i in range(n)]
+        for n in (3000, 300)
+    )
+    left_df, right_df = frames(spark, left, right)
+    joined = join(left_df.repartition(8), right_df.repartition(8))
+    got = joined.agg(F.count("*"), F.sum("l"), F.sum("r"))
+    want = brute_force(left, right)
+    assert tuple(got.collect()[0]) == (len(want), sum(p[0] for p in want), sum(p[1] for p in want))
+    assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def stream_of(spark, folder, rows, schema, name):
     """A stream of the rows in three files, in order of time."""
     path = f"{folder}/{name}"

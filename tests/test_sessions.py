@@ -95,10 +95,22 @@ def test_as_of(spark):
     assert summarize_sessions(df, "user", "ts", f"{GAP} seconds", "last", later).first().closed_by == "timeout"
 
 
-def test_gap_alone(spark):
-    events = [(u, t, i, False) for u, t, i, _ in random_events(3) if u is not None]
-    got = gap_sessions(spark.createDataFrame(events, SCHEMA), "user", "ts", f"{GAP} seconds").collect()
-    assert sorted(map(tuple, got)) == sorted(s[:4] for s in brute_force(events)[1])
+@pytest.mark.parametrize("max_rows", [10**9, 50])
+def test_gap_alone(spark, max_rows):
+    events = [(u, t, i, False) for u, t, i, _ in random_events(3)]
+    events += [(1, START, 1000 + i, False) for i in range(200)]  # copies
+    df = spark.createDataFrame(events, SCHEMA)
+    got = gap_sessions(df, "user", "ts", f"{GAP} seconds", max_rows_per_task=max_rows).collect()
+    assert sorted(map(key, got)) == sorted(key(s[:4]) for s in brute_force(events)[1])
+
+
+def test_gap_alone_on_a_stream(spark, tmp_path):
+    events = [(u, t, i, False) for u, t, i, _ in random_events(3, 200) if u is not None]
+    stream = event_stream(spark, tmp_path / "in", [events])
+    got = run_to_table(gap_sessions(stream, "user", "ts", f"{GAP} seconds", delay="0 seconds")).collect()
+    # a session window is closed when the watermark is at its end
+    want = [key(s[:4]) for s in brute_force(events)[1] if s[4] == "timeout"]
+    assert sorted(map(key, got)) == sorted(want)
 
 
 # --- By event time --------------------------------------------------------------------------------

@@ -174,6 +174,17 @@ def test_complete_mode_equals_the_table(spark, tmp_path, readings):
     assert rows(run_to_table(counts, "complete")) == rows(want)
 
 
+def test_dedup_of_frequent_keys(spark, tmp_path):
+    blocks = traffic_blocks()
+    blocks[0] = blocks[0] * 5 + ["no reading", "no reading either"]
+    stream = replay(spark, tmp_path, blocks)
+    plain = run_to_table(dedup(stream, ["vehicleId"]))
+    reduced = run_to_table(dedup(stream, ["vehicleId"], frequent_keys=True))
+    assert reduced.schema == plain.schema and rows(reduced) == rows(plain)
+    assert reduced.count() == plain.count() == 19
+    assert run_to_table(dedup(stream, ["vehicleId"], "eventTime", delay="1 minute", frequent_keys=True)).count() >= 16
+
+
 def test_dedup_with_bounded_memory(spark, tmp_path):
     again = traffic_line("v0-0", ("Private Car", "43", "17:20:28", 73, 14))
     stream = replay(spark, tmp_path, [traffic_blocks()[0], [again]])

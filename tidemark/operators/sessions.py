@@ -68,6 +68,39 @@ def _number_sliced(
     return rows.join(base, same).select(*df.columns, (F.col("__base") + F.col("__local")).alias("session_no"))
 
 
+def _heavy_keys(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, int]:
+    """Keys with more than ``max_rows`` rows, of which there are few, and how many rows they have."""
+    heavy = checkpointed(
+        df.groupBy(F.col(key).alias("__key"))
+        .agg(F.count("*").alias("__rows"))
+        .where(F.col("__rows") > max_rows)
+    )
+    return heavy.select("__key"), heavy.agg(F.sum("__rows")).first()[0] or 0
+
+
+def _number(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    tiebreak: Sequence[str],
+    gap: str,
+    last_flag: str,
+    heavy: tuple[DataFrame, int],
+    max_rows: int,
+) -> DataFrame:
+    keys, total = heavy
+    if total == 0:
+        return _number_plain(df, key, ts, tiebreak, gap, last_flag)
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    # There are at most (all rows) / max_rows heavy keys.
+    keys = F.broadcast(keys)
+    light, rest = df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
+    slices = -(-total // max_rows) + 1
+    return _number_plain(light, key, ts, tiebreak, gap, last_flag).unionByName(
+        _number_sliced(rest, key, ts, tiebreak, gap, last_flag, slices)
+    )
+
+
 def sessionize(
     df: DataFrame,
     key: str,
@@ -86,23 +119,8 @@ def sessionize(
     Keys with more than ``max_rows_per_task`` rows are looked for first, and are cut into slices.
     """
     df = df.where(F.col(ts).isNotNull())
-    heavy = checkpointed(
-        df.groupBy(F.col(key).alias("__key"))
-        .agg(F.count("*").alias("__rows"))
-        .where(F.col("__rows") > max_rows_per_task)
-    )
-    total = heavy.agg(F.sum("__rows")).first()[0]
-    if total is None:
-        return _number_plain(df, key, ts, tiebreak, gap, last_flag)
-    # There are at most (rows of df) / max_rows_per_task heavy keys.
-    same = F.col(key).eqNullSafe(F.col("__key"))
-    keys = F.broadcast(heavy.select("__key"))
-    slices = -(-total // max_rows_per_task) + 1
-    light = _number_plain(df.join(keys, same, "left_anti"), key, ts, tiebreak, gap, last_flag)
-    sliced = _number_sliced(
-        df.join(keys, same, "left_semi"), key, ts, tiebreak, gap, last_flag, slices
-    )
-    return light.unionByName(sliced)
+    heavy = _heavy_keys(df, key, max_rows_per_task)
+    return _number(df, key, ts, tiebreak, gap, last_flag, heavy, max_rows_per_task)
 
 
 def summarize_sessions(
@@ -131,15 +149,33 @@ def summarize_sessions(
     )
 
 
-def gap_sessions(df: DataFrame, key: str, ts: str, gap: str, delay: str | None = None) -> DataFrame:
-    """Sessions ended by a gap alone, on tables and on streams, by Spark's own session windows.
+def gap_sessions(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    gap: str,
+    delay: str | None = None,
+    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+) -> DataFrame:
+    """Sessions ended by a gap alone, on tables and on streams.
 
-    Sessions are merged within each task before the shuffle as far as Spark can.
+    A stream goes through Spark's session windows. Those bring all rows of a key together, so a table
+    goes through ``sessionize``, after events of one key at one time have been counted.
     """
     if delay is not None:
         df = df.withWatermark(ts, delay)
+    if df.isStreaming:
+        return (
+            df.groupBy(F.session_window(ts, gap), key)
+            .agg(F.max(ts).alias("session_end"), F.count("*").alias("n_events"))
+            .select(key, F.col("session_window.start").alias("session_start"), "session_end", "n_events")
+        )
+    df = df.where(F.col(ts).isNotNull())
+    heavy = _heavy_keys(df, key, max_rows_per_task)
+    moments = df.groupBy(key, ts).agg(F.count("*").alias("__n"), F.lit(False).alias("__last"))
+    numbered = _number(moments, key, ts, (), gap, "__last", heavy, max_rows_per_task)
     return (
-        df.groupBy(F.session_window(ts, gap), key)
-        .agg(F.max(ts).alias("session_end"), F.count("*").alias("n_events"))
-        .select(key, F.col("session_window.start").alias("session_start"), "session_end", "n_events")
+        numbered.groupBy(key, "session_no")
+        .agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.sum("__n").alias("n_events"))
+        .drop("session_no")
     )

@@ -9,6 +9,8 @@ from tidemark.streaming import run_to_table
 
 CLICK_BOUND = "6 hours"
 DELAY = "10 minutes"
+# Tasks that the impressions of one ad are spread over in a stream; each keeps all clicks on the ad.
+SALT = 4
 
 
 def _impressions(events: DataFrame) -> DataFrame:
@@ -26,10 +28,10 @@ def _clicks(events: DataFrame) -> DataFrame:
     )
 
 
-def _join(events: DataFrame, **bounds: str) -> DataFrame:
+def _join(events: DataFrame, **how: str | int) -> DataFrame:
     return interval_join(
         _impressions(events), _clicks(events),
-        "impressionAdId", "clickAdId", "impressionTime", "clickTime", **bounds,
+        "impressionAdId", "clickAdId", "impressionTime", "clickTime", **how,
     )
 
 
@@ -43,7 +45,7 @@ def ad_click_interval_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def ad_click_join_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table_stream(spark, folder, "events", FILES_PER_BATCH)
-    return as_wall_clock(run_to_table(_join(events)))
+    return as_wall_clock(run_to_table(_join(events, salt=SALT)))
 
 
 def ad_click_interval_join_stream(spark: SparkSession, folder: str) -> DataFrame:

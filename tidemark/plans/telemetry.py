@@ -17,28 +17,31 @@ from tidemark.streaming import latest_per_key, run_to_table
 
 _ROUTE = "get_json_object(props, '$.k')"
 
+# Each field of a reading: the column it is in, and how to get at it.
 _READING = {
-    "readingId": "event_id",
-    "vehicleId": "user_id",
-    "vehicleType": "event_type",
-    "routeId": _ROUTE,
-    "eventTime": "ts",
+    "readingId": ("event_id", "event_id"),
+    "vehicleId": ("user_id", "user_id"),
+    "vehicleType": ("event_type", "event_type"),
+    "routeId": ("props", _ROUTE),
+    "eventTime": ("ts", "ts"),
     # In hundredths: sums of whole numbers are exact in any order, sums of other doubles are not.
-    "speed": "round(value * 100)",
+    "speed": ("value", "round(value * 100)"),
 }
 
 
 def _readings(events: DataFrame, *fields: str) -> DataFrame:
-    # Only what the query needs: these rows are kept whole by the de-duplication.
-    return events.selectExpr(*(f"{_READING[f]} AS {f}" for f in fields))
+    return events.selectExpr(*(f"{_READING[f][1]} AS {f}" for f in fields))
 
 
 def _first_readings(spark: SparkSession, folder: str, *fields: str) -> DataFrame:
-    """The first reading of each vehicle."""
-    readings = _readings(
-        read_table(spark, folder, "events"), "vehicleId", "eventTime", "readingId", *fields
-    )
-    return dedup(readings, ["vehicleId"], "eventTime", ["readingId"])
+    """The first reading of each vehicle.
+
+    Only the columns the query needs go through the de-duplication, and only the rows that are left
+    of them are parsed.
+    """
+    fields = ("vehicleId", "eventTime", "readingId", *fields)
+    events = read_table(spark, folder, "events").select(*(_READING[f][0] for f in fields))
+    return _readings(dedup(events, ["user_id"], "ts", ["event_id"]), *fields)
 
 
 def type_count(spark: SparkSession, folder: str) -> DataFrame:

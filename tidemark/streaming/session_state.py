@@ -100,7 +100,9 @@ def processing_time_sessions(
 
 
 _WAITING = T.StructType().add("ts", "long").add("tie", "long").add("last", "boolean")
-_OPEN = T.StructType().add("start", "long").add("end", "long").add("n", "long")
+_PROGRESS = (
+    T.StructType().add("start", "long").add("end", "long").add("n", "long").add("timer", "long")
+)
 
 
 class EventTimeSessions(StatefulProcessor):
@@ -108,6 +110,9 @@ class EventTimeSessions(StatefulProcessor):
 
     So the result does not depend on how the stream is cut into micro-batches. An open session is kept
     as its span and its number of events. All times are microseconds.
+
+    Every call to the state is a message to the JVM, so new events are only put down; the rest is done
+    when the key's one timer fires, which is set to the first moment at which anything can happen.
     """
 
     def __init__(self, gap: int):
@@ -116,7 +121,8 @@ class EventTimeSessions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._waiting = handle.getListState("waiting", _WAITING)
-        self._open = handle.getValueState("open", _OPEN)
+        # the open session, if there is one, and the time of the timer
+        self._progress = handle.getValueState("progress", _PROGRESS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
@@ -124,16 +130,20 @@ class EventTimeSessions(StatefulProcessor):
         new = [(r.micros, r.tie, r.last) for r in rows if r.micros > watermark]
         if new:
             self._waiting.appendList(new)
-        yield from self._advance(key, watermark)
+            first, progress = min(new)[0], self._progress.get()
+            if progress is None:
+                self._set_timer(None, None, first)
+            elif first < progress[3]:
+                self._set_timer(progress[:3], progress[3], first)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000)
-
-    def _advance(self, key, watermark: int) -> Iterator[Row]:
-        waiting = [tuple(w) for w in self._waiting.get()] if self._waiting.exists() else []
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = [tuple(w) for w in self._waiting.get()]
         due = sorted(w for w in waiting if w[0] <= watermark)
         left = [w for w in waiting if w[0] > watermark]
-        session = tuple(self._open.get()) if self._open.exists() else None
+        start, end, n, _ = self._progress.get()
+        session = None if start is None else (start, end, n)
 
         for ts, _, last in due:
             if session is not None and ts - session[1] > self._gap:
@@ -151,23 +161,27 @@ class EventTimeSessions(StatefulProcessor):
             self._waiting.put(left)
         elif due:
             self._waiting.clear()
-        if session is None:
-            self._open.clear()
+        times = [min(left)[0]] if left else []
+        if session is not None:
+            times.append(session[1] + self._gap)
+        if times:
+            self._set_timer(session, None, min(times))
         else:
-            self._open.update(session)
-        self._set_timer(left, session)
+            self._progress.clear()
 
     def _closed(self, key, session: tuple[int, int, int], closed_by: str) -> Row:
         start, end, n = session
         return Row(key=key[0], session_start=start, session_end=end, n_events=n, closed_by=closed_by)
 
-    def _set_timer(self, left: list, session: tuple[int, int, int] | None) -> None:
-        _forget_timers(self._handle)
-        times = [min(left)[0]] if left else []
-        if session is not None:
-            times.append(session[1] + self._gap)
-        if times:
-            self._handle.registerTimer(-(-min(times) // 1000))
+    def _set_timer(self, session: tuple | None, before: int | None, at: int) -> None:
+        if before is not None:
+            self._handle.deleteTimer(_millis(before))
+        self._handle.registerTimer(_millis(at))
+        self._progress.update((*(session or (None, None, None)), at))
+
+
+def _millis(micros: int) -> int:
+    return -(-micros // 1000)
 
 
 def event_time_sessions(
