@@ -74,9 +74,9 @@ def decode_user_events(df: DataFrame, on_malformed: str = "fail", column: str =
         fields = fields.where(_is_user_event())
     elif on_malformed == "fail":
         complaint = F.concat(F.lit("malformed user event: "), F.coalesce("__line", F.lit("NULL")))
-        # raise_error sits in the id column so that it is evaluated for every line.
-        checked = F.when(_is_user_event(), F.col("userId")).otherwise(F.raise_error(complaint).cast("int"))
-        fields = fields.withColumn("userId", checked)
+        # A filter, so that lines are checked whichever columns are used later.
+        checked = F.when(_is_user_event(), True).otherwise(F.raise_error(complaint).cast("boolean"))
+        fields = fields.where(checked)
     else:
         raise ValueError(f"on_malformed must be 'fail' or 'quarantine', not {on_malformed!r}")
     return fields.select(*_USER_EVENT_COLUMNS)

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.checkpoints import checkpointed
@@ -17,6 +17,10 @@ def _starts(ts: Column, flag: Column, prev_ts: Column, prev_flag: Column, gap: s
     return prev_ts.isNull() | apart | F.coalesce(prev_flag, F.lit(False))
 
 
+def _so_far(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _number_plain(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str], gap: str, last_flag: str) -> DataFrame:
     by_time = Window.partitionBy(key).orderBy(ts, *tiebreak)
     starts = _starts(
@@ -24,7 +28,7 @@ def _number_plain(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str], gap
     )
     return (
         df.withColumn("__starts", starts.cast("long"))
-        .withColumn("session_no", F.sum("__starts").over(by_time))
+        .withColumn("session_no", F.sum("__starts").over(_so_far(by_time)))
         .drop("__starts")
     )
 
@@ -38,34 +42,34 @@ def _number_sliced(
     start before it, worked out from one row per key and slice.
     """
     cut = df.repartitionByRange(slices, key, ts, *tiebreak).withColumn("__slice", F.spark_partition_id())
-    # Both uses below must see the same cuts.
-    cut = checkpointed(cut)
-    in_slice = Window.partitionBy(key, "__slice").orderBy(ts, *tiebreak)
+    # Both uses below must see the same cuts. A struct is never NULL, so plain joins match NULL keys.
+    cut = checkpointed(cut).withColumn("__key", F.struct(key))
+    in_slice = Window.partitionBy("__key", "__slice").orderBy(ts, *tiebreak)
     prev_ts = F.lag(ts).over(in_slice)
     starts = _starts(F.col(ts), F.col(last_flag), prev_ts, F.lag(last_flag).over(in_slice), gap)
     # Whether the first row of a slice starts a session shows only from the slice before.
     rows = cut.withColumn("__starts", F.when(prev_ts.isNull(), 0).otherwise(starts.cast("long")))
-    rows = rows.withColumn("__local", F.sum("__starts").over(in_slice))
+    rows = rows.withColumn("__local", F.sum("__starts").over(_so_far(in_slice)))
 
-    ends = rows.groupBy(key, "__slice").agg(
+    ends = rows.groupBy("__key", "__slice").agg(
         F.min(ts).alias("__first_ts"),
         F.max(ts).alias("__last_ts"),
         F.max_by(last_flag, F.struct(ts, *tiebreak)).alias("__last_flag"),
         F.max("__local").alias("__inner"),
     )
-    by_slice = Window.partitionBy(key).orderBy("__slice")
+    by_slice = Window.partitionBy("__key").orderBy("__slice")
     starts = _starts(
         F.col("__first_ts"), F.col("__last_flag"),
         F.lag("__last_ts").over(by_slice), F.lag("__last_flag").over(by_slice), gap,
     )
-    before = Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, 0)
     base = (
         ends.withColumn("__starts", starts.cast("long"))
-        .withColumn("__base", F.sum(F.col("__starts") + F.col("__inner")).over(before) - F.col("__inner"))
-        .select(F.col(key).alias("__key"), F.col("__slice").alias("__key_slice"), "__base")
+        .withColumn("__base", F.sum(F.col("__starts") + F.col("__inner")).over(_so_far(by_slice)) - F.col("__inner"))
+        .select("__key", "__slice", "__base")
+    )
+    return rows.join(base, ["__key", "__slice"]).select(
+        *df.columns, (F.col("__base") + F.col("__local")).alias("session_no")
     )
-    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__slice") == F.col("__key_slice"))
-    return rows.join(base, same).select(*df.columns, (F.col("__base") + F.col("__local")).alias("session_no"))
 
 
 def _heavy_keys(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, int]:

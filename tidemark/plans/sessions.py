@@ -22,7 +22,8 @@ def _clicks(events: DataFrame) -> DataFrame:
 def sessions(spark: SparkSession, folder: str) -> DataFrame:
     clicks = _clicks(read_table(spark, folder, "events"))
     numbered = sessionize(clicks, "user_id", "ts", GAP, "is_last", ["event_id"])
-    return as_wall_clock(summarize_sessions(numbered, "user_id", "ts", GAP, "is_last"))
+    last_event = clicks.agg(F.max("ts")).scalar()
+    return as_wall_clock(summarize_sessions(numbered, "user_id", "ts", GAP, "is_last", last_event))
 
 
 def session_rows(spark: SparkSession, folder: str) -> DataFrame:
