@@ -190,7 +190,8 @@ FROM placed GROUP BY first_day, "stopNbhd"
 
 def _numbered(rows: str = "events") -> str:
     return f"""
-    SELECT event_id, ts, user_id, is_last, (sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT AS session_no
+    SELECT event_id, ts, user_id, is_last,
+           (sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT AS session_no
     FROM (
       SELECT *, CASE WHEN prev IS NULL OR ts - prev > INTERVAL '30 minutes' OR prev_last THEN 1 ELSE 0 END AS starts
       FROM (
