@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WORD, kept, table, text_of
 
 #: Rows of a block, about.
-BLOCK = 2000
+BLOCK = 500
 
 
 def _hash48(text: Column) -> Column:
