@@ -18,16 +18,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hashes, lower, spans, table, text_of, utf8
+from tidemark.llm.common import hashes, lower, mixed, spans, table, text_of, utf8
 
 #: Labelled rows that a fit takes at most, about: a documented bound, as the fit is made on the driver.
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 6000
 #: How sure a term has to be to get a weight: log likelihood ratio against chance, beyond the log of the number of terms
 #: that are in so many documents.
 CHANCE, SEEN = 0.0, 4
 #: Words count whole and by their first 4 to 7 bytes, which share what derived words have in common.
 STEMS = (4, 5, 6, 7)
 
+#: Terms are told apart by so many bits of their hash; the lowest three hold a stem's length, 0 for whole words.
+TERMS = 1 << 24
+_LENGTH = np.uint64(TERMS - 8)
+
 _WORD_GAPS = np.ones(256, bool)
 _WORD_GAPS[128:] = False
 for _a, _b in (("0", "9"), ("A", "Z"), ("a", "z")):
@@ -38,7 +42,7 @@ _ENDS[[ord(c) for c in ".!?\n\r"]] = True
 
 @dataclass
 class Model:
-    words: np.ndarray  # sorted hashes
+    words: np.ndarray  # sorted terms
     weights: np.ndarray
     bias: float
 
@@ -50,7 +54,7 @@ class Sentences:
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray  # of each text, one more than texts
-    words: np.ndarray  # hashes of words and stems
+    words: np.ndarray  # terms: words and their stems
     of: np.ndarray  # the sentence of each
 
 
@@ -64,12 +68,12 @@ def read(column: pa.Array, in_order: bool = False) -> tuple[Sentences, np.ndarra
     place = np.cumsum(full) - 1
     start, end = start[full], end[full]
     small, sentence = lower(data), place[of]
-    terms, owners = [hashes(small, word_start, word_end) & ~np.uint64(7)], [sentence]
-    for length in STEMS:  # the lowest three bits hold a stem's length, 0 for whole words
+    terms, owners = [hashes(small, word_start, word_end) & _LENGTH], [sentence]
+    for length in STEMS:
         fit = word_end - word_start >= length
-        terms.append(hashes(small, word_start[fit], word_start[fit] + length) & ~np.uint64(7) | np.uint64(length))
+        terms.append(hashes(small, word_start[fit], word_start[fit] + length) & _LENGTH | np.uint64(length))
         owners.append(sentence[fit])
-    words, owner = np.concatenate(terms), np.concatenate(owners)
+    words, owner = np.concatenate(terms).astype(np.uint32), np.concatenate(owners)
     if not in_order:
         return Sentences(start, end, np.searchsorted(start, offsets), words, owner), data, offsets
     order = np.argsort(owner, kind="stable")
@@ -84,10 +88,12 @@ def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each labelled text, the words' hashes and the length of its sentences."""
     for batch in batches:
         found, _, offsets = read(batch.column(0), in_order=True)
-        lengths = np.bincount(found.of, minlength=len(found.start)).astype(np.int64)
+        lengths = np.bincount(found.of, minlength=len(found.start)).astype(np.int32)
         ends = np.concatenate([[0], np.cumsum(lengths)])[found.first]
+        whole = np.where((found.words & np.uint32(7)) == 0, mixed(found.words.astype(np.uint64)), np.uint64(0))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(whole)])[np.concatenate([[0], np.cumsum(lengths)])]
         as_bytes = lambda a, at: pa.array([a[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())
-        yield pa.RecordBatch.from_pydict({"words": as_bytes(found.words, ends), "lengths": as_bytes(lengths, found.first), "toxic": batch.column(1)})
+        yield pa.RecordBatch.from_pydict({"words": as_bytes(found.words, ends), "lengths": as_bytes(lengths, found.first), "sums": as_bytes(np.diff(sums), found.first), "toxic": batch.column(1)})
 
 
 def fit(
@@ -111,48 +117,55 @@ def fit(
     drawn = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(min(1.0, sample_rows / rows) * (1 << 30))
     sample = docs.select(F.col(f"`{id_col}`").alias("_id"), text_of(text_col).alias("_text")).join(known.where(drawn), "_id")
     once = sample.groupBy(F.xxhash64("_text"), "_toxic").agg(F.first("_text").alias("_text"))  # copies prove nothing more
-    got = once.select("_text", "_toxic").mapInArrow(_numbers, "words binary, lengths binary, toxic int").toArrow()
+    got = once.select("_text", "_toxic").mapInArrow(_numbers, "words binary, lengths binary, sums binary, toxic int").toArrow()
     return _fit(
-        [np.frombuffer(x.as_py(), np.uint64) for x in got["words"]],
-        [np.frombuffer(x.as_py(), np.int64) for x in got["lengths"]],
+        [np.frombuffer(x.as_buffer(), np.uint32) for x in got["words"]],
+        [np.frombuffer(x.as_buffer(), np.int32) for x in got["lengths"]],
+        [np.frombuffer(x.as_buffer(), np.uint64) for x in got["sums"]],
         got["toxic"].to_numpy().astype(float),
     )
 
 
-def _fit(words: list[np.ndarray], lengths: list[np.ndarray], toxic: np.ndarray, steps: int = 600, rate: float = 0.05) -> Model:
-    n, positives = len(toxic), float(toxic.sum())
-    if not 0 < positives < n:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), -12.0)
-    in_order = np.argsort([w[:8].tobytes() for w in words], kind="stable") if n else []  # results do not hang on the rows' order
-    words, lengths, toxic = [words[i] for i in in_order], [lengths[i] for i in in_order], toxic[in_order]
-    flat = np.concatenate(words)
-    sentence_of = np.repeat(np.arange(sum(map(len, lengths))), np.concatenate(lengths))
-    doc_of_sentence = np.repeat(np.arange(n), [len(x) for x in lengths])
-    # screening, on different sentences, as what copies share proves nothing more: a sentence is clean if any clean document has it
-    whole = (flat & np.uint64(7)) == 0
-    sums = np.zeros(len(doc_of_sentence), np.uint64)
-    np.add.at(sums, sentence_of[whole], flat[whole])
-    _, first_of, same = np.unique(sums, return_index=True, return_inverse=True)
-    bad = np.ones(len(first_of))
-    np.minimum.at(bad, same, toxic[doc_of_sentence])
-    once = np.zeros(len(sums), bool)
-    once[first_of] = True
-    use = once[sentence_of]
-    vocabulary, code = np.unique(flat[use], return_inverse=True)
-    of = sentence_of[use]
-    pairs, at = np.unique(code * np.int64(n) + doc_of_sentence[of], return_index=True)  # one for each term and document
-    seen = np.bincount(pairs // n, minlength=len(vocabulary)).astype(float)
-    share = np.bincount(pairs // n, weights=bad[same[of[at]]], minlength=len(vocabulary)) / np.maximum(seen, 1)
-    p = toxic.mean()
+def _screen(words: list[np.ndarray], lengths: list[np.ndarray], sums: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """The terms that tell sentences of toxic documents from others. Different sentences count, and once a document, as
+    what copies share proves nothing more; a sentence is clean if any clean document has it."""
+    clean = np.unique(np.concatenate([s for s, y in zip(sums, toxic, strict=True) if not y]))
+    seen, bad = np.zeros(TERMS, np.float32), np.zeros(TERMS, np.float32)
+    past: set[int] = set()
+    for terms, length, sentences, y in zip(words, lengths, sums, toxic, strict=True):
+        new = np.array([x not in past for x in sentences.tolist()], bool)
+        past.update(sentences.tolist())
+        known = np.isin(sentences, clean)
+        seen[np.unique(terms[np.repeat(new, length)])] += 1
+        if y:
+            bad[np.unique(terms[np.repeat(new & ~known, length)])] += 1
+    p, some = toxic.mean(), np.flatnonzero(seen >= SEEN)
+    share = bad[some] / seen[some]
     with np.errstate(divide="ignore", invalid="ignore"):
         apart = np.nan_to_num(share * np.log(share / p)) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - p)))
-    chosen = vocabulary[(share > 0.5) & (seen * apart >= np.log(max(np.sum(seen >= SEEN), 1)) + CHANCE)]
-    # documents as a number of plain sentences, and sentences that hold a chosen word
-    at = np.searchsorted(chosen, flat).clip(0, max(len(chosen) - 1, 0))
-    hit = (chosen[at] == flat) if len(chosen) else np.zeros(len(flat), bool)
-    held, row = np.unique(sentence_of[hit], return_inverse=True)
-    column, doc = at[hit], doc_of_sentence[held]
-    plain = np.bincount(doc_of_sentence, minlength=n) - np.bincount(doc, minlength=n)
+    return some[(share > 0.5) & (seen[some] * apart >= np.log(max(len(some), 1)) + CHANCE)].astype(np.uint32)
+
+
+def _fit(words: list[np.ndarray], lengths: list[np.ndarray], sums: list[np.ndarray], toxic: np.ndarray, steps: int = 600, rate: float = 0.05) -> Model:
+    n, positives = len(toxic), float(toxic.sum())
+    if not 0 < positives < n:
+        return Model(np.zeros(0, np.uint32), np.zeros(0), -12.0)
+    in_order = sorted(range(n), key=lambda i: sums[i].tobytes())  # results do not hang on the rows' order
+    words, lengths, sums = ([x[i] for i in in_order] for x in (words, lengths, sums))
+    toxic = toxic[in_order]
+    chosen = _screen(words, lengths, sums, toxic)
+    # documents as a number of plain sentences, and sentences that hold a chosen term
+    columns, rows, docs, plain, held = [], [], [], np.zeros(n), 0
+    for i, (terms, length) in enumerate(zip(words, lengths, strict=True)):
+        at = np.searchsorted(chosen, terms).clip(0, max(len(chosen) - 1, 0))
+        hit = np.flatnonzero(chosen[at] == terms) if len(chosen) else np.zeros(0, int)
+        sentences, row = np.unique(np.repeat(np.arange(len(length)), length)[hit], return_inverse=True)
+        columns.append(at[hit])
+        rows.append(row + held)
+        docs.append(np.full(len(sentences), i))
+        plain[i] = len(length) - len(sentences)
+        held += len(sentences)
+    column, row, doc = (np.concatenate(x).astype(int) for x in (columns, rows, docs))
     theta = np.zeros(len(chosen) + 3)
     theta[: len(chosen)] = 4.0
     theta[-3:] = -7.0, -4.0, -4.0  # bias; logits of the two error rates
@@ -160,7 +173,7 @@ def _fit(words: list[np.ndarray], lengths: list[np.ndarray], toxic: np.ndarray,
     for step in range(1, steps + 1):
         w, bias = theta[:-3], theta[-3]
         false_toxic, false_clean = 0.4 / (1 + np.exp(-theta[-2:]))
-        s = bias + np.bincount(row, weights=w[column], minlength=len(held))
+        s = bias + np.bincount(row, weights=w[column], minlength=held)
         q, q0 = 1 / (1 + np.exp(-s)), 1 / (1 + np.exp(-bias))
         clean = np.exp(-(np.bincount(doc, weights=np.logaddexp(0, s), minlength=n) + plain * np.logaddexp(0, bias)))
         latent = 1 - clean
