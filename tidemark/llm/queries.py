@@ -1,14 +1,16 @@
 """The registered query of each operator, and the SQL that has to agree where SQL can express it."""
 
-from tidemark.llm import exact_dedup, mixing, packing, toxicity
+from tidemark.llm import chat, exact_dedup, mixing, packing, toxicity
 
 QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_chat": chat.op5_chat,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op5_chat": chat.ORACLE,
     "op9_mixing": mixing.ORACLE,
 }
