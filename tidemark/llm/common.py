@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,3 +136,35 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     np.cumsum(_BYTE[data] * powers(len(data)), out=sums[1:])
     found = (sums[end] - sums[start]) * _inverses(len(data) + 1)[start]
     return mixed(found + (end - start).astype(np.uint64) * _ODD)
+
+
+def slices(batches, column: int, most: int = 1 << 21):
+    """The same rows in batches whose texts in ``column`` sum up to ``most`` bytes (a longer text is alone in its batch),
+    so that what is computed for each byte has a bound."""
+    for batch in batches:
+        ends = utf8_ends(batch.column(column))
+        at = 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def utf8_ends(column: pa.Array) -> np.ndarray:
+    """For each row, the bytes of all rows up to and with it."""
+    lengths = pa.compute.binary_length(column).fill_null(0)
+    return np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def gathered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of bytes one after the other, and their lengths."""
+    lengths = end - start
+    ends = np.cumsum(lengths)
+    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - lengths), lengths)], lengths
+
+
+def strings(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """A text column of runs of bytes that stand one after the other."""
+    offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)])
+    return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))

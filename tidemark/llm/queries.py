@@ -1,11 +1,12 @@
 """The registered query of each operator, and the SQL that has to agree where SQL can express it."""
 
-from tidemark.llm import chat, exact_dedup, mixing, packing, toxicity
+from tidemark.llm import chat, exact_dedup, lattice, mixing, packing, toxicity
 
 QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_chat": chat.op5_chat,
+    "op8_lattice": lattice.op8_lattice,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
 }

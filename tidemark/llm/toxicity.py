@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hashes, lower, mixed, spans, table, text_of, utf8
+from tidemark.llm.common import hashes, lower, mixed, slices, spans, table, text_of, utf8
 
 #: Labelled rows that a fit takes at most, about: a documented bound, as the fit is made on the driver.
 SAMPLE_ROWS = 6000
@@ -86,7 +86,7 @@ def held_out(id_col: str) -> Column:
 
 def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each labelled text, the words' hashes and the length of its sentences."""
-    for batch in batches:
+    for batch in slices(batches, 0):
         found, _, offsets = read(batch.column(0), in_order=True)
         lengths = np.bincount(found.of, minlength=len(found.start)).astype(np.int32)
         ends = np.concatenate([[0], np.cumsum(lengths)])[found.first]
@@ -188,8 +188,8 @@ def _fit(words: list[np.ndarray], lengths: list[np.ndarray], sums: list[np.ndarr
     return Model(chosen, theta[:-3], float(theta[-3]))
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model, offending: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _score(batches: Iterator[pa.RecordBatch], model: Model, offending: float, with_id: bool = True) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 2 if with_id else 0):
         found, data, offsets = read(batch.column(batch.num_columns - 1))
         s = np.full(len(found.start), model.bias)
         if len(model.words) and len(found.words):
@@ -226,10 +226,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that score below the threshold. One pass, no shuffle."""
 
+    at = docs.columns.index(text_col)
+
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col))
-            [scored] = _score(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), model, 0.5)
+        for batch in slices(batches, at):
+            [scored] = _score(iter([pa.RecordBatch.from_arrays([batch.column(at)], ["text"])]), model, 0.5, with_id=False)
             yield batch.filter(pa.array(scored.column(0).to_numpy() < threshold))
 
     return docs.mapInArrow(clean, docs.schema)
