@@ -121,7 +121,7 @@ _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _INVERSES = np.ones(1, np.uint64)
 
 
-def _inverses(n: int) -> np.ndarray:
+def inverses(n: int) -> np.ndarray:
     global _INVERSES
     if len(_INVERSES) < n:
         grown = np.full(max(n, 1 << 16), _INVERSE, np.uint64)
@@ -134,7 +134,7 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each run of bytes, from prefix sums of a polynomial with random coefficients."""
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * powers(len(data)), out=sums[1:])
-    found = (sums[end] - sums[start]) * _inverses(len(data) + 1)[start]
+    found = (sums[end] - sums[start]) * inverses(len(data) + 1)[start]
     return mixed(found + (end - start).astype(np.uint64) * _ODD)
 
 

@@ -1,12 +1,14 @@
 """Language-model scores by a lattice of pieces: a text's probability is the sum over all its segmentations.
 
-The pieces are those of a public unigram vocabulary, weighted by how many different training words they are in, and each
-training word as a whole, weighted by its discounted count. A word's marginal probability is found by a forward recursion
-in logarithms over the ends of its prefixes. Words are independent, so each different word is worked out once.
+The pieces are those of a public unigram vocabulary, weighted by how many different training words they are in, each
+training word as a whole, and each training sentence of two words or more as a whole; the latter two by their discounted
+counts. What the discounts take is what shorter pieces share, so probabilities of all texts sum to one. A word's
+marginal probability is found by a forward recursion in logarithms over the ends of its prefixes. Words are independent,
+so each different word is worked out once.
 
-Words go through Spark in blocks: a task turns its texts into numbers of the block's own words, and asks for each word
+Words and sentences go through Spark in blocks: a task turns its texts into numbers of the block's own words, and asks for each word
 once. Asks are shuffled by ranges of the words' hashes, so that no word, however frequent, weighs more than one ask a
-block. Counts stay spread over the ranges; what reaches the driver are four sums and one count for each piece.
+block. Counts stay spread over the ranges; what reaches the driver are eight sums and one count for each piece.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import gathered, hashes, kept, lower, partitions, slices, spans, strings, table, text_of, utf8
+from tidemark.llm.common import gathered, hashes, inverses, kept, lower, mixed, partitions, powers, slices, spans, strings, table, text_of, utf8
 
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 32 << 20
@@ -46,19 +48,29 @@ class Block:
     """Texts as numbers of their own different words."""
 
     def __init__(self) -> None:
-        self.ids, self.held, self.lengths, self.tokens, self.words, self.text, self.sizes = [], [], [], [], [], [], []
+        self.ids, self.held, self.sentences, self.lengths, self.tokens, self.words, self.text, self.sizes = [], [], [], [], [], [], [], []
         self.bytes = 0
 
     def add(self, batch: pa.RecordBatch) -> None:
         data, offsets = utf8(batch.column(2))
         data = lower(data)
         start, end, first = spans(data, offsets)
-        word, once, number = np.unique(hashes(data, start, end), return_index=True, return_inverse=True)
+        found = hashes(data, start, end)
+        begins = _sentences(data, start, end, first)
+        ends = np.append(begins[1:], len(start))
+        several = ends - begins > 1
+        found = np.concatenate([found, _sequences(found, begins[several], ends[several])])
+        word, once, number = np.unique(found, return_index=True, return_inverse=True)
+        number = number.astype(np.int64) + sum(map(len, self.words))
+        named = np.full(len(begins), -1, np.int64)  # a sentence of one word has no piece of its own
+        named[several] = number[len(start) :]
         self.ids.append(batch.column(0))
         self.held.append(batch.column(1).to_numpy(zero_copy_only=False).astype(bool))
-        self.lengths.append(np.diff(first))
-        self.tokens.append(number + sum(map(len, self.words)))
+        self.lengths.append(np.diff(np.searchsorted(begins, first)))
+        self.sentences.append(np.stack([named, ends - begins]))
+        self.tokens.append(number[: len(start)])
         self.words.append(word)
+        start, end = (np.append(x, np.zeros(int(several.sum()), np.int64)) for x in (start, end))  # sentences have no spelling
         text, sizes = gathered(data, start[once], end[once])
         self.text.append(text)
         self.sizes.append(sizes)
@@ -69,7 +81,12 @@ class Block:
         words, first, same = np.unique(np.concatenate(self.words), return_index=True, return_inverse=True)
         tokens = same[np.concatenate(self.tokens)].astype(np.uint32)
         lengths, held = np.concatenate(self.lengths), np.concatenate(self.held)
-        counts = np.bincount(tokens[~np.repeat(held, lengths)], minlength=len(words)).astype(np.uint32)
+        named, sizes = np.concatenate(self.sentences, axis=1)
+        learnt = ~np.repeat(held, lengths)
+        counts = np.bincount(tokens[np.repeat(learnt, sizes)], minlength=len(words))
+        counts += np.bincount(same[named[learnt & (named >= 0)]], minlength=len(words))
+        counts = counts.astype(np.uint32)
+        sentences = np.stack([np.where(named >= 0, same[named] if len(same) else named, -1), sizes]).astype(np.int32)
         ends = np.cumsum(np.concatenate(self.sizes))
         sizes = np.concatenate(self.sizes)
         text, sizes = gathered(np.concatenate(self.text), ends[first] - sizes[first], ends[first])
@@ -91,11 +108,31 @@ class Block:
                 "docs": pa.concat_arrays([pa.ListArray.from_arrays([0, len(ids)], ids), pa.nulls(n - 1, pa.list_(ids.type))]),
                 "held": pa.array([held.tobytes()] + [None] * (n - 1), pa.binary()),
                 "lengths": pa.array([lengths.astype(np.uint32).tobytes()] + [None] * (n - 1), pa.binary()),
+                "sentences": pa.array([sentences.tobytes()] + [None] * (n - 1), pa.binary()),
                 "tokens": pa.array([tokens.tobytes()] + [None] * (n - 1), pa.binary()),
             }
         )
 
 
+_STOPS = np.zeros(256, bool)
+_STOPS[[ord(c) for c in ".!?"]] = True
+
+
+def _sentences(data: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The words that begin a sentence: the first of a text, and those after a full stop, mark or line end."""
+    begins = np.zeros(len(start), bool)
+    begins[first[:-1][first[:-1] < len(start)]] = True
+    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    begins[1:] |= _STOPS[data[end[:-1] - 1]] | (lines[start[1:]] > lines[end[:-1]])
+    return np.flatnonzero(begins)
+
+
+def _sequences(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each run of words."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(words) * powers(len(words)))])
+    return mixed((sums[end] - sums[begin]) * inverses(len(words) + 1)[begin] ^ np.uint64(0x5E17E4CE))
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     number, block = TaskContext.get().partitionId() << 24, Block()
     for batch in slices(batches, 2, 4 << 20):
@@ -132,14 +169,24 @@ def _merge(asks: pa.Table) -> pa.Table:
             "sizes": pa.array([sizes.tobytes()], pa.binary()),
             "blocks": pa.array([asks["block"].to_pylist()], pa.list_(pa.int64())),
             "wanted": pa.array([wanted], pa.list_(pa.binary())),
-            "tokens": pa.array([int(counts.sum())], pa.int64()),
-            "known": pa.array([int((counts > 0).sum())], pa.int64()),
-            "once": pa.array([int((counts == 1).sum())], pa.int64()),
-            "twice": pa.array([int((counts == 2).sum())], pa.int64()),
         }
+        | {c: pa.array([n], pa.int64()) for kind, of in (("", counts[sizes > 0]), ("s_", counts[sizes == 0])) for c, n in _sums(of, kind).items()}
     )
 
 
+SUMS = [kind + name for kind in ("", "s_") for name in ("tokens", "known", "once", "twice")]
+
+
+def _sums(counts: np.ndarray, kind: str) -> dict[str, int]:
+    return {f"{kind}tokens": int(counts.sum()), f"{kind}known": int((counts > 0).sum()), f"{kind}once": int((counts == 1).sum()), f"{kind}twice": int((counts == 2).sum())}
+
+
+def _discount(sums: dict, kind: str = "") -> float:
+    """What is taken from each count, by how many there are of one and of two."""
+    once, twice = sums[f"{kind}once"], sums[f"{kind}twice"]
+    return min(max(once / max(once + 2 * twice, 1), 0.1), 0.99)
+
+
 def utf8_lengths(column: pa.ChunkedArray) -> np.ndarray:
     return np.diff(utf8(column)[1])
 
@@ -163,7 +210,7 @@ def _piece_counts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.R
     counts = np.zeros(model.vocab_size(), np.int64)
     for batch in batches:
         for row in batch.to_pylist():
-            known = np.frombuffer(row["counts"], np.int64) > 0
+            known = (np.frombuffer(row["counts"], np.int64) > 0) & (np.frombuffer(row["sizes"], np.int64) > 0)
             words = [w for w, k in zip(_texts(row), known.tolist(), strict=True) if k]
             for i in range(0, len(words), 10_000):
                 found = model.encode(words[i : i + 10_000], num_threads=1)
@@ -231,17 +278,20 @@ def _add(a: float, b: float) -> float:
 
 def _answers(batches: Iterator[pa.RecordBatch], path: str, pieces: np.ndarray, sums: dict) -> Iterator[pa.RecordBatch]:
     lattice = Lattice(path, pieces, sums["known"])
-    n, discount = sums["tokens"] + sums["docs"], sums["discount"]
+    n, sentences = sums["tokens"] + sums["docs"], sums["s_tokens"]
+    discount, of_sentences = _discount(sums), _discount(sums, "s_")
     rest = discount * sums["known"] / n if n else 0.5
     for batch in batches:
         for row in batch.to_pylist():
             counts = np.frombuffer(row["counts"], np.int64)
-            spelt = np.exp(np.array([lattice.log(w) for w in _texts(row)])) * rest
-            whole = np.maximum(counts - discount, 0) / max(n, 1)
+            words = np.frombuffer(row["sizes"], np.int64) > 0
+            log = np.full(len(counts), -np.inf)
+            seen = ~words & (counts > 0)
+            log[seen] = np.log10((counts[seen] - of_sentences) / sentences)
+            spelt = np.fromiter((lattice.log(w) for w in _texts(row) if w), np.float64) / math.log(10) + math.log10(max(rest, 1e-300))
             with np.errstate(divide="ignore"):
-                log = np.log10(whole + spelt)
-            for i in np.flatnonzero(np.isinf(log)):  # too small for a double by itself
-                log[i] = (lattice.log(_texts(row)[i]) + math.log(rest)) / math.log(10) if rest else -400.0
+                whole = np.log10(np.maximum(counts[words] - discount, 0) / max(n, 1))
+            log[words] = np.logaddexp(whole * math.log(10), spelt * math.log(10)) / math.log(10)
             wanted = [np.frombuffer(w, np.uint32) for w in row["wanted"]]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -259,21 +309,28 @@ def _scores(asked: pa.Table, answers: pa.Table, sums: dict) -> pa.Table:
     counts, logs = (_numbers(answers[c], k).astype(np.float64) if len(answers) else np.zeros(0) for c, k in (("counts", np.uint32), ("logs", np.float32)))
     ends, tokens, known = sums["docs"], sums["tokens"] + sums["docs"], sums["known"] + (sums["docs"] > 0)
     base = np.log10((counts + 1) / (tokens + known + 1))
+    spelt = math.log10(_discount(sums, "s_") * sums["s_known"] / sums["s_tokens"]) if sums["s_tokens"] else 0.0
     out = []
-    for row in asked.select(["docs", "held", "lengths", "tokens"]).to_pylist():
+    for row in asked.select(["held", "lengths", "sentences", "tokens"]).to_pylist():
         word = np.frombuffer(row["tokens"], np.uint32)
-        at = np.concatenate([[0], np.cumsum(np.frombuffer(row["lengths"], np.uint32), dtype=np.int64)])
-        total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[word])])[at])
+        named, sizes = np.frombuffer(row["sentences"], np.int32).reshape(2, -1)
+        of_sentence = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        of_text = np.concatenate([[0], np.cumsum(np.frombuffer(row["lengths"], np.uint32), dtype=np.int64)])
+        at = of_sentence[of_text]
+        total = lambda x, at: np.diff(np.concatenate([[0], np.cumsum(x)])[at])
+        score = total(logs[word], of_sentence)
+        several = named >= 0
+        score[several] = np.logaddexp((score[several] + spelt) * math.log(10), logs[named[several]] * math.log(10)) / math.log(10)
         out.append(
             pa.Table.from_pydict(
                 {
                     "doc_id": asked["docs"].combine_chunks().flatten(),
                     "held_out": np.frombuffer(row["held"], bool),
                     "n_tokens": pa.array(np.diff(at) + 1, pa.int64()),
-                    "n_known": pa.array(total((counts > 0).astype(np.int64)) + (ends > 0), pa.int64()),
+                    "n_known": pa.array(total((counts[word] > 0).astype(np.int64), at) + (ends > 0), pa.int64()),
                     "train_tokens": np.full(len(at) - 1, tokens, np.int64),
-                    "base_score": total(base) + math.log10((ends + 1) / (tokens + known + 1)),
-                    "score": total(logs) + math.log10(ends / tokens if ends else 0.5),
+                    "base_score": total(base[word], at) + math.log10((ends + 1) / (tokens + known + 1)),
+                    "score": total(score, of_text) + math.log10(ends / tokens if ends else 0.5),
                 }
             )
         )
@@ -291,21 +348,20 @@ def lm_scores(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), held_out(id_col).alias("held_out"), text_of(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     buckets = 1 << (2 * partitions(spark) - 1).bit_length()
-    schema = f"block long, bucket int, words binary, counts binary, text binary, sizes binary, docs array<{kind}>, held binary, lengths binary, tokens binary"
+    schema = f"block long, bucket int, words binary, counts binary, text binary, sizes binary, docs array<{kind}>, held binary, lengths binary, sentences binary, tokens binary"
     blocks = kept(rows.mapInArrow(partial(_blocks, buckets=buckets), schema), "blocks")
     asks = blocks.where("bucket >= 0").select("block", "bucket", "words", "counts", "text", "sizes")
-    merged = "bucket int, counts binary, text binary, sizes binary, blocks array<long>, wanted array<binary>, tokens long, known long, once long, twice long"
+    merged = "bucket int, counts binary, text binary, sizes binary, blocks array<long>, wanted array<binary>, " + ", ".join(f"{c} long" for c in SUMS)
     words = kept(asks.groupBy("bucket").applyInArrow(_merge, merged), "words")
-    found = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "known", "once", "twice")]).first().asDict()
+    found = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS]).first().asDict()
     found["docs"] = rows.where("NOT held_out").count()
-    found["discount"] = min(max(found["once"] / max(found["once"] + 2 * found["twice"], 1), 0.1), 0.9)
     pieces = np.zeros(_vocabulary(path).vocab_size(), np.int64)
     of_tasks = words.select("counts", "text", "sizes").mapInArrow(partial(_piece_counts, path=path), "piece int, n long")
     for piece, n in of_tasks.groupBy("piece").agg(F.sum("n")).collect():  # at most as many as the vocabulary has
         pieces[piece] = n
     answer = partial(_answers, path=path, pieces=pieces, sums=found)
     answers = words.select("bucket", "counts", "text", "sizes", "blocks", "wanted").mapInArrow(answer, "block long, bucket int, counts binary, logs binary")
-    texts = blocks.where("bucket < 0").select("block", "docs", "held", "lengths", "tokens")
+    texts = blocks.where("bucket < 0").select("block", "docs", "held", "lengths", "sentences", "tokens")
     result = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(partial(_scores, sums=found), result)
 
