@@ -135,7 +135,7 @@ def _screen(words: list[np.ndarray], lengths: list[np.ndarray], sums: list[np.nd
     for terms, length, sentences, y in zip(words, lengths, sums, toxic, strict=True):
         new = np.array([x not in past for x in sentences.tolist()], bool)
         past.update(sentences.tolist())
-        known = np.isin(sentences, clean)
+        known = clean[np.searchsorted(clean, sentences).clip(0, len(clean) - 1)] == sentences if len(clean) else np.zeros(len(new), bool)
         seen[np.unique(terms[np.repeat(new, length)])] += 1
         if y:
             bad[np.unique(terms[np.repeat(new & ~known, length)])] += 1
