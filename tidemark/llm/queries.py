@@ -1,8 +1,9 @@
 """The registered query of each operator, and the SQL that has to agree where SQL can express it."""
 
-from tidemark.llm import chat, exact_dedup, lattice, mixing, packing, toxicity
+from tidemark.llm import chat, exact_dedup, lattice, mixing, near_dedup, packing, toxicity
 
 QUERIES = {
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_packing": packing.op3_packing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_chat": chat.op5_chat,
