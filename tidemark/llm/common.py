@@ -23,7 +23,7 @@ def kept(df: DataFrame, name: str = "kept") -> DataFrame:
     """The rows of ``df``, computed once and written to the shared folder: later jobs read them there, and a lost
     executor costs only its own tasks."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

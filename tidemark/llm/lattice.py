@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import gathered, hashes, inverses, kept, lower, mixed, partitions, powers, slices, spans, strings, table, text_of, utf8
 
 #: Bytes of text in a block, about.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: What a piece that no training word has counts as.
 UNSEEN = 0.1
 
