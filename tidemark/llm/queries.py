@@ -1,6 +1,6 @@
 """The registered query of each operator, and the SQL that has to agree where SQL can express it."""
 
-from tidemark.llm import chat, exact_dedup, html_text, lattice, mixing, near_dedup, packing, toxicity
+from tidemark.llm import chat, exact_dedup, hilbert, html_text, lattice, mixing, near_dedup, packing, toxicity
 
 QUERIES = {
     "op2_near_dedup": near_dedup.op2_near_dedup,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_chat": chat.op5_chat,
     "op6_html": html_text.op6_html,
+    "op7_hilbert": hilbert.op7_hilbert,
     "op8_lattice": lattice.op8_lattice,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
