@@ -130,14 +130,23 @@ def inverses(n: int) -> np.ndarray:
     return _INVERSES[:n]
 
 
-def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of bytes, from prefix sums of a polynomial with random coefficients."""
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of a polynomial with random coefficients, from which any run's hash follows."""
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * powers(len(data)), out=sums[1:])
+    return sums
+
+
+def hash_between(data: np.ndarray, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of bytes."""
     found = (sums[end] - sums[start]) * inverses(len(data) + 1)[start]
     return mixed(found + (end - start).astype(np.uint64) * _ODD)
 
 
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return hash_between(data, byte_sums(data), start, end)
+
+
 def slices(batches, column: int, most: int = 1 << 21):
     """The same rows in batches whose texts in ``column`` sum up to ``most`` bytes (a longer text is alone in its batch),
     so that what is computed for each byte has a bound."""

@@ -1,8 +1,9 @@
 """The registered query of each operator, and the SQL that has to agree where SQL can express it."""
 
-from tidemark.llm import chat, exact_dedup, hilbert, html_text, lattice, mixing, near_dedup, packing, toxicity
+from tidemark.llm import chat, exact_dedup, hilbert, html_text, lattice, mixing, near_dedup, packing, substrings, toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": substrings.op1_suffix_dedup,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_packing": packing.op3_packing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,

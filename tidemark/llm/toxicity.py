@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hashes, lower, mixed, slices, spans, table, text_of, utf8
+from tidemark.llm.common import byte_sums, hash_between, lower, mixed, slices, spans, table, text_of, utf8
 
 #: Labelled rows that a fit takes at most, about: a documented bound, as the fit is made on the driver.
 SAMPLE_ROWS = 6000
@@ -68,10 +68,11 @@ def read(column: pa.Array, in_order: bool = False) -> tuple[Sentences, np.ndarra
     place = np.cumsum(full) - 1
     start, end = start[full], end[full]
     small, sentence = lower(data), place[of]
-    terms, owners = [hashes(small, word_start, word_end) & _LENGTH], [sentence]
+    sums = byte_sums(small)
+    terms, owners = [hash_between(small, sums, word_start, word_end) & _LENGTH], [sentence]
     for length in STEMS:
         fit = word_end - word_start >= length
-        terms.append(hashes(small, word_start[fit], word_start[fit] + length) & _LENGTH | np.uint64(length))
+        terms.append(hash_between(small, sums, word_start[fit], word_start[fit] + length) & _LENGTH | np.uint64(length))
         owners.append(sentence[fit])
     words, owner = np.concatenate(terms).astype(np.uint32), np.concatenate(owners)
     if not in_order:
