@@ -15,6 +15,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from tidemark.llm.common import kept, table, text_of
 
 CAPACITY = 2048
 #: Words that a task remembers the ids of; the memory starts anew beyond.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: What may follow a word of letters and is then a token group of its own.
 _TAIL = ".,!?;:%&*$#|"
 
@@ -48,20 +49,38 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def learn(self, words: set[str]) -> None:
-        new = words - self.keys()
+        new = set(filterfalse(self.__contains__, words))
         if len(self) + len(new) > REMEMBERED:
             self.clear()
             new = words
         split = {}
         for word in new:
             core = word.rstrip(_TAIL)
-            if len(core) < len(word) and core.isalpha():
-                split[word] = core
-        plain = list((new - split.keys()) | ({*split.values(), *(w[len(c) :] for w, c in split.items())} - self.keys()))
-        for word, found in zip(plain, self.tokenizer.encode_batch(plain, add_special_tokens=False), strict=True):
+            if core.isalpha() and (len(core) < len(word) or not core.islower()):
+                low = core.lower()
+                split[word] = (low if len(low) == len(core) else core), word[len(core) :]
+        parts = {part for both in split.values() for part in both if part and part not in self}
+        self._encode(new.difference(split) | parts)
+        for word, (core, tail) in split.items():
+            self[word] = self[core] + self[tail] if tail else self[core]
+
+    def _encode(self, words: set[str]) -> None:
+        """Words of letters are one token group each, so many of them are read as one text; others are read one by one."""
+        letters = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
+        for i in range(0, len(letters), 2000):
+            some = letters[i : i + 2000]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            group = np.array(found.word_ids, np.int64)
+            ids = np.array(found.ids, "<u4")
+            ends = np.searchsorted(group, np.arange(len(some)), "right") * 4
+            if len(group) and group[-1] == len(some) - 1 and ends[0] and (np.diff(ends) > 0).all():
+                raw = ids.tobytes()
+                self.update(zip(some, (raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
+            else:
+                rest += some
+        for word, found in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
             self[word] = np.array(found.ids, "<u4").tobytes()
-        for word, core in split.items():
-            self[word] = self[core] + self[word[len(core) :]]
 
 
 @lru_cache(1)
@@ -80,8 +99,8 @@ def tokenize(texts: list[str], path: str) -> list[bytes]:
     """Each text's ids, then id 0. White space always ends a token, so words are looked up one by one."""
     known = _words(path)
     out: list[bytes] = []
-    for i in range(0, len(texts), 256):
-        split = [_split(text) for text in texts[i : i + 256]]
+    for i in range(0, len(texts), 1000):
+        split = [_split(text) for text in texts[i : i + 1000]]
         known.learn(set().union(*split))
         out += [b"".join(map(known.__getitem__, words)) + b"\0\0\0\0" for words in split]
     return out
