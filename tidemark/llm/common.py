@@ -27,6 +27,24 @@ def kept(df: DataFrame, name: str = "kept") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a table of ids is sent to all executors: some 10 MB.
+SMALL = 200_000
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, written down with a number each in ``ROW``, by which a decision finds its row whatever ids repeat."""
+    return kept(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``ROW`` is in ``dropped``, and without that column. Few dropped rows are sent to where the
+    texts are; more meet them in a shuffle."""
+    dropped = kept(dropped.select(ROW), "dropped")
+    few = dropped.count() <= SMALL
+    return docs.join(F.broadcast(dropped) if few else dropped, ROW, "left_anti").drop(ROW)
+
+
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 

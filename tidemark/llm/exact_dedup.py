@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, kept, table, text_of
+from tidemark.llm.common import ROW, SPACE, kept, numbered, table, text_of, without
 
 
 def frequent(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[pa.RecordBatch]:
@@ -36,10 +36,10 @@ def _order() -> Column:
     return F.struct(-F.col("code_points"), F.col("id").isNull(), "id", "row")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = 1024) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = 1024, row_col: str | None = None) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, row.
 
-    A null text counts as empty, and empty texts (or of white space only) are copies of one another. Rows that repeat
+    ``row`` is ``row_col``, which then has to be unique, or else a number of the row. A null text counts as empty, and empty texts (or of white space only) are copies of one another. Rows that repeat
     wholly, the id included, are copies too and exactly one of them is kept. A null id ranks after all others and is
     given back as null. Other columns of ``docs``, whatever their names, are not read. An empty table gives no rows.
     """
@@ -49,7 +49,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.col(f"`{id_col}`").alias("id"),
             F.sha2(F.regexp_replace(text, f"{SPACE}+", "").cast("binary"), 256).alias("digest"),
             F.length(text).cast("long").alias("code_points"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
         ),
         "digests",
     )
@@ -89,6 +89,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return heavy.select(*columns).unionByName(light.select(*columns))
 
 
+def without_copies(docs: DataFrame, **columns: str) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they are."""
+    rows = numbered(docs)
+    return without(rows, exact_dedup(rows, row_col=ROW, **columns).where("NOT kept").select(F.col("row").alias(ROW)))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("row")
 

@@ -17,15 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept, partitions, slices, table, text_of
+from tidemark.llm.common import ROW, SMALL, kept, numbered, partitions, slices, table, text_of, without
 from tidemark.llm.shingles import bands, digests, odd_sketches, parities, samples, shingle_sets
 
 #: Differing bits up to which a pair of odd sketches is confirmed: an estimate of 0.65, five deviations below 0.85.
 FAR = 58
 #: Classes of a bucket that are compared at once.
 BLOCK = 1024
-#: Pairs or classes up to which a table is sent to all executors: some 10 MB.
-SMALL = 200_000
 
 
 def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -169,17 +167,17 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select(F.col("u").alias("node"), F.col("label").alias("comp"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85, row_col: str | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept, row.
 
     Two texts are linked if their sets of shingles share ``percent`` of 100 of their union. A null text counts as empty; texts
     without words are linked with nothing, and each is its own component. ``kept`` is one row of each component: the
-    smallest id (no id last), of rows with one id the first; so of rows that repeat one is kept. Other columns are not
-    read. An empty table gives no rows.
+    smallest id (no id last), of rows with one id the first; so of rows that repeat one is kept. ``row`` is ``row_col``,
+    which then has to be unique, or else a number of the row. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.monotonically_increasing_id().alias("row"), text_of(text_col).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), text_of(text_col).alias("text"))
     schema = f"id {kind}, row long, size long, digest long, digest2 long, bands binary, sketch binary, parity binary"
     described = kept(rows.mapInArrow(lambda b: _describe(b, size), schema), "described")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
@@ -243,5 +241,11 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, classes: Dat
         turn += 1
 
 
+def without_near_copies(docs: DataFrame, **columns: str) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they are: one of each component."""
+    rows = numbered(docs)
+    return without(rows, near_dedup(rows, row_col=ROW, **columns).where("NOT kept").select(F.col("row").alias(ROW)))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("row")
