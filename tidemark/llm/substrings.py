@@ -33,9 +33,9 @@ from tidemark.llm.suffixes import same_prefixes
 LENGTH, ANCHOR = 50, 24
 #: Anchors that a string has room for.
 ROOM = LENGTH - ANCHOR + 1
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of runs that are sorted at once, about; runs of one anchor are never parted.
-SORT_BYTES = 1 << 21
+SORT_BYTES = 1 << 19
 
 
 def _packed(values: np.ndarray) -> bytes:
