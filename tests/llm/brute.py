@@ -1,0 +1,62 @@
+"""The operators' contracts, word for word and slowly."""
+
+import hashlib
+import re
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def exact(rows):
+    """(doc_id, text) to the digest of each row and its group."""
+    digests = [hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).hexdigest() for _, t in rows]
+    groups = {}
+    for i, d in enumerate(digests):
+        groups.setdefault(d, []).append(i)
+    return digests, groups
+
+
+def shingles(text, size=5):
+    found = words(text)
+    return frozenset([tuple(found)] if 0 < len(found) < size else [tuple(found[i : i + size]) for i in range(len(found) - size + 1)])
+
+
+def near(texts, percent=85):
+    """The component of each text, named by its first place."""
+    sets, parent = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return sets, [find(i) for i in range(len(texts))]
+
+
+def without_repeats(rows, length=50):
+    """(doc_id, text) to what is removed of each: a list of flags for its bytes."""
+    first, out = {}, []
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    for i in order:
+        raw, key = (rows[i][1] or "").encode(), (rows[i][0] is None, rows[i][0] or 0)
+        for k in range(len(raw) - length + 1):
+            first.setdefault(raw[k : k + length], key)
+    for doc, text in rows:
+        raw, key = (text or "").encode(), (doc is None, doc or 0)
+        gone = [False] * len(raw)
+        for k in range(len(raw) - length + 1):
+            if first[raw[k : k + length]] < key:
+                gone[k : k + length] = [True] * length
+        out.append(gone)
+    return out
