@@ -3,31 +3,28 @@
 import json
 import os
 
-# type, route, clock time on 2019-07-22 in India, speed, fuel; in three blocks, the last of them late
+# Invented readings: type, route, clock time on 2022-11-08 in India, speed, fuel. The third block is late: its first reading
+# is in a minute that a delay of one minute still lets in after the second block, its second reading is not.
 TRAFFIC_BLOCKS = [
     [
-        ("Private Car", "43", "17:20:27", 73, 14),
-        ("Private Car", "82", "17:20:30", 28, 28),
-        ("Bus", "82", "17:20:31", 67, 22),
-        ("Taxi", "82", "17:20:33", 35, 24),
-        ("Bus", "43", "17:20:34", 84, 16),
-        ("Large Truck", "82", "17:20:35", 26, 17),
-        ("Large Truck", "37", "17:20:37", 41, 28),
-        ("Large Truck", "43", "17:20:40", 42, 16),
+        ("Tram", "N1", "08:10:04", 31, 50),
+        ("Van", "E5", "08:10:09", 52, 41),
+        ("Scooter", "N1", "08:10:12", 18, 7),
+        ("Tram", "N1", "08:10:29", 27, 48),
+        ("Van", "E5", "08:10:31", 64, 40),
+        ("Coach", "E5", "08:10:44", 77, 90),
+        ("Tanker", "N2", "08:10:58", 45, 120),
     ],
     [
-        ("Private Car", "43", "17:21:02", 96, 30),
-        ("Private Car", "37", "17:21:03", 20, 20),
-        ("Taxi", "43", "17:21:05", 60, 30),
-        ("Small Truck", "37", "17:21:07", 60, 19),
-        ("Large Truck", "37", "17:21:11", 63, 18),
-        ("Large Truck", "37", "17:21:13", 24, 22),
-        ("Taxi", "43", "17:21:15", 60, 30),
-        ("Small Truck", "37", "17:21:58", 35, 23),
+        ("Tram", "N1", "08:12:00", 35, 49),
+        ("Coach", "N2", "08:12:14", 71, 88),
+        ("Scooter", "N1", "08:12:22", 22, 6),
+        ("Coach", "E5", "08:12:35", 69, 87),
+        ("Tanker", "N2", "08:12:40", 41, 118),
     ],
     [
-        ("Bus", "82", "17:20:00", 60, 19),
-        ("Bus", "82", "17:19:59", 61, 23),
+        ("Tram", "N2", "08:11:00", 30, 47),
+        ("Van", "N1", "08:10:59", 58, 39),
     ],
 ]
 
@@ -39,9 +36,9 @@ def traffic_line(vehicle, reading):
             "vehicleId": vehicle,
             "vehicleType": kind,
             "routeId": route,
-            "latitude": "-97.1",
-            "longitude": "35.6",
-            "time": f"Mon Jul 22 {clock} IST 2019",
+            "latitude": "48.2",
+            "longitude": "16.4",
+            "time": f"Tue Nov 08 {clock} IST 2022",
             "speed": float(speed),
             "fuelLevel": float(fuel),
         }
@@ -52,26 +49,27 @@ def traffic_blocks(blocks=TRAFFIC_BLOCKS):
     return [[traffic_line(f"v{b}-{i}", r) for i, r in enumerate(block)] for b, block in enumerate(blocks)]
 
 
-# user, clock time on 2019-03-15 in India, is it the last event
+# Invented events: user, clock time on 2021-06-30 two hours east of Greenwich, is it the last event. Each user has two
+# events less than half a minute apart, and a last one more than half a minute later.
 USER_EVENTS = [
-    (1, "17:40:55", False),
-    (2, "17:40:57", False),
-    (3, "17:41:00", False),
-    (4, "17:41:03", False),
-    (1, "17:41:05", False),
-    (2, "17:41:08", False),
-    (3, "17:41:11", False),
-    (4, "17:41:13", False),
-    (1, "17:41:48", True),
-    (2, "17:41:51", True),
-    (3, "17:41:53", True),
-    (4, "17:41:56", True),
+    (21, "09:15:02", False),
+    (22, "09:15:06", False),
+    (23, "09:15:07", False),
+    (24, "09:15:12", False),
+    (22, "09:15:20", False),
+    (21, "09:15:24", False),
+    (24, "09:15:30", False),
+    (23, "09:15:33", False),
+    (23, "09:16:20", True),
+    (21, "09:16:22", True),
+    (22, "09:16:27", True),
+    (24, "09:16:31", True),
 ]
 
 
 def user_line(event):
     user, clock, last = event
-    return f"{user} 2019-03-15T{clock}.000+05:30 /page/{user} {str(last).lower()}"
+    return f"{user} 2021-06-30T{clock}.000+02:00 /shop/{user} {str(last).lower()}"
 
 
 def write_blocks(folder, blocks):

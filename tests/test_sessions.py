@@ -166,18 +166,18 @@ def test_sample_by_event_time(spark, tmp_path):
     for i, blocks in enumerate([[USER_EVENTS], [USER_EVENTS[:8], USER_EVENTS[8:]]]):
         events = user_stream(spark, tmp_path / str(i), blocks)
         out = run_to_table(event_time_sessions(events, "userId", "eventTime", "30 seconds", "isLast", "userId"))
-        # the last one, at 17:41:56, is closed by its flag when the watermark gets there
+        # the last one, at 09:16:31, is closed by its flag when the watermark gets there
         assert sorted((r.userId, r.n_events, r.closed_by) for r in out.collect()) == sorted(
-            [(u, 2, "timeout") for u in range(1, 5)] + [(u, 1, "flag") for u in range(1, 5)]
+            [(u, 2, "timeout") for u in range(21, 25)] + [(u, 1, "flag") for u in range(21, 25)]
         )
 
 
 def test_sample_with_late_last_events(spark, tmp_path):
     events = user_stream(
-        spark, tmp_path / "in", [USER_EVENTS[:8], [(9, "17:42:47", False)], [(9, "17:42:48", False)], USER_EVENTS[8:]]
+        spark, tmp_path / "in", [USER_EVENTS[:8], [(29, "09:17:25", False)], [(29, "09:17:26", False)], USER_EVENTS[8:]]
     )
     out = run_to_table(event_time_sessions(events, "userId", "eventTime", "30 seconds", "isLast", "userId"))
-    assert sorted((r.userId, r.n_events, r.closed_by) for r in out.collect()) == [(u, 2, "timeout") for u in range(1, 5)]
+    assert sorted((r.userId, r.n_events, r.closed_by) for r in out.collect()) == [(u, 2, "timeout") for u in range(21, 25)]
 
 
 def test_restart_in_the_middle_of_sessions(spark, tmp_path):
@@ -205,14 +205,14 @@ def by_the_clock(spark, tmp_path, blocks, **how):
 
 def test_sample_in_one_batch(spark, tmp_path):
     got = by_the_clock(spark, tmp_path, [USER_EVENTS]).collect()
-    assert sorted((r.userId, len(r.userEvents), r.closed_by) for r in got) == [(u, 3, "flag") for u in range(1, 5)]
-    assert got[0].userEvents[-1].isLast and got[0].userEvents[0].time.startswith("2019-03-15T17:4")
+    assert sorted((r.userId, len(r.userEvents), r.closed_by) for r in got) == [(u, 3, "flag") for u in range(21, 25)]
+    assert got[0].userEvents[-1].isLast and got[0].userEvents[0].time.startswith("2021-06-30T09:1")
 
 
 def test_sample_in_two_batches(spark, tmp_path):
     got = by_the_clock(spark, tmp_path, [USER_EVENTS[:8], USER_EVENTS[8:]]).collect()
     assert sorted((r.userId, len(r.userEvents), r.closed_by, r.batch_id) for r in got) == [
-        (u, 3, "flag", 1) for u in range(1, 5)
+        (u, 3, "flag", 1) for u in range(21, 25)
     ]
 
 
@@ -221,12 +221,12 @@ def test_sample_with_inactivity(spark, tmp_path):
     events = user_stream(spark, tmp_path / "in", [USER_EVENTS[:8]])
     run_to_table(processing_time_sessions(events, "1 second"), "update", run, one_batch=True)
     time.sleep(1.5)
-    for block in ([(9, "17:41:47", False)], USER_EVENTS[8:]):
-        blocks = [USER_EVENTS[:8], [(9, "17:41:47", False)], USER_EVENTS[8:]][: 2 if block[0][0] == 9 else 3]
+    for block in ([(29, "09:16:19", False)], USER_EVENTS[8:]):
+        blocks = [USER_EVENTS[:8], [(29, "09:16:19", False)], USER_EVENTS[8:]][: 2 if block[0][0] == 29 else 3]
         events = user_stream(spark, tmp_path / "in", blocks)
         out = run_to_table(processing_time_sessions(events, "1 second"), "update", run, one_batch=True)
-    got = sorted((r.userId, len(r.userEvents), r.closed_by) for r in out.where("userId < 9").collect())
-    assert got == sorted([(u, 2, "timeout") for u in range(1, 5)] + [(u, 1, "flag") for u in range(1, 5)])
+    got = sorted((r.userId, len(r.userEvents), r.closed_by) for r in out.where("userId < 29").collect())
+    assert got == sorted([(u, 2, "timeout") for u in range(21, 25)] + [(u, 1, "flag") for u in range(21, 25)])
 
 
 def test_one_row_per_event(spark, tmp_path):
