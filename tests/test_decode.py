@@ -11,6 +11,7 @@ from tidemark.operators import (
     decode_delimited,
     decode_json,
     decode_user_events,
+    delimited,
     finished,
     malformed_user_events,
     tokenize,
@@ -58,6 +59,15 @@ def test_delimited_keeps_other_columns_and_takes_the_separator_literally(spark):
     assert fares.first()[:3] == (5, 1, 2)
 
 
+def test_nulls_keep_their_place_in_delimited_text(spark):
+    row = (1, "END", dt.datetime(2013, 1, 1, 0, 10), 2.5)
+    schema = "a long, b string, c timestamp, d double"
+    for i in range(4):
+        want = tuple(None if j == i else v for j, v in enumerate(row))
+        df = spark.createDataFrame([want], schema)
+        assert tuple(decode_delimited(df.select(delimited(*df.columns).alias("value")), df.schema).first()) == (want if i != 1 else (*want[:1], "", *want[2:]))
+
+
 def test_user_events(spark):
     df = decode_user_events(texts(spark, *map(user_line, USER_EVENTS)))
     first = df.first()

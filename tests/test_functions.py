@@ -2,9 +2,10 @@ import math
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.functions import interval_micros, parse_java_date, point_in_polygon, polygon_edges, words
+from tidemark.functions import interval_micros, parse_java_date, point_in_polygon, polygon_edges, unreadable_dates, words
 
 
 def test_java_dates(spark):
@@ -26,6 +27,22 @@ def test_java_dates(spark):
     assert got == [want for _, want in cases]
 
 
+def test_java_dates_with_offsets(spark):
+    cases = [("+05:30", "11:50:27"), ("-0800", "01:20:27"), ("GMT+02:00", "15:20:27"), ("UTC-01:00", "18:20:27")]
+    df = spark.createDataFrame([(f"Mon Jul 22 17:20:27 {z} 2019",) for z, _ in cases], "time string")
+    got = [r[0][11:] for r in df.select(parse_java_date("time").cast("string")).collect()]
+    assert got == [t for _, t in cases]
+
+
+def test_unreadable_java_dates_are_not_lost(spark):
+    texts = ["Mon Jul 22 17:20:27 IST 2019", "Mon Jul 22 17:20:27 XYZ 2019", "never", None]
+    df = spark.createDataFrame([(t,) for t in texts], "time string")
+    assert [r.time for r in unreadable_dates(df, "time").collect()] == texts[1:3]
+    with pytest.raises(PySparkException, match="no readable time"):
+        df.select(parse_java_date("time", on_unknown="fail")).collect()
+    assert df.where("time IS NULL").select(parse_java_date("time", on_unknown="fail")).first()[0] is None
+
+
 def test_java_date_zones_can_be_given(spark):
     df = spark.createDataFrame([("Mon Jul 22 17:20:27 IST 2019",)], "time string")
     got = df.select(parse_java_date("time", {"IST": "+02:00"}).cast("string")).first()[0]

@@ -157,6 +157,14 @@ def test_out_of_order_rows_within_the_delay(spark, tmp_path):
     assert sorted(map(key, out.collect())) == sorted(map(key, want))
 
 
+def test_events_before_1970_are_in_their_sessions(spark, tmp_path):
+    old = dt.datetime(1965, 3, 1)
+    events = [(1, old + dt.timedelta(seconds=i), i, False) for i in (0, 10, 20, 200)] + [(2, START, 900, False), (3, START + dt.timedelta(seconds=60), 901, False)]
+    stream = event_stream(spark, tmp_path / "in", [events])
+    out = run_to_table(event_time_sessions(stream, "user", "ts", f"{GAP} seconds", "last", "id"))
+    assert sorted(map(key, out.collect())) == closed_sessions(events)
+
+
 def user_stream(spark, folder, blocks):
     lines = [[line if isinstance(line, str) else user_line(line) for line in block] for block in blocks]
     return decode_user_events(read_lines(spark, write_blocks(folder, lines), max_files_per_trigger=1))

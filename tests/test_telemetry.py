@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from samples import TRAFFIC_BLOCKS, traffic_blocks, traffic_line, write_blocks
 from tidemark.functions import parse_java_date
-from tidemark.operators import avg_by, count_by, decode_json, dedup, windowed_avg, windowed_count
+from tidemark.operators import avg_by, count_by, decode_json, dedup, first_by, windowed_avg, windowed_count
 from tidemark.schemas import TRAFFIC
 from tidemark.sources import read_lines
 from tidemark.streaming import latest_per_key, run_to_table
@@ -29,6 +29,13 @@ def local(row_time):
     return (row_time + dt.timedelta(hours=5, minutes=30)).strftime("%H:%M:%S")
 
 
+START = dt.datetime(2022, 11, 8)
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
+
+
 def rows(df, digits=4):
     return {tuple(round(v, digits) if isinstance(v, float) else v for v in r) for r in df.collect()}
 
@@ -193,6 +200,19 @@ def test_dedup_with_bounded_memory(spark, tmp_path):
         dedup(stream, ["vehicleId"], delay="1 minute")
 
 
+def test_first_reading_of_each_vehicle_whatever_the_order_of_files(spark, tmp_path):
+    rows = [(v, START + dt.timedelta(minutes=(v * 7 + k * 13) % 50), 10 * k + v, f"{k}") for v in range(6) for k in range(9)]
+    rows += [(0, START, 1000 + k, "tie") for k in range(40)] + [(None, None, 5, "no key"), (3, None, 1, "no time")]
+    schema = "vehicle int, ts timestamp, id int, what string"
+    for part in (rows[2::3], rows[::3], rows[1::3]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    updates = run_to_table(first_by(stream, ["vehicle"], "ts", ["id"]), "update")
+    assert updates.select("batch_id").distinct().count() == 3
+    want = dedup(spark.createDataFrame(rows, schema), ["vehicle"], "ts", ["id"])
+    assert rows_of(latest_per_key(updates, ["vehicle"]).select(*want.columns)) == rows_of(want)
+
+
 def test_append_mode_holds_back_open_windows(spark, tmp_path):
     stream = replay(spark, tmp_path, traffic_blocks()[:2])
     counts = windowed_count(stream, "eventTime", "30 seconds", ["vehicleType"], delay="5 seconds")

@@ -1,4 +1,4 @@
-from tidemark.functions.dates import DEFAULT_ZONES, parse_java_date
+from tidemark.functions.dates import DEFAULT_ZONES, parse_java_date, unreadable_dates
 from tidemark.functions.geo import point_in_polygon, polygon_edges
 from tidemark.functions.intervals import interval_micros
 from tidemark.functions.text import words
@@ -9,5 +9,6 @@ __all__ = [
     "parse_java_date",
     "point_in_polygon",
     "polygon_edges",
+    "unreadable_dates",
     "words",
 ]

@@ -4,10 +4,11 @@ from tidemark.operators.decode import (
     decode_delimited,
     decode_json,
     decode_user_events,
+    delimited,
     malformed_user_events,
     with_date_parts,
 )
-from tidemark.operators.dedup import dedup
+from tidemark.operators.dedup import dedup, first_by
 from tidemark.operators.filters import NEW_YORK, BoundingBox, finished, within_bbox
 from tidemark.operators.joins import interval_join, join_rides_with_fares
 from tidemark.operators.sessions import gap_sessions, sessionize, summarize_sessions
@@ -23,7 +24,9 @@ __all__ = [
     "decode_json",
     "decode_user_events",
     "dedup",
+    "delimited",
     "finished",
+    "first_by",
     "gap_sessions",
     "interval_join",
     "join_rides_with_fares",

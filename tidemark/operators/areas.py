@@ -82,8 +82,8 @@ def append_areas(
     A point in several areas gets the last of their names in alphabetical order, one in none gets
     ``default``. Points and areas meet through a grid: an area is listed in each cell its box touches,
     a point looks only at the areas of its cell. The size of that list is measured first. Up to
-    ``max_broadcast_bytes`` it is broadcast; beyond, each distinct point is joined by shuffle, which
-    on a stream has to be done in ``foreachBatch``.
+    ``max_broadcast_bytes`` it is broadcast; beyond, each distinct point is joined by shuffle. A stream
+    is then joined with the list by shuffle as it is.
     """
     shapes = _shapes(areas)
     width, height, size = _grid(shapes)
@@ -95,15 +95,12 @@ def append_areas(
         F.explode(F.sequence(_cell(F.col("y0"), height), _cell(F.col("y1"), height))).alias("__cy"),
         "name", "edges",
     )
-    if size <= max_broadcast_bytes:
+    small = size <= max_broadcast_bytes
+    if small or df.isStreaming:
         cells = listed.groupBy("__cx", "__cy").agg(F.collect_list(F.struct("name", "edges")).alias("__areas"))
         for name, (lon, lat) in points.items():
-            df = _look_up(df, cells, name, lon, lat, width, height, default)
+            df = _look_up(df, F.broadcast(cells) if small else cells.hint("merge"), name, lon, lat, width, height, default)
         return df
-    if df.isStreaming:
-        raise ValueError(
-            f"the areas take up to {size} bytes, too much to broadcast; call append_areas in foreachBatch"
-        )
     for name, (lon, lat) in points.items():
         df = _join_points(df, listed, name, lon, lat, width, height, default)
     return df
@@ -115,9 +112,7 @@ def _look_up(
     columns = df.columns
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     keyed = df.withColumns({"__px": _cell(x, width), "__py": _cell(y, height)})
-    near = keyed.join(
-        F.broadcast(cells), (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy")), "left"
-    )
+    near = keyed.join(cells, (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy")), "left")
     inside = F.filter("__areas", lambda a: point_in_polygon(x, y, a["edges"]))
     found = F.array_max(F.transform(inside, lambda a: a["name"]))
     return near.select(*columns, F.coalesce(found, F.lit(default)).alias(name))
@@ -132,11 +127,11 @@ def _join_points(
     distinct = df.select(lon.alias("__x"), lat.alias("__y")).distinct()
     hits = (
         distinct.withColumns({"__px": _cell(x, width), "__py": _cell(y, height)})
-        .join(listed, (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy")))
+        .join(listed.hint("merge"), (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy")))
         .where(point_in_polygon(x, y, F.col("edges")))
         .groupBy("__x", "__y")
         .agg(F.max("name").alias("__name"))
     )
-    return df.join(hits, (lon == x) & (lat == y), "left").select(
+    return df.join(hits.hint("merge"), (lon == x) & (lat == y), "left").select(
         *columns, F.coalesce("__name", F.lit(default)).alias(name)
     )

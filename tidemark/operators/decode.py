@@ -22,6 +22,12 @@ def decode_json(
     return parsed.select("__json.*", *keep)
 
 
+def delimited(*fields: Column | str, sep: str = ",") -> Column:
+    """Fields as one line of text. A NULL is an empty field, so that what follows keeps its place."""
+    columns = (F.col(f) if isinstance(f, str) else f for f in fields)
+    return F.concat_ws(sep, *(F.coalesce(c.cast("string"), F.lit("")) for c in columns))
+
+
 def decode_delimited(df: DataFrame, schema: StructType, sep: str = ",", column: str = "value") -> DataFrame:
     """Bind the pieces of ``column`` to the fields of ``schema`` by position; other columns stay.
 

@@ -22,7 +22,7 @@ def dedup(
 ) -> DataFrame:
     """Keep one row per key; rows without a key count as one key.
 
-    A stream keeps the row that arrives first. It remembers every key, or with ``ts`` and ``delay``
+    A stream keeps the row that arrives first; for the one that is first by time see ``first_by``. It remembers every key, or with ``ts`` and ``delay``
     only those of the last ``delay``. A table keeps the row that is first by ``ts`` and ``tiebreak``,
     so the same table always gives the same rows.
 
@@ -40,11 +40,20 @@ def dedup(
         return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
     if ts is None:
         return df.dropDuplicates(list(keys))
+    return first_by(df, keys, ts, tiebreak)
+
+
+def first_by(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The row of each key that is first by ``ts`` and ``tiebreak``, whatever order the rows arrive in.
+
+    On a stream this is an aggregate for update mode: its state is one row per key, tasks send one row per key and
+    batch, and a row that comes to be first replaces the one before (see ``latest_per_key``). The aggregate keeps
+    structs, so Spark sorts each task's rows by key rather than hash them.
+    """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(list(keys))
-    # An aggregate rather than row_number(): each task sends at most one row per key to the shuffle,
-    # however often the key occurs. Rows without a time come last.
+    # An aggregate rather than row_number(), so that a frequent key is one row per task. Rows without a time come last.
     order = F.struct(F.col(ts).isNull(), F.col(ts), *(F.col(c) for c in tiebreak))
     first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("__first"))
     return first.select(*(F.col(c) if c in keys else F.col(f"__first.{c}") for c in df.columns))

@@ -96,8 +96,7 @@ def _number(
     if total == 0:
         return _number_plain(df, key, ts, tiebreak, gap, last_flag)
     same = F.col(key).eqNullSafe(F.col("__key"))
-    # There are at most (all rows) / max_rows heavy keys.
-    keys = F.broadcast(keys)
+    # There are at most (all rows) / max_rows heavy keys; Spark decides by their size how to join them.
     light, rest = df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
     slices = -(-total // max_rows) + 1
     return _number_plain(light, key, ts, tiebreak, gap, last_flag).unionByName(

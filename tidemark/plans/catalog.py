@@ -16,7 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_passthrough": telemetry.envelope_passthrough,
     "vehicle_dedup": telemetry.vehicle_dedup,
     "type_count": telemetry.type_count,
-    "type_count_stream": telemetry.type_count_stream,
+    **telemetry.STREAMS,
     "route_type_count": telemetry.route_type_count,
     "route_avg_speed": telemetry.route_avg_speed,
     "route_type_avg_speed": telemetry.route_type_avg_speed,
@@ -34,6 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_click_join_stream": ads.ad_click_join_stream,
     "ad_click_interval_join": ads.ad_click_interval_join,
     "ad_click_interval_join_stream": ads.ad_click_interval_join_stream,
+    "ad_click_from_messages": ads.ad_click_from_messages,
+    "ad_click_from_messages_stream": ads.ad_click_from_messages_stream,
     "rides_in_bbox": taxi.rides_in_bbox,
     "rides_finished": taxi.rides_finished,
     "ride_fare_join": taxi.ride_fare_join,
@@ -41,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ride_districts": taxi.ride_districts,
     "ride_districts_stream": taxi.ride_districts_stream,
     "tips_sliding": taxi.tips_sliding,
+    "tips_sliding_stream": taxi.tips_sliding_stream,
     "neighbourhoods": taxi.neighbourhoods,
     "neighbourhoods_shuffled": taxi.neighbourhoods_shuffled,
     "neighbourhoods_stream": taxi.neighbourhoods_stream,
@@ -211,18 +214,6 @@ SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_
 FROM ({_numbered()}) GROUP BY user_id, session_no
 """
 
-# A stream gets to the last event only as exactly as its watermark, which is in milliseconds.
-_CLOSED_SESSIONS = f"""
-WITH done AS (SELECT * FROM events WHERE ts <= (SELECT date_trunc('millisecond', max(ts)) FROM events))
-SELECT * FROM (
-  SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events,
-         CASE WHEN bool_or(is_last) THEN 'flag'
-              WHEN max(ts) + INTERVAL '30 minutes' <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
-              THEN 'timeout' ELSE 'open' END AS closed_by
-  FROM ({_numbered("done")}) GROUP BY user_id, session_no
-) WHERE closed_by <> 'open'
-"""
-
 _GAP_SESSIONS = """
 SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events
 FROM (
@@ -253,7 +244,6 @@ ORACLES: dict[str, str] = {
                round(value * 100) AS speed
         FROM first""",
     "type_count": _by_key('"vehicleType"', _COUNT),
-    "type_count_stream": _by_key('"vehicleType"', _COUNT, "readings"),
     "route_type_count": _by_key('"routeId", "vehicleType"', _COUNT),
     "route_avg_speed": _by_key('"routeId"', _SPEED),
     "route_type_avg_speed": _by_key('"routeId", "vehicleType"', _SPEED),
@@ -293,9 +283,11 @@ ORACLES: dict[str, str] = {
         FROM orders WHERE year(o_orderdate) = 1997""",
     "sessions": _SESSIONS,
     "session_rows": _numbered(),
-    "sessions_stream": _CLOSED_SESSIONS,
+    "sessions_stream": _SESSIONS,
     "gap_sessions": _GAP_SESSIONS,
     "user_events_decode": f"""{_USER_EVENTS}, date_trunc('millisecond', ts) AS "eventTime" FROM events""",
     "session_events_stream": f"""{_USER_EVENTS}, 'flag' AS closed_by FROM events
         WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')""",
 }
+ORACLES |= {name: ORACLES[name.removesuffix("_stream")] for name in telemetry.STREAMS}
+ORACLES |= {"ad_click_from_messages": _AD_INTERVAL, "ad_click_from_messages_stream": _AD_INTERVAL, "tips_sliding_stream": _TIPS}

@@ -1,10 +1,11 @@
 """User sessions: a ``purchase`` row of ``events`` is the last event of its user's session."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import (
     decode_user_events,
+    delimited,
     gap_sessions as sessions_by_gap,
     sessionize,
     summarize_sessions,
@@ -32,9 +33,24 @@ def session_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sessions_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The sessions that a stream closes, and those that its end leaves open: what is beyond each user's last closed one.
+
+    A stream's watermark is in milliseconds, so the events of the last millisecond may be left to the second part.
+    """
     clicks = _clicks(read_table_stream(spark, folder, "events"))
-    closed = event_time_sessions(clicks, "user_id", "ts", GAP, "is_last", "event_id")
-    return as_wall_clock(run_to_table(closed))
+    closed = run_to_table(event_time_sessions(clicks, "user_id", "ts", GAP, "is_last", "event_id"))
+    table = _clicks(read_table(spark, folder, "events"))
+    ends = closed.groupBy(F.col("user_id").alias("user")).agg(F.max("session_end").alias("end"), F.sum("n_events").alias("n"))
+    later = table.join(ends, F.col("user_id").eqNullSafe(F.col("user")), "left").where("end IS NULL OR ts >= end")
+    # of the events at the end itself those that the session took, its last ones apart, are known by their number
+    up_to = table.join(ends, F.col("user_id").eqNullSafe(F.col("user"))).where("ts <= end").groupBy("user").agg((F.count("*") - F.first("n")).alias("over"))
+    up_to = up_to.withColumnRenamed("user", "of_user")
+    place = F.row_number().over(Window.partitionBy("user_id", "ts").orderBy(F.desc("event_id")))
+    at_end = later.where("ts = end").join(up_to, F.col("user_id").eqNullSafe(F.col("of_user"))).withColumn("place", place).where("place <= over")
+    rest = later.where("end IS NULL OR ts > end").select(*table.columns).unionByName(at_end.select(*table.columns))
+    numbered = sessionize(rest, "user_id", "ts", GAP, "is_last", ["event_id"])
+    left = summarize_sessions(numbered, "user_id", "ts", GAP, "is_last", table.agg(F.max("ts")).scalar())
+    return as_wall_clock(closed.unionByName(left.select(*closed.columns)))
 
 
 def gap_sessions(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,12 +60,12 @@ def gap_sessions(spark: SparkSession, folder: str) -> DataFrame:
 def _lines(events: DataFrame) -> DataFrame:
     """Events as the lines a web site logs."""
     return events.select(
-        F.concat_ws(
-            " ",
+        delimited(
             "user_id",
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"),
-            F.concat(F.lit("/"), "event_type"),
-            (F.col("event_type") == "purchase").cast("string"),
+            F.concat(F.lit("/"), F.coalesce("event_type", F.lit(""))),
+            F.coalesce(F.col("event_type") == "purchase", F.lit(False)),
+            sep=" ",
         ).alias("value")
     )
 

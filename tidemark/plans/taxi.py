@@ -3,20 +3,21 @@
 A ride's coordinates are its discount and tax; its end point has them swapped.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 
 from tidemark.operators import (
     BoundingBox,
     append_areas,
     decode_delimited,
+    delimited,
     finished,
     join_rides_with_fares,
     windowed_avg,
     within_bbox,
 )
-from tidemark.schemas import AREA
+from tidemark.schemas import AREA, TAXI_FARE, TAXI_RIDE
 from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_table, read_table_stream
 from tidemark.streaming import await_query, run_to_table, scratch_folder, to_parquet_lake
 
@@ -98,8 +99,13 @@ def ride_fare_join_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def enriched_rides(rides: DataFrame, fares: DataFrame) -> DataFrame:
     """Finished rides in town with their fares and the districts they start and stop in."""
-    rides = finished(within_bbox(_rides(rides), bbox=TOWN))
-    joined = join_rides_with_fares(rides, _fares(fares), upper=JOIN_BOUND, delay=DELAY)
+    # The state is derived; filtered by the column it comes from, the scan can skip.
+    rides = finished(within_bbox(_rides(rides.where("l_linestatus = 'F'")), bbox=TOWN))
+    return _enriched(rides, _fares(fares))
+
+
+def _enriched(rides: DataFrame, fares: DataFrame) -> DataFrame:
+    joined = join_rides_with_fares(rides, fares, upper=JOIN_BOUND, delay=DELAY)
     return append_areas(
         joined,
         _areas(joined.sparkSession, DISTRICTS),
@@ -130,6 +136,26 @@ def tips_sliding(spark: SparkSession, folder: str) -> DataFrame:
     return as_wall_clock(average_tips(enriched))
 
 
+def _wide(schema: StructType) -> StructType:
+    """The schema with doubles for floats, in which the tables' numbers are exact."""
+    return StructType([StructField(f.name, DoubleType() if isinstance(f.dataType, FloatType) else f.dataType) for f in schema])
+
+
+def _messages(rows: DataFrame, schema: StructType, **fields: Column | str) -> DataFrame:
+    """Rows as delimited messages of a schema; fields that are not given are empty."""
+    return rows.select(delimited(*(fields.get(name, F.lit(None)) for name in schema.fieldNames())).alias("value"))
+
+
+def tips_sliding_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way: delimited rides and fares as streams, decoded, filtered, joined, set in districts. Windows are taken
+    over what the stream has written, so those still open at its end are there too."""
+    lineitem, orders = _rides(read_table_stream(spark, folder, "lineitem")), read_table_stream(spark, folder, "orders")
+    sent = _messages(lineitem, TAXI_RIDE, **{c: c for c in lineitem.columns if c in TAXI_RIDE.fieldNames()})
+    paid = _messages(orders, TAXI_FARE, rideId="o_orderkey", startTime="o_orderdate", tip=F.round(F.col("o_totalprice") * 100), totalFare="o_totalprice")
+    rides, fares = decode_delimited(sent, _wide(TAXI_RIDE)), decode_delimited(paid, _wide(TAXI_FARE))
+    return as_wall_clock(average_tips(run_to_table(_enriched(finished(within_bbox(rides, bbox=TOWN)), fares))))
+
+
 def _points(embeddings: DataFrame) -> DataFrame:
     return embeddings.select(
         "vec_id",
@@ -162,7 +188,7 @@ ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 
 
 def _order_lines(orders: DataFrame) -> tuple[DataFrame, StructType]:
-    return orders.select(F.concat_ws(",", *ORDER_COLUMNS).alias("value")), orders.schema
+    return orders.select(delimited(*ORDER_COLUMNS).alias("value")), orders.schema
 
 
 def delimited_decode(spark: SparkSession, folder: str) -> DataFrame:

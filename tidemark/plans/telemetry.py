@@ -1,10 +1,12 @@
 """Vehicle telemetry: every row of ``events`` is one reading of a vehicle on a route."""
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse_java_date
-from tidemark.operators import avg_by, count_by, decode_json, dedup, windowed_avg, windowed_count
+from tidemark.operators import avg_by, count_by, decode_json, dedup, first_by, windowed_avg, windowed_count
 from tidemark.schemas import TRAFFIC
 from tidemark.sources import (
     FILES_PER_BATCH,
@@ -33,86 +35,96 @@ def _readings(events: DataFrame, *fields: str) -> DataFrame:
     return events.selectExpr(*(f"{_READING[f][1]} AS {f}" for f in fields))
 
 
-def _first_readings(spark: SparkSession, folder: str, *fields: str) -> DataFrame:
-    """The first reading of each vehicle.
+def _first_readings(spark: SparkSession, folder: str, *fields: str, stream: bool = False) -> DataFrame:
+    """The first reading of each vehicle; with ``stream``, as a stream of all files there are now leaves it.
 
     Only the columns the query needs go through the de-duplication, and only the rows that are left
-    of them are parsed.
+    of them are parsed. A stream keeps one row per vehicle, in update mode: files may come in any order, and the last
+    version of each vehicle's row is the same as that of the table.
     """
     fields = ("vehicleId", "eventTime", "readingId", *fields)
-    events = read_table(spark, folder, "events").select(*(_READING[f][0] for f in fields))
+    columns = [_READING[f][0] for f in fields]
+    if stream:
+        events = read_table_stream(spark, folder, "events", FILES_PER_BATCH).select(*columns)
+        updates = run_to_table(first_by(events, ["user_id"], "ts", ["event_id"]), "update")
+        return _readings(latest_per_key(updates, ["user_id"]), *fields)
+    events = read_table(spark, folder, "events").select(*columns)
     return _readings(dedup(events, ["user_id"], "ts", ["event_id"]), *fields)
 
 
-def type_count(spark: SparkSession, folder: str) -> DataFrame:
-    return count_by(_first_readings(spark, folder, "vehicleType"), ["vehicleType"])
+def type_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    return count_by(_first_readings(spark, folder, "vehicleType", stream=stream), ["vehicleType"])
 
 
-def route_type_count(spark: SparkSession, folder: str) -> DataFrame:
-    return count_by(_first_readings(spark, folder, "routeId", "vehicleType"), ["routeId", "vehicleType"])
+def route_type_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    keys = ["routeId", "vehicleType"]
+    return count_by(_first_readings(spark, folder, *keys, stream=stream), keys)
 
 
-def route_avg_speed(spark: SparkSession, folder: str) -> DataFrame:
-    return avg_by(_first_readings(spark, folder, "routeId", "speed"), ["routeId"], "speed")
+def route_avg_speed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    return avg_by(_first_readings(spark, folder, "routeId", "speed", stream=stream), ["routeId"], "speed")
 
 
-def route_type_avg_speed(spark: SparkSession, folder: str) -> DataFrame:
+def route_type_avg_speed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     keys = ["routeId", "vehicleType"]
-    return avg_by(_first_readings(spark, folder, *keys, "speed"), keys, "speed")
+    return avg_by(_first_readings(spark, folder, *keys, "speed", stream=stream), keys, "speed")
 
 
-def route_type_window_avg_speed(spark: SparkSession, folder: str) -> DataFrame:
+def route_type_window_avg_speed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     keys = ["routeId", "vehicleType"]
-    readings = _first_readings(spark, folder, *keys, "speed")
+    readings = _first_readings(spark, folder, *keys, "speed", stream=stream)
     return as_wall_clock(windowed_avg(readings, "eventTime", "30 minutes", keys, "speed"))
 
 
 def _window_count(
-    spark: SparkSession, folder: str, size: str, keys: list[str], delay: str | None = None, ordered: bool = True
+    spark: SparkSession, folder: str, size: str, keys: list[str], stream: bool, delay: str | None = None, ordered: bool = True
 ) -> DataFrame:
-    readings = _first_readings(spark, folder, *keys)
+    readings = _first_readings(spark, folder, *keys, stream=stream)
     return as_wall_clock(windowed_count(readings, "eventTime", size, keys, delay=delay, ordered=ordered))
 
 
-def type_window_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _window_count(spark, folder, "30 minutes", ["vehicleType"])
+def type_window_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    return _window_count(spark, folder, "30 minutes", ["vehicleType"], stream)
 
 
 def type_window_count_watermark(spark: SparkSession, folder: str) -> DataFrame:
-    return _window_count(spark, folder, "30 minutes", ["vehicleType"], delay="5 seconds")
+    return _window_count(spark, folder, "30 minutes", ["vehicleType"], False, delay="5 seconds")
 
 
-def route_type_window_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _window_count(spark, folder, "30 minutes", ["routeId", "vehicleType"])
+def route_type_window_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    return _window_count(spark, folder, "30 minutes", ["routeId", "vehicleType"], stream)
 
 
-def route_window_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _window_count(spark, folder, "1 hour", ["routeId"])
+def route_window_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    return _window_count(spark, folder, "1 hour", ["routeId"], stream)
 
 
 def route_window_count_watermark(spark: SparkSession, folder: str) -> DataFrame:
-    return _window_count(spark, folder, "1 hour", ["routeId"], delay="1 minute", ordered=False)
-
-
-# On a stream de-duplication keeps the row that arrives first, which on a cluster is any row of the key.
-# The streams therefore de-duplicate readings, not vehicles, so that their results are determined.
-
-
-def _reading_stream(
-    spark: SparkSession, folder: str, *fields: str, files: int | None = FILES_PER_BATCH
-) -> DataFrame:
-    events = read_table_stream(spark, folder, "events", files)
-    readings = _readings(events, "readingId", "eventTime", *fields)
-    return dedup(readings, ["readingId"])
+    return _window_count(spark, folder, "1 hour", ["routeId"], False, delay="1 minute", ordered=False)
+
+
+#: Programs over the first reading of each vehicle that run on a stream as well; results are those of the table.
+STREAMS = {
+    f"{query.__name__}_stream": partial(query, stream=True)
+    for query in (
+        type_count,
+        route_type_count,
+        route_avg_speed,
+        route_type_avg_speed,
+        route_type_window_avg_speed,
+        type_window_count,
+        route_type_window_count,
+        route_window_count,
+    )
+}
 
 
-def type_count_stream(spark: SparkSession, folder: str) -> DataFrame:
-    counts = count_by(_reading_stream(spark, folder, "vehicleType"), ["vehicleType"])
-    return run_to_table(counts, "complete")
+# A watermark has to see readings in about their order, which the parts of a table are not in: these two count all
+# readings, and take all files as one batch where a late file would lose rows.
 
 
 def type_window_count_watermark_stream(spark: SparkSession, folder: str) -> DataFrame:
-    readings = _reading_stream(spark, folder, "vehicleType")
+    readings = _readings(read_table_stream(spark, folder, "events", FILES_PER_BATCH), "eventTime", "vehicleType")
     counts = windowed_count(
         readings, "eventTime", "30 minutes", ["vehicleType"], delay="5 seconds", ordered=True
     )
@@ -120,8 +132,7 @@ def type_window_count_watermark_stream(spark: SparkSession, folder: str) -> Data
 
 
 def route_window_count_watermark_stream(spark: SparkSession, folder: str) -> DataFrame:
-    # All files in one batch: in update mode a file of earlier events would be late in the next one.
-    readings = _reading_stream(spark, folder, "routeId", files=None)
+    readings = _readings(read_table_stream(spark, folder, "events"), "eventTime", "routeId")
     counts = windowed_count(readings, "eventTime", "1 hour", ["routeId"], delay="1 minute")
     updates = run_to_table(counts, "update")
     return as_wall_clock(latest_per_key(updates, ["window_start", "window_end", "routeId"]))

@@ -1,4 +1,4 @@
-from tidemark.sources.areas import read_areas
+from tidemark.sources.areas import malformed_areas, read_areas
 from tidemark.sources.kafka import kafka_options, pack_envelope, read_kafka
 from tidemark.sources.lines import read_lines, read_socket
 from tidemark.sources.tables import (
@@ -14,6 +14,7 @@ __all__ = [
     "as_instants",
     "as_wall_clock",
     "kafka_options",
+    "malformed_areas",
     "pack_envelope",
     "read_areas",
     "read_kafka",

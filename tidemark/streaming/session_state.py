@@ -126,8 +126,8 @@ class EventTimeSessions(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        # Spark itself may still let in a row that the watermark passed one batch ago.
-        new = [(r.micros, r.tie, r.last) for r in rows if r.micros > watermark]
+        # Spark itself may still let in a row that the watermark passed one batch ago. It is 0 until there is one.
+        new = [(r.micros, r.tie, r.last) for r in rows if watermark == 0 or r.micros > watermark]
         if new:
             self._waiting.appendList(new)
             first, progress = min(new)[0], self._progress.get()
@@ -181,7 +181,8 @@ class EventTimeSessions(StatefulProcessor):
 
 
 def _millis(micros: int) -> int:
-    return -(-micros // 1000)
+    """The first whole millisecond by which a time is past; timers and watermarks begin at 1."""
+    return max(-(-micros // 1000), 1)
 
 
 def event_time_sessions(
