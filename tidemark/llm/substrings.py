@@ -306,7 +306,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other, so of rows that repeat each is treated alike. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = 1 << (2 * partitions(spark) - 1).bit_length()
+    buckets = 1 << (4 * partitions(spark) - 1).bit_length()
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     packed = rows.mapInArrow(_blocks, "block long, text binary, lengths binary, count binary, place binary, runs binary, ids binary")
     name = "blocks_" + new_folder(spark, "x").rpartition("-")[2]

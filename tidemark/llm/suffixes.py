@@ -20,13 +20,13 @@ def _named(*columns: np.ndarray) -> np.ndarray:
             key = np.unique(key, return_inverse=True)[1].astype(np.int64)
             top = int(key.max(initial=0)) + 1
         key, top = key * width + column, top * width
-    return np.unique(key, return_inverse=True)[1].astype(np.int64) + 1
+    return np.unique(key, return_inverse=True)[1].astype(np.int32) + np.int32(1)
 
 
 def _below(ranked: np.ndarray, of: np.ndarray) -> np.ndarray:
     """For each of ``of``, how many of ``ranked`` are less."""
     counts = np.bincount(ranked, minlength=int(of.max(initial=0)) + 1)
-    return (np.cumsum(counts) - counts)[of]
+    return (np.cumsum(counts) - counts).astype(np.int32)[of]
 
 
 def ranks(symbols: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -39,45 +39,50 @@ def ranks(symbols: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     if depth <= 1 or n == 0:
         return _named(symbols) if n else symbols
     lengths = np.diff(starts)
-    offset = np.arange(n) - np.repeat(starts[:-1], lengths)
-    last = np.repeat(starts[1:], lengths)
+    # numbers of 32 bits: of all that is held at once, these arrays are the most
+    residue = ((np.arange(n) - np.repeat(starts[:-1], lengths)) % 3).astype(np.int8)
+    last = np.repeat(starts[1:].astype(np.int32), lengths)
 
     def shifted(values: np.ndarray, by: int) -> np.ndarray:
-        out = np.zeros(n, np.int64)
+        out = np.zeros(n, np.int32)
         out[: n - by] = values[by:]
-        out[np.arange(n) + by >= last] = 0
+        out[np.arange(by, n + by, dtype=np.int32) >= last] = 0
         return out
 
-    one, two = shifted(symbols, 1), shifted(symbols, 2)
-    residue = offset % 3
-    sampled = np.flatnonzero(residue != 0)
-    names = _named(symbols[sampled], one[sampled], two[sampled])
+    one = shifted(symbols, 1)
+    sampled = np.flatnonzero(residue != 0).astype(np.int32)
+    names = _named(symbols[sampled], one[sampled], shifted(symbols, 2)[sampled])
     if depth > 3 and len(names) and names.max() < len(names):
         # two texts of names for each text: offsets 1, 4, 7, ... and 2, 5, 8, ...
-        half = 2 * np.repeat(np.arange(len(lengths)), lengths)[sampled] + (residue[sampled] == 2)
+        half = 2 * np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[sampled] + (residue[sampled] == 2)
         new_starts = np.concatenate([[0], np.cumsum(np.bincount(half, minlength=2 * len(lengths)) + 1)])
-        place = new_starts[half] + (offset[sampled] - residue[sampled]) // 3
-        reduced = np.zeros(int(new_starts[-1]), np.int64)
+        place = new_starts[half] + (sampled - starts[half >> 1] - residue[sampled]) // 3
+        reduced = np.zeros(int(new_starts[-1]), np.int32)
         reduced[place] = names
+        del half, names, one
         names = ranks(reduced, new_starts, -(-depth // 3))[place]
-    rank = np.zeros(n, np.int64)
+        del reduced, place
+        one = shifted(symbols, 1)
+    rank = np.zeros(n, np.int32)
     rank[sampled] = names  # names of names are ranks already
-    rest = np.flatnonzero(residue == 0)
-    next_rank, after = shifted(rank, 1), shifted(rank, 2)
-    # a remaining suffix against one at offset 1: a symbol and a rank at offset 1 or 2; against one at offset 2: two symbols
-    out = np.zeros(n, np.int64)
+    del names
+    rest = np.flatnonzero(residue == 0).astype(np.int32)
     firsts, seconds = sampled[residue[sampled] == 1], sampled[residue[sampled] == 2]
-    by_one = _named(symbols[np.concatenate([rest, firsts])], next_rank[np.concatenate([rest, firsts])])
-    by_two = _named(*(x[np.concatenate([rest, seconds])] for x in (symbols, one, after)))
     m = len(rest)
-    out[rest] = _below(by_one[:m], by_one[:m]) + _below(by_one[m:], by_one[:m]) + _below(by_two[m:], by_two[:m])
-    # and the sampled ones: those of their kind below, and the remaining suffixes below
-    of_rank = _below(rank[sampled], rank[sampled])
-    below = np.zeros(n, np.int64)
-    below[firsts] = _below(by_one[:m], by_one[m:])
-    below[seconds] = _below(by_two[:m], by_two[m:])
-    out[sampled] = of_rank + below[sampled]
-    return out + 1
+    # of each suffix those of its own kind that are below it, and those of the other kind
+    out = np.zeros(n, np.int32)
+    out[sampled] = _below(rank[sampled], rank[sampled])
+    # a remaining suffix against one at offset 1: a symbol and a rank at offset 1 or 2; against one at offset 2: two symbols
+    both, next_rank = np.concatenate([rest, firsts]), shifted(rank, 1)
+    by_one = _named(symbols[both], next_rank[both])
+    out[rest] = _below(by_one[:m], by_one[:m]) + _below(by_one[m:], by_one[:m])
+    out[firsts] += _below(by_one[:m], by_one[m:])
+    del by_one, next_rank
+    both, after = np.concatenate([rest, seconds]), shifted(rank, 2)
+    by_two = _named(symbols[both], one[both], after[both])
+    out[rest] += _below(by_two[m:], by_two[:m])
+    out[seconds] += _below(by_two[:m], by_two[m:])
+    return out + np.int32(1)
 
 
 def same_prefixes(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,9 +90,9 @@ def same_prefixes(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np
     equal strings: neighbours in suffix order are compared."""
     n = len(starts) - 1
     padded_starts = starts + np.arange(n + 1)
-    symbols = np.zeros(int(padded_starts[-1]), np.int64)
-    shift = np.repeat(np.arange(n), np.diff(starts))
-    symbols[np.arange(len(text)) + shift] = text.astype(np.int64) + 1
+    symbols = np.zeros(int(padded_starts[-1]), np.int32)
+    shift = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
+    symbols[np.arange(len(text)) + shift] = text.astype(np.int32) + 1
     rank = ranks(symbols, padded_starts, length)
     left = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(text))
     places = np.flatnonzero(left >= length)
