@@ -40,3 +40,14 @@ def test_query(spark, db, name):
     columns = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(columns)
     assert canonical(got.columns, map(tuple, got.collect())) == canonical(columns, want.fetchall())
+
+
+def test_filters_of_rides_reach_the_scan(spark, conf):
+    conf("spark.sql.maxMetadataStringLength", "2000")
+    plan = QUERIES["ride_districts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_linestatus,F)" in plan
+
+
+def test_shuffled_neighbourhoods_broadcast_nothing(spark):
+    plan = QUERIES["neighbourhoods_shuffled"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan

@@ -55,10 +55,14 @@ def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
 def state_settings(spark: SparkSession, partitions: int | None = None) -> dict[str, str]:
     """Settings a query fixes in its checkpoint at its first start.
 
-    State goes to RocksDB, which keeps it off the heap, in as many partitions as there are cores.
+    State goes to RocksDB, which keeps it off the heap, in as many partitions as the session shuffles into, or as there
+    are cores if nobody has set that.
     """
+    set_for_data = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if set_for_data == 200 and not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        set_for_data = spark.sparkContext.defaultParallelism  # Spark's own default says nothing about the data
     return {
-        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.shuffle.partitions": str(partitions or set_for_data),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }

@@ -126,8 +126,8 @@ class EventTimeSessions(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        # Spark itself may still let in a row that the watermark passed one batch ago. It is 0 until there is one.
-        new = [(r.micros, r.tie, r.last) for r in rows if watermark == 0 or r.micros > watermark]
+        # Spark itself may still let in a row that the watermark passed one batch ago.
+        new = [(r.micros, r.tie, r.last) for r in rows if r.micros > watermark]
         if new:
             self._waiting.appendList(new)
             first, progress = min(new)[0], self._progress.get()
@@ -181,8 +181,12 @@ class EventTimeSessions(StatefulProcessor):
 
 
 def _millis(micros: int) -> int:
-    """The first whole millisecond by which a time is past; timers and watermarks begin at 1."""
-    return max(-(-micros // 1000), 1)
+    return -(-micros // 1000)
+
+
+# A watermark is 0 until there is one, and Spark drops what is not after it. Times are counted from so many microseconds
+# before 1970, some 3,000 years, so that earlier events are not late from the start.
+_ORIGIN = 10**17
 
 
 def event_time_sessions(
@@ -200,13 +204,14 @@ def event_time_sessions(
         .add("n_events", "long")
         .add("closed_by", "string")
     )
-    narrow = events.withWatermark(ts, delay).select(
+    micros = F.unix_micros(ts) + F.lit(_ORIGIN)
+    narrow = events.select(
         F.col(key).alias("key"),
-        F.col(ts).alias("event_time"),
-        F.unix_micros(ts).alias("micros"),
+        F.timestamp_micros(micros).alias("event_time"),
+        micros.alias("micros"),
         F.col(tiebreak).cast("long").alias("tie"),
         F.coalesce(F.col(last_flag), F.lit(False)).alias("last"),
-    )
+    ).withWatermark("event_time", delay)
     sessions = (
         narrow.where(F.col("micros").isNotNull())
         .groupBy("key")
@@ -219,8 +224,7 @@ def event_time_sessions(
     )
     return sessions.select(
         F.col("key").alias(key),
-        F.timestamp_micros("session_start").alias("session_start"),
-        F.timestamp_micros("session_end").alias("session_end"),
+        *(F.timestamp_micros(F.col(c) - F.lit(_ORIGIN)).alias(c) for c in ("session_start", "session_end")),
         "n_events",
         "closed_by",
     )

@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.decode import with_date_parts
@@ -57,13 +58,18 @@ def to_parquet_lake(
     name: str | None = None,
     every: str | None = None,
     available_now: bool = False,
+    spread: int = 4,
 ) -> StreamingQuery:
     """Append to parquet files in ``year=/month=/day=`` folders, exactly once across restarts.
 
     Where days are small, ``by`` can be just the year and month: every folder a task writes to costs a
-    file. ``year``, ``month`` and ``day`` are columns in any case.
+    file. ``year``, ``month`` and ``day`` are columns in any case. The rows of a folder are brought together in up to
+    ``spread`` tasks, so that a micro-batch adds no more than that many files to it; 0 leaves rows where they are.
     """
-    writer = _writer(with_date_parts(df, ts), name, "append", checkpoint, every, available_now)
+    parts = with_date_parts(df, ts)
+    if spread:
+        parts = parts.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    writer = _writer(parts, name, "append", checkpoint, every, available_now)
     return writer.format("parquet").option("path", path).partitionBy(*by).start()
 
 
