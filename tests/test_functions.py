@@ -10,14 +10,14 @@ from tidemark.functions import interval_micros, parse_java_date, point_in_polygo
 
 def test_java_dates(spark):
     cases = [
-        ("Mon Jul 22 17:20:27 IST 2019", "2019-07-22 11:50:27"),
-        ("Mon Jul 22 17:20:27 UTC 2019", "2019-07-22 17:20:27"),
-        ("Mon Jul 1 07:20:27 GMT 2019", "2019-07-01 07:20:27"),
-        (" Mon Jul 22 17:20:27 IST 2019 ", "2019-07-22 11:50:27"),
-        ("Mon Jul 22 17:20:27 XYZ 2019", None),
-        ("Mon Jul 22 17:20:27 IST", None),
-        ("Mon Jul 22 17:20:27 Z IST 2019", None),
-        ("Mon Foo 22 17:20:27 IST 2019", None),
+        ("Tue Nov 8 09:41:13 IST 2022", "2022-11-08 04:11:13"),
+        ("Tue Nov 8 09:41:13 UTC 2022", "2022-11-08 09:41:13"),
+        ("Thu Nov 3 07:08:09 GMT 2022", "2022-11-03 07:08:09"),
+        (" Tue Nov 8 09:41:13 IST 2022 ", "2022-11-08 04:11:13"),
+        ("Tue Nov 8 09:41:13 XYZ 2022", None),
+        ("Tue Nov 8 09:41:13 IST", None),
+        ("Tue Nov 8 09:41:13 Z IST 2022", None),
+        ("Tue Foo 8 09:41:13 IST 2022", None),
         ("not a date", None),
         ("", None),
         (None, None),
@@ -28,14 +28,14 @@ def test_java_dates(spark):
 
 
 def test_java_dates_with_offsets(spark):
-    cases = [("+05:30", "11:50:27"), ("-0800", "01:20:27"), ("GMT+02:00", "15:20:27"), ("UTC-01:00", "18:20:27")]
-    df = spark.createDataFrame([(f"Mon Jul 22 17:20:27 {z} 2019",) for z, _ in cases], "time string")
+    cases = [("+05:30", "04:11:13"), ("-0800", "17:41:13"), ("GMT+02:00", "07:41:13"), ("UTC-01:00", "10:41:13")]
+    df = spark.createDataFrame([(f"Tue Nov 8 09:41:13 {z} 2022",) for z, _ in cases], "time string")
     got = [r[0][11:] for r in df.select(parse_java_date("time").cast("string")).collect()]
     assert got == [t for _, t in cases]
 
 
 def test_unreadable_java_dates_are_not_lost(spark):
-    texts = ["Mon Jul 22 17:20:27 IST 2019", "Mon Jul 22 17:20:27 XYZ 2019", "never", None]
+    texts = ["Tue Nov 8 09:41:13 IST 2022", "Tue Nov 8 09:41:13 XYZ 2022", "never", None]
     df = spark.createDataFrame([(t,) for t in texts], "time string")
     assert [r.time for r in unreadable_dates(df, "time").collect()] == texts[1:3]
     with pytest.raises(PySparkException, match="no readable time"):
@@ -44,9 +44,9 @@ def test_unreadable_java_dates_are_not_lost(spark):
 
 
 def test_java_date_zones_can_be_given(spark):
-    df = spark.createDataFrame([("Mon Jul 22 17:20:27 IST 2019",)], "time string")
+    df = spark.createDataFrame([("Tue Nov 8 09:41:13 IST 2022",)], "time string")
     got = df.select(parse_java_date("time", {"IST": "+02:00"}).cast("string")).first()[0]
-    assert got == "2019-07-22 15:20:27"
+    assert got == "2022-11-08 07:41:13"
 
 
 def test_words(spark):

@@ -26,7 +26,7 @@ DEFAULT_ZONES: Mapping[str, str] = {
 def parse_java_date(
     text: Column | str, zones: Mapping[str, str] = DEFAULT_ZONES, on_unknown: str = "null"
 ) -> Column:
-    """Instant of text such as ``Mon Jul 22 17:20:27 IST 2019``, NULL where it cannot be read.
+    """Instant of text such as ``Tue Nov 8 09:41:13 IST 2022``, NULL where it cannot be read.
 
     The day name is not looked at. The zone is an offset (``+05:30``, ``+0530``, ``GMT+05:30``) or goes through
     ``zones``, because an abbreviation by itself is ambiguous. Text that cannot be read, its zone being unknown or
