@@ -23,8 +23,8 @@ def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of near-duplicates."""
-    return near_dedup.without_near_copies(docs)
+    """One of each group of near-duplicates, which share 80 of 100 shingles or more (op2: 85)."""
+    return near_dedup.without_near_copies(docs, percent=80)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -101,3 +101,55 @@ def test_substrings(documents, rows, monkeypatch):
 
 def test_substrings_of_nothing(nothing):
     assert substrings.remove_repeats(nothing).count() == 0
+
+
+def test_pipeline_drops_near_copies_from_80_of_100(spark):
+    """Pairs that share 80 to 84 of 100 shingles: op2 keeps both, the stage keeps one."""
+    import corpus_pipeline
+
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for i in range(40):
+        base = [word() for _ in range(104)]  # 100 shingles; n new words at the end give (100 - n) / (100 + n)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[: 104 - 11 + i % 3] + [word() for _ in range(11 - i % 3)]))]
+    _, component = brute.near([t for _, t in rows], percent=80)
+    assert len(set(component)) == 40 and len(set(brute.near([t for _, t in rows])[1])) == 80
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == list(range(0, 80, 2))
+    assert near_dedup.near_dedup(docs).where("kept").count() == 80
+
+
+@pytest.mark.parametrize("percent", [5, 30, 50, 65, 70, 80, 85, 100])
+def test_bands_and_sketches_follow_from_the_similarity(percent):
+    """Pairs exactly at the limit, drawn: none is missed, at any limit."""
+    import numpy as np
+
+    from tidemark.llm.shingles import BITS, ROWS, layout
+
+    count, rows, far = layout(percent)
+    assert count >= SAMPLES and 1 <= rows <= ROWS and (1 - (percent / 100) ** rows) ** (count // rows) <= 2.5e-8
+    draw = np.random.default_rng(percent)
+    for _ in range(4):
+        apart = draw.random((5000, SAMPLES)) * 100 >= percent
+        marks = np.zeros((5000, BITS), np.uint8)
+        for i in range(SAMPLES):
+            for _ in range(2):
+                marks[np.flatnonzero(apart[:, i]), draw.integers(0, BITS, apart[:, i].sum())] ^= 1
+        assert marks.sum(1).max() <= far
+
+
+@pytest.mark.parametrize("percent", [0, 101])
+def test_limits_that_are_no_share_are_refused(nothing, percent):
+    with pytest.raises(ValueError, match="percent"):
+        near_dedup.near_dedup(nothing, percent=percent)
+
+
+def test_pipeline_stage_on_the_table(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{brute.SF}/documents.parquet")
+    held = sorted(docs.select("doc_id", "text").collect())
+    _, component = brute.near([r.text for r in held], percent=80)
+    got = corpus_pipeline.near_copies(spark, docs, brute.SF)
+    assert sorted(r.doc_id for r in got.collect()) == [held[i].doc_id for i in sorted(set(component))]

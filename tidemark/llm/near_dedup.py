@@ -18,26 +18,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ROW, SMALL, kept, numbered, partitions, slices, table, text_of, without
-from tidemark.llm.shingles import bands, digests, odd_sketches, parities, samples, shingle_sets
+from tidemark.llm.shingles import bands, digests, layout, odd_sketches, parities, samples, shingle_sets
 
-#: Differing bits up to which a pair of odd sketches is confirmed: an estimate of 0.65, five deviations below 0.85.
-FAR = 58
 #: Classes of a bucket that are compared at once.
 BLOCK = 1024
 
 
-def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Of each text: the size and digests of its set, its band keys, its odd sketch and the parity bitmap of its set."""
+    count, band, _ = layout(percent)
     for batch in slices(batches, 2, 1 << 20):
         sets, ends = shingle_sets(batch.column(2), size)
         n = np.diff(ends)
         full = n > 0
         ends_full = np.concatenate([[0], np.cumsum(n[full])])
-        found = samples(sets, ends_full)
+        found = samples(sets, ends_full, count)
         first, second = digests(sets, ends)
         wide = lambda a: _rows(a, full)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), wide(bands(found).T), wide(odd_sketches(found)), wide(parities(sets, ends_full))],
+            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), wide(bands(found, band).T), wide(odd_sketches(found)), wide(parities(sets, ends_full))],
             ["id", "row", "size", "digest", "digest2", "bands", "sketch", "parity"],
         )
 
@@ -69,40 +68,47 @@ def _propose(members: pa.Table, percent: int, forest: bool) -> pa.Table:
     cut = np.flatnonzero((np.diff(group[0]) != 0) | (np.diff(group[1]) != 0) | (np.diff(group[2]) != 0)) + 1
     node, size, comp, block = (members[c].to_numpy() for c in ("node", "size", "comp", "block"))
     sketch, parity = _matrix(members["sketch"]), _matrix(members["parity"])
-    failed = members["failed"].to_pylist()
-    out: list[tuple[int, int]] = []
+    out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
     for i, j in zip([0, *cut], [*cut, len(node)], strict=True):
         of, parts = slice(i, j), comp[i:j]
         if j - i < 2 or (parts == parts[0]).all():
             continue
-        pairs = _close(sketch[of], parity[of], size[of], parts, block[of] if group[1][i] != group[2][i] else None, percent)
-        found: dict[int, int] = {}
-
-        def root(x: int, found: dict[int, int] = found) -> int:
-            while found.setdefault(x, x) != x:
-                found[x] = x = found[found[x]]
-            return x
-
-        for a, b in pairs:
-            if failed[i + a] and int(node[i + b]) in failed[i + a]:
-                continue
-            if forest:
-                p, q = root(int(parts[a])), root(int(parts[b]))
-                if p == q:
-                    continue
+        x, y = _close(sketch[of], parity[of], size[of], parts, block[of] if group[1][i] != group[2][i] else None, percent)
+        if forest:
+            tree = _forest(x, y, parts)
+            x, y = x[tree], y[tree]
+        out.append(np.sort(np.stack([node[i + x], node[i + y]], axis=1), axis=1))
+    pairs = np.concatenate(out)
+    return pa.Table.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _forest(x: np.ndarray, y: np.ndarray, parts: np.ndarray) -> list[int]:
+    """The places of the first pairs that join components, read in pieces."""
+    found: dict[int, int] = {}
+    out = []
+
+    def root(z: int) -> int:
+        while found.setdefault(z, z) != z:
+            found[z] = z = found[found[z]]
+        return z
+
+    for at in range(0, len(x), 1 << 14):
+        some = slice(at, at + (1 << 14))
+        for k, (a, b) in enumerate(zip(parts[x[some]].tolist(), parts[y[some]].tolist(), strict=True), at):
+            p, q = root(a), root(b)
+            if p != q:
                 found[p] = q
-            out.append((int(node[i + a]), int(node[i + b])))
-    pairs = np.array(out, np.int64).reshape(-1, 2)
-    return pa.Table.from_pydict({"a": pairs.min(1) if len(pairs) else pairs[:, 0], "b": pairs.max(1) if len(pairs) else pairs[:, 1]})
+                out.append(k)
+    return out
 
 
 def _proposer(percent: int, forest: bool) -> Callable[[pa.Table], pa.Table]:
     return lambda members: _propose(members, percent, forest)
 
 
-def _close(sketch: np.ndarray, parity: np.ndarray, size: np.ndarray, comp: np.ndarray, block: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+def _close(sketch: np.ndarray, parity: np.ndarray, size: np.ndarray, comp: np.ndarray, block: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of different components that sketches do not rule out, likeliest first."""
-    n, rows, found = len(size), max(1, 200_000 // len(size)), []
+    n, rows, found, (_, _, far) = len(size), max(1, 200_000 // len(size)), [], layout(percent)
     for i in range(0, n, rows):
         these = slice(i, min(i + rows, n))
         both = size[these, None] + size[None, :]
@@ -117,11 +123,11 @@ def _close(sketch: np.ndarray, parity: np.ndarray, size: np.ndarray, comp: np.nd
         sure = np.bitwise_count(parity[x] ^ parity[y]).sum(1) <= most[x - i, y]
         x, y = x[sure], y[sure]
         apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1)
-        near = apart <= FAR
-        found.append(np.stack([apart[near], x[near], y[near]]))
-    apart, x, y = np.concatenate(found, axis=1).astype(np.int64)
+        near = apart <= far
+        found.append(np.stack([apart[near], x[near], y[near]]).astype(np.int32))
+    apart, x, y = np.concatenate(found, axis=1)
     order = np.argsort(apart, kind="stable")
-    return list(zip(x[order].tolist(), y[order].tolist(), strict=True))
+    return x[order], y[order]
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -174,12 +180,15 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     without words are linked with nothing, and each is its own component. ``kept`` is one row of each component: the
     smallest id (no id last), of rows with one id the first; so of rows that repeat one is kept. ``row`` is ``row_col``,
     which then has to be unique, or else a number of the row. Other columns are not read. An empty table gives no rows.
+    Samples, bands and the cut of sketches follow from ``percent`` (1 to 100): a link is missed by the bands, or dropped by
+    its sketches, with a probability of 2.5e-8 each at most.
     """
+    layout(percent)  # raises for a value out of range
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), text_of(text_col).alias("text"))
     schema = f"id {kind}, row long, size long, digest long, digest2 long, bands binary, sketch binary, parity binary"
-    described = kept(rows.mapInArrow(lambda b: _describe(b, size), schema), "described")
+    described = kept(rows.mapInArrow(lambda b: _describe(b, size, percent), schema), "described")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
     # a text without words is a class of its own
     key = ["digest", "digest2", F.when(F.col("size") == 0, F.col("row")).alias("alone")]
@@ -209,9 +218,7 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, classes: Dat
     links, turn = None, 0
     while True:
         state = about.withColumn("comp", F.col("node")) if comps is None else about.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        none = F.lit(None).cast("array<long>")
-        state = state.withColumn("failed", none) if failed is None else state.join(failed, "node", "left")
-        state = kept(state.select("node", "size", "comp", "sketch", "parity", "failed"), "state")
+        state = kept(state.select("node", "size", "comp", "sketch", "parity"), "state")
         parts = members.join(state.select("node", "comp"), "node")
         torn = parts.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("band")
         blocks = F.ceil(F.col("members") / BLOCK).cast("int")
@@ -224,7 +231,7 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, classes: Dat
             .withColumn("deal", F.pmod(F.xxhash64("band", "one", "two"), F.lit(4 * partitions(spark))))
         )
         proposed = dealt.groupBy("deal").applyInArrow(_proposer(percent, turn == 0), "a long, b long").distinct()
-        proposed = kept(proposed, "proposed")
+        proposed = kept(proposed if failed is None else proposed.join(failed, ["a", "b"], "left_anti"), "proposed")
         n = proposed.count()
         if not n:
             return comps if comps is not None else spark.createDataFrame([], "node long, comp long")
@@ -234,17 +241,14 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, classes: Dat
         new_links, new_failed = tested.where("linked").select("a", "b"), tested.where("NOT linked").select("a", "b")
         links = new_links if links is None else links.unionByName(new_links)
         comps = kept(components(links), "components")
-        both = new_failed.unionByName(new_failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        if turn:
-            both = both.unionByName(failed.select(F.col("node").alias("a"), F.explode("failed").alias("b")))
-        failed = kept(both.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("failed")), "failed")
+        failed = new_failed if failed is None else failed.unionByName(new_failed)
         turn += 1
 
 
-def without_near_copies(docs: DataFrame, **columns: str) -> DataFrame:
+def without_near_copies(docs: DataFrame, percent: int = 85, **columns: str) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are: one of each component."""
     rows = numbered(docs)
-    return without(rows, near_dedup(rows, row_col=ROW, **columns).where("NOT kept").select(F.col("row").alias(ROW)))
+    return without(rows, near_dedup(rows, percent=percent, row_col=ROW, **columns).where("NOT kept").select(F.col("row").alias(ROW)))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

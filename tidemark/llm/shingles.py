@@ -2,19 +2,51 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 
 from tidemark.llm.common import hashes, inverses, lower, mixed, powers, spans, utf8
 
-#: MinHash samples of a text; bands of ``ROWS`` samples each find candidates.
-SAMPLES, ROWS = 96, 4
-BANDS = SAMPLES // ROWS
+#: MinHash samples of a text, at least (see ``layout``); sketches are made of so many.
+SAMPLES = 96
+#: Samples of a band at most.
+ROWS = 4
+#: How likely a link at the lowest similarity asked for is missed by all bands, and by its sketches, at most.
+MISSED = 2.5e-8
 #: Bits of an odd sketch.
 BITS = 512
 
-_FACTORS = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)).astype(np.uint32)
-_SALTS = mixed(np.arange(1001, 1001 + SAMPLES, dtype=np.uint64)).astype(np.uint32)
+
+@lru_cache
+def layout(percent: int) -> tuple[int, int, int]:
+    """For links of ``percent`` of 100 or more: how many samples a text has, how many of them make a band, and the number
+    of differing bits up to which a pair of odd sketches may be a link."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent has to be from 1 to 100, not {percent}")
+    p = percent / 100
+    missed = lambda rows: (1 - p**rows) ** (SAMPLES // rows)
+    rows = next((r for r in range(ROWS, 1, -1) if missed(r) <= MISSED), 1)
+    count = SAMPLES if missed(rows) <= MISSED else int(np.ceil(np.log(MISSED) / np.log1p(-p)))
+    # samples that differ put two marks each on the bits; how many bits have an odd number of them, by number of marks
+    bits = np.arange(BITS + 1)
+    odd, total, chance = np.zeros(BITS + 1), np.zeros(BITS + 1), p**SAMPLES
+    odd[0] = 1.0
+    for differing in range(SAMPLES + 1):
+        total += chance * odd
+        chance *= (SAMPLES - differing) / (differing + 1) * (1 - p) / p
+        for _ in range(2):
+            up, down = odd * (BITS - bits) / BITS, odd * bits / BITS
+            odd = np.concatenate([[0], up[:-1]]) + np.concatenate([down[1:], [0]])
+    beyond = np.cumsum(total[::-1])[::-1]  # so many bits or more
+    return count, rows, int(np.flatnonzero(beyond > MISSED)[-1])
+
+
+@lru_cache
+def _orders(count: int) -> tuple[np.ndarray, np.ndarray]:
+    factors = (mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)).astype(np.uint32)
+    return factors, mixed(np.arange(1001, 1001 + count, dtype=np.uint64)).astype(np.uint32)
 
 
 def shingle_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -48,23 +80,24 @@ def digests(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def samples(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """MinHash: for each of ``SAMPLES`` orders of all shingles, the first one of each set (sets may not be empty)."""
-    out = np.zeros((SAMPLES, len(ends) - 1), np.uint32)
+def samples(sets: np.ndarray, ends: np.ndarray, count: int = SAMPLES) -> np.ndarray:
+    """MinHash: for each of ``count`` orders of all shingles, the first one of each set (sets may not be empty)."""
+    out = np.zeros((count, len(ends) - 1), np.uint32)
+    factors, salts = _orders(count)
     if len(sets):
         # halves apart, so that an order depends on all 64 bits
         low, high = sets.astype(np.uint32), (sets >> np.uint64(32)).astype(np.uint32)
-        for i in range(SAMPLES):
-            out[i] = np.minimum.reduceat((low ^ _SALTS[i]) * _FACTORS[i] + high, ends[:-1])
+        for i in range(count):
+            out[i] = np.minimum.reduceat((low ^ salts[i]) * factors[i] + high, ends[:-1])
     return out
 
 
-def bands(found: np.ndarray) -> np.ndarray:
-    """A key for each band and text."""
-    out = np.zeros((BANDS, found.shape[1]), np.uint64)
-    for i in range(BANDS):
+def bands(found: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """A key for each band, of ``rows`` samples, and text."""
+    out = np.zeros((len(found) // rows, found.shape[1]), np.uint64)
+    for i in range(len(out)):
         key = np.full(found.shape[1], i + 1, np.uint64)
-        for row in found[i * ROWS : (i + 1) * ROWS]:
+        for row in found[i * rows : (i + 1) * rows]:
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + row)
         out[i] = key
     return out
