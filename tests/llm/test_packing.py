@@ -76,3 +76,11 @@ def test_plan_places_every_rank_once(seed):
     assert made.sequences >= -(-int((counts * np.arange(capacity + 1)).sum()) // capacity)
     lower = np.bincount(runs[:, 0], minlength=1)
     assert lower.sum() == len(runs)
+
+
+@pytest.mark.parametrize("text", ["ΟΔΟΣ", "ΟΔΟΣ.", "Σ", "ΣΑΣ, ΟΔΟΣ; οδος Οδός ΟΔΌΣ! aΣ"])
+def test_capital_sigma_at_the_end_of_words(text):
+    from tokenizers import Tokenizer
+
+    want = Tokenizer.from_file(packing.default_tokenizer()).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.tokenize([text], packing.default_tokenizer())[0], "<u4").tolist() == [*want, 0]

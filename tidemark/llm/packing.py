@@ -57,7 +57,8 @@ class Words(dict):
         for word in new:
             core = word.rstrip(_TAIL)
             if core.isalpha() and (len(core) < len(word) or not core.islower()):
-                low = core.lower()
+                # character by character, as the tokenizer does it: str.lower() has another sigma at the end of words
+                low = core.lower() if "\u03a3" not in core else "".join(c.lower() for c in core)
                 split[word] = (low if len(low) == len(core) else core), word[len(core) :]
         parts = {part for both in split.values() for part in both if part and part not in self}
         self._encode(new.difference(split) | parts)
