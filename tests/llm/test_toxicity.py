@@ -56,3 +56,27 @@ def test_odd_documents(documents, rows, nothing, model):
 def test_without_labels_of_both_kinds_nothing_is_toxic(documents, spark, labels):
     made = toxicity.fit(documents, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert not any(r.predicted for r in toxicity.score(documents, made).collect())
+
+
+def test_words_that_share_bits_with_a_telling_one_are_not_telling(spark):
+    """Clean words whose hashes agree with those of telling terms in the 24 lowest bits."""
+    import numpy as np
+    import pyarrow as pa
+
+    made = toxicity.fit(*planted(spark))
+    strong, mask = made.words[made.weights > 3], 0xFFFFFF
+    assert len(strong)
+    draw, found = np.random.default_rng(6), []
+    while len(found) < 2:
+        some = draw.integers(ord("k"), ord("u"), (300_000, 10), dtype=np.uint8)
+        some[:, -1] = ord(" ")
+        text = some.tobytes().decode()
+        words, terms = text.split(), toxicity.read(pa.array([text]))[0].words
+        whole = terms[: len(words)]  # whole words come first
+        found += [words[i] for i in np.flatnonzero(np.isin(whole & mask, strong & mask))]
+        for k, length in enumerate(toxicity.STEMS, 1):
+            stems = terms[k * len(words) : (k + 1) * len(words)]
+            found += [words[i] for i in np.flatnonzero(np.isin(stems & mask, strong & mask) & ~np.isin(stems, strong))]
+    rows = [(-1, "zz zz."), *((i, f"zz {w}.") for i, w in enumerate(found))]
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), made).collect()}
+    assert len(set(got.values())) == 1 and got[-1] < 0.1

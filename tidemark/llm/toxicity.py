@@ -18,19 +18,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_sums, hash_between, lower, mixed, slices, spans, table, text_of, utf8
+from tidemark.llm.common import byte_sums, hash_between, kept, lower, mixed, slices, spans, table, text_of, utf8
 
 #: Labelled rows that a fit takes at most, about: a documented bound, as the fit is made on the driver.
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 8000
 #: How sure a term has to be to get a weight: log likelihood ratio against chance, beyond the log of the number of terms
 #: that are in so many documents.
 CHANCE, SEEN = 0.0, 4
 #: Words count whole and by their first 4 to 7 bytes, which share what derived words have in common.
 STEMS = (4, 5, 6, 7)
 
-#: Terms are told apart by so many bits of their hash; the lowest three hold a stem's length, 0 for whole words.
-TERMS = 1 << 24
-_LENGTH = np.uint64(TERMS - 8)
+#: Terms are told apart by 61 bits of their hash; the lowest three hold a stem's length, 0 for whole words.
+_HASH, _LENGTH = np.uint64((1 << 64) - 8), np.uint64(7)
 
 _WORD_GAPS = np.ones(256, bool)
 _WORD_GAPS[128:] = False
@@ -58,7 +57,7 @@ class Sentences:
     of: np.ndarray  # the sentence of each
 
 
-def read(column: pa.Array, in_order: bool = False) -> tuple[Sentences, np.ndarray, np.ndarray]:
+def read(column: pa.Array) -> tuple[Sentences, np.ndarray, np.ndarray]:
     data, offsets = utf8(column)
     start, end, _ = spans(data, offsets, _ENDS)
     word_start, word_end, _ = spans(data, offsets, _WORD_GAPS)
@@ -69,32 +68,61 @@ def read(column: pa.Array, in_order: bool = False) -> tuple[Sentences, np.ndarra
     start, end = start[full], end[full]
     small, sentence = lower(data), place[of]
     sums = byte_sums(small)
-    terms, owners = [hash_between(small, sums, word_start, word_end) & _LENGTH], [sentence]
+    terms, owners = [hash_between(small, sums, word_start, word_end) & _HASH], [sentence]
     for length in STEMS:
         fit = word_end - word_start >= length
-        terms.append(hash_between(small, sums, word_start[fit], word_start[fit] + length) & _LENGTH | np.uint64(length))
+        terms.append(hash_between(small, sums, word_start[fit], word_start[fit] + length) & _HASH | np.uint64(length))
         owners.append(sentence[fit])
-    words, owner = np.concatenate(terms).astype(np.uint32), np.concatenate(owners)
-    if not in_order:
-        return Sentences(start, end, np.searchsorted(start, offsets), words, owner), data, offsets
-    order = np.argsort(owner, kind="stable")
-    return Sentences(start, end, np.searchsorted(start, offsets), words[order], owner[order]), data, offsets
+    return Sentences(start, end, np.searchsorted(start, offsets), np.concatenate(terms), np.concatenate(owners)), data, offsets
 
 
 def held_out(id_col: str) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
-def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each labelled text, the words' hashes and the length of its sentences."""
-    for batch in slices(batches, 0):
-        found, _, offsets = read(batch.column(0), in_order=True)
-        lengths = np.bincount(found.of, minlength=len(found.start)).astype(np.int32)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[found.first]
-        whole = np.where((found.words & np.uint32(7)) == 0, mixed(found.words.astype(np.uint64)), np.uint64(0))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(whole)])[np.concatenate([[0], np.cumsum(lengths)])]
-        as_bytes = lambda a, at: pa.array([a[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())
-        yield pa.RecordBatch.from_pydict({"words": as_bytes(found.words, ends), "lengths": as_bytes(lengths, found.first), "sums": as_bytes(np.diff(sums), found.first), "toxic": batch.column(1)})
+def _as_bytes(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.array([values[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each labelled text, what its sentences are told apart by."""
+    for batch in slices(batches, 1):
+        found, _, _ = read(batch.column(1))
+        whole = (found.words & _LENGTH) == 0
+        sums = np.zeros(len(found.start), np.uint64)
+        np.add.at(sums, found.of[whole], mixed(found.words[whole]))
+        yield pa.RecordBatch.from_pydict({"row": batch.column(0), "sums": _as_bytes(sums, found.first), "toxic": batch.column(2)})
+
+
+def _counts(batches: Iterator[pa.RecordBatch], marks: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+    """Terms, in how many texts they are, and in how many of them in a sentence that tells of toxic ones."""
+    for batch in slices(batches, 1):
+        found, _, _ = read(batch.column(1))
+        mark = np.frombuffer(b"".join(marks[row] for row in batch.column(0).to_pylist()), np.uint8)[found.of]
+        text = np.searchsorted(found.first, found.of, "right") - 1
+        order = np.lexsort((text, found.words))
+        order = order[mark[order] > 0]
+        words, text, mark = found.words[order], text[order], mark[order]
+        if not len(words):
+            continue
+        at = np.flatnonzero(np.concatenate([[True], (np.diff(words) != 0) | (np.diff(text) != 0)]))
+        words, telling = words[at], np.maximum.reduceat(mark, at) == 2
+        at = np.flatnonzero(np.concatenate([[True], np.diff(words) != 0]))
+        seen, bad = np.diff([*at, len(words)]), np.add.reduceat(telling.astype(np.int64), at)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(words[at].view(np.int64)), "seen": pa.array(seen, pa.int64()), "bad": pa.array(bad, pa.int64())})
+
+
+def _hits(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Of each labelled text, the places of its terms among the chosen ones, and their sentences."""
+    for batch in slices(batches, 1):
+        found, _, _ = read(batch.column(1))
+        at = np.searchsorted(chosen, found.words).clip(0, max(len(chosen) - 1, 0))
+        hit = np.flatnonzero(chosen[at] == found.words) if len(chosen) else np.zeros(0, int)
+        hit = hit[np.argsort(found.of[hit], kind="stable")]
+        of = found.of[hit]
+        text = np.searchsorted(found.first, of, "right") - 1
+        ends = np.searchsorted(of, found.first)
+        yield pa.RecordBatch.from_pydict({"row": batch.column(0), "terms": _as_bytes(at[hit].astype(np.int32), ends), "of": _as_bytes((of - found.first[text]).astype(np.int32), ends)})
 
 
 def fit(
@@ -118,53 +146,57 @@ def fit(
     drawn = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(min(1.0, sample_rows / rows) * (1 << 30))
     sample = docs.select(F.col(f"`{id_col}`").alias("_id"), text_of(text_col).alias("_text")).join(known.where(drawn), "_id")
     once = sample.groupBy(F.xxhash64("_text"), "_toxic").agg(F.first("_text").alias("_text"))  # copies prove nothing more
-    got = once.select("_text", "_toxic").mapInArrow(_numbers, "words binary, lengths binary, sums binary, toxic int").toArrow()
-    return _fit(
-        [np.frombuffer(x.as_buffer(), np.uint32) for x in got["words"]],
-        [np.frombuffer(x.as_buffer(), np.int32) for x in got["lengths"]],
-        [np.frombuffer(x.as_buffer(), np.uint64) for x in got["sums"]],
-        got["toxic"].to_numpy().astype(float),
-    )
-
-
-def _screen(words: list[np.ndarray], lengths: list[np.ndarray], sums: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """The terms that tell sentences of toxic documents from others. Different sentences count, and once a document, as
-    what copies share proves nothing more; a sentence is clean if any clean document has it."""
+    once = kept(once.select(F.monotonically_increasing_id().alias("row"), "_text", "_toxic"), "sample")
+    got = once.mapInArrow(_sums, "row long, sums binary, toxic int").toArrow()
+    sums, toxic = [np.frombuffer(x.as_buffer(), np.uint64) for x in got["sums"]], got["toxic"].to_numpy().astype(float)
+    if not 0 < toxic.sum() < len(toxic):
+        return Model(np.zeros(0, np.uint64), np.zeros(0), -12.0)
+    in_order = sorted(range(len(toxic)), key=lambda i: (sums[i].tobytes(), toxic[i]))  # results do not hang on the rows' order
+    rows, sums, toxic = got["row"].to_numpy()[in_order], [sums[i] for i in in_order], toxic[in_order]
+    marks = dict(zip(rows.tolist(), _marks(sums, toxic), strict=True))
+    counts = once.mapInArrow(lambda b: _counts(b, marks), "term long, seen long, bad long")
+    counts = kept(counts.groupBy("term").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad")).where(F.col("seen") >= SEEN), "terms")
+    chosen = _screen(counts.where("2 * bad > seen").toArrow(), counts.count(), toxic.mean())
+    hits = once.mapInArrow(lambda b: _hits(b, chosen), "row long, terms binary, of binary").toArrow()
+    of_row = {row: i for i, row in enumerate(hits["row"].to_pylist())}
+    places = [of_row[row] for row in rows.tolist()]
+    terms, of = ([np.frombuffer(hits[c][i].as_buffer(), np.int32) for i in places] for c in ("terms", "of"))
+    return _fit(chosen, terms, of, [len(s) for s in sums], toxic)
+
+
+def _marks(sums: list[np.ndarray], toxic: np.ndarray) -> Iterator[bytes]:
+    """A byte for each sentence of each document: 0 if a document before has it, 2 if it tells of toxic documents, else 1.
+    Different sentences count, as what copies share proves nothing more; a sentence is clean if any clean document has it."""
     clean = np.unique(np.concatenate([s for s, y in zip(sums, toxic, strict=True) if not y]))
-    seen, bad = np.zeros(TERMS, np.float32), np.zeros(TERMS, np.float32)
     past: set[int] = set()
-    for terms, length, sentences, y in zip(words, lengths, sums, toxic, strict=True):
+    for sentences, y in zip(sums, toxic, strict=True):
         new = np.array([x not in past for x in sentences.tolist()], bool)
         past.update(sentences.tolist())
         known = clean[np.searchsorted(clean, sentences).clip(0, len(clean) - 1)] == sentences if len(clean) else np.zeros(len(new), bool)
-        seen[np.unique(terms[np.repeat(new, length)])] += 1
-        if y:
-            bad[np.unique(terms[np.repeat(new & ~known, length)])] += 1
-    p, some = toxic.mean(), np.flatnonzero(seen >= SEEN)
-    share = bad[some] / seen[some]
+        yield (new + (new & ~known & bool(y)).astype(np.uint8)).astype(np.uint8).tobytes()
+
+
+def _screen(counts: pa.Table, terms: int, p: float) -> np.ndarray:
+    """The terms that tell sentences of toxic documents from others: of those in more toxic documents than others, with
+    ``terms`` the number of all that are in enough documents."""
+    seen, bad = (counts[c].to_numpy().astype(float) for c in ("seen", "bad"))
+    share = bad / seen
     with np.errstate(divide="ignore", invalid="ignore"):
         apart = np.nan_to_num(share * np.log(share / p)) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - p)))
-    return some[(share > 0.5) & (seen[some] * apart >= np.log(max(len(some), 1)) + CHANCE)].astype(np.uint32)
+    sure = seen * apart >= np.log(max(terms, 1)) + CHANCE
+    return np.sort(counts["term"].to_numpy().astype(np.int64)[sure].view(np.uint64))
 
 
-def _fit(words: list[np.ndarray], lengths: list[np.ndarray], sums: list[np.ndarray], toxic: np.ndarray, steps: int = 600, rate: float = 0.05) -> Model:
-    n, positives = len(toxic), float(toxic.sum())
-    if not 0 < positives < n:
-        return Model(np.zeros(0, np.uint32), np.zeros(0), -12.0)
-    in_order = sorted(range(n), key=lambda i: sums[i].tobytes())  # results do not hang on the rows' order
-    words, lengths, sums = ([x[i] for i in in_order] for x in (words, lengths, sums))
-    toxic = toxic[in_order]
-    chosen = _screen(words, lengths, sums, toxic)
+def _fit(chosen: np.ndarray, terms: list[np.ndarray], of: list[np.ndarray], sentences_of: list[int], toxic: np.ndarray, steps: int = 600, rate: float = 0.05) -> Model:
+    n = len(toxic)
     # documents as a number of plain sentences, and sentences that hold a chosen term
     columns, rows, docs, plain, held = [], [], [], np.zeros(n), 0
-    for i, (terms, length) in enumerate(zip(words, lengths, strict=True)):
-        at = np.searchsorted(chosen, terms).clip(0, max(len(chosen) - 1, 0))
-        hit = np.flatnonzero(chosen[at] == terms) if len(chosen) else np.zeros(0, int)
-        sentences, row = np.unique(np.repeat(np.arange(len(length)), length)[hit], return_inverse=True)
-        columns.append(at[hit])
+    for i, (at, sentence) in enumerate(zip(terms, of, strict=True)):
+        sentences, row = np.unique(sentence, return_inverse=True)
+        columns.append(at)
         rows.append(row + held)
         docs.append(np.full(len(sentences), i))
-        plain[i] = len(length) - len(sentences)
+        plain[i] = sentences_of[i] - len(sentences)
         held += len(sentences)
     column, row, doc = (np.concatenate(x).astype(int) for x in (columns, rows, docs))
     theta = np.zeros(len(chosen) + 3)
