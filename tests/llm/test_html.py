@@ -62,3 +62,40 @@ def test_viterbi_is_the_best_chain(field):
     value = lambda c: field.first[c[0]] + sum(score[i][y] for i, y in enumerate(c)) + sum(field.step[a][b] for a, b in itertools.pairwise(c))
     best = max(itertools.product((0, 1), repeat=len(leaves)), key=value)
     assert html_text.decode(leaves, field) == [bool(y) for y in best]
+
+
+BODY = f"<article><h1>A title</h1><p>{TEXT * 3}</p><p>{TEXT * 4}</p></article>"
+WANT = "\n\n".join(["A title", (TEXT * 3).strip(), (TEXT * 4).strip()])
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><meta charset=utf-8><body>{BODY}</body></html>",
+        f"<html><head><title>T</title><style>p{{}}</style>{BODY}</html>",
+        f"<html><head><title>T</title></head><body>{BODY}</body></html>",
+    ],
+)
+def test_a_head_may_go_unclosed(field, page):
+    assert html_text.main_text(page, field) == WANT
+
+
+HALF = f"<html><head><title>T</title></head><body><article><h1>A title</h1><p>{TEXT * 3}</p>{{}}<p>{TEXT * 4}</p></article>{{}}</body></html>"
+
+
+@pytest.mark.parametrize("part", ['<svg class="i"/>', "<svg/>", "<svg>", "<svg class=i><path/>", "<iframe src=x>", "<noscript><img src=x>", "<template>"])
+@pytest.mark.parametrize("later", ["", "<svg><text>no</text></svg><iframe>no</iframe><noscript>no</noscript><template>no</template>"])
+def test_what_nothing_closes_hides_nothing(field, part, later):
+    assert html_text.main_text(HALF.format(part, later), field) == WANT
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<svg><title>no</title><text>no</text></svg>", "<svg><svg><text>no</text></svg><text>no</text></svg>", "<svg><style/><title/><text>no</text></svg>", "<SVG a='x'><text>no</text></svg >",
+        "<template><p>no</p><template><p>no</p></template><p>no</p></template>", "<noscript><p>no</p></noscript>", "<iframe src=x><p>no</p></iframe>", "<script>'<svg>'</script>", "<!-- <template> -->",
+    ],
+)
+def test_what_is_closed_hides_what_is_in_it(part):
+    page = HALF.format(part, "")
+    assert [leaf.text for leaf in html_text.leaves(page)] == [leaf.text for leaf in html_text.leaves(HALF.format("", ""))]

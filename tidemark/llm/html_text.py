@@ -31,15 +31,21 @@ _BLOCK_TAGS = set(
     "tfoot th thead tr ul".split()
 )
 _VOID_TAGS = set("area base br col embed hr img input link meta source track wbr".split())
-_UNSEEN = "script|style|template|noscript|head|title|svg|iframe|textarea"
+#: What is in these is no markup; without an end tag they go on to the end of the page.
+_RAW = "script|style|title|textarea"
+#: What is in these is not seen; without an end tag of their own they hide nothing.
+_HIDDEN = ("svg", "iframe", "template", "noscript")
 #: A tag of the first kind ends an open one of the second.
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _IN_P = _BLOCK_TAGS - {"body", "html", "button", "label", "option", "optgroup", "select"}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_UNSEEN})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/a-z][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/a-z][^>]*>",
     re.I | re.S,
 )
+_MARK = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)({_RAW}|{'|'.join(_HIDDEN)})(?=[\s/>])([^>]*)>", re.I | re.S)
+_HIDES = re.compile(rf"<(?:{'|'.join(_HIDDEN)})(?=[\s/>])", re.I)
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW.split("|")}
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -52,8 +58,32 @@ class Leaf:
     linked: int  # code points in links
 
 
+def _hidden(page: str) -> dict[int, int]:
+    """Where parts that are not seen begin and end. A start tag goes with the end tag that closes it, those in between left
+    out; one that nothing closes, or a self-closed svg, begins no such part."""
+    spans: dict[int, int] = {}
+    if not _HIDES.search(page):
+        return spans
+    open_at: dict[str, list[int]] = {tag: [] for tag in _HIDDEN}
+    at = 0
+    while mark := _MARK.search(page, at):
+        at, tag = mark.end(), (mark[2] or "").lower()
+        closed = (mark[3] or "").endswith("/")
+        if tag in _RAW_ENDS:
+            if not mark[1] and not (closed and open_at["svg"]):
+                end = _RAW_ENDS[tag].search(page, at)
+                at = end.end() if end else len(page)
+        elif tag and mark[1]:
+            if open_at[tag]:
+                spans[open_at[tag].pop()] = at
+        elif tag and not (tag == "svg" and closed):
+            open_at[tag].append(mark.start())
+    return spans
+
+
 def leaves(page: str) -> list[Leaf]:
-    """The blocks of text of a page, in page order. Scripts, styles, the head and comments hold none."""
+    """The blocks of text of a page, in page order. Scripts, styles, titles and comments hold none. The tags of the head
+    are passed over, as either may be left out, and what else a head holds has no text."""
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
@@ -68,17 +98,20 @@ def leaves(page: str) -> list[Leaf]:
             text.clear()
         linked = 0
 
-    for token in _TOKEN.finditer(page):
+    hidden = _hidden(page)
+    while token := _TOKEN.search(page, at):
         if token.start() > at:
             text.append(page[at : token.start()])
             if links:
                 linked += token.start() - at
-        at = token.end()
+        at = max(token.end(), hidden.get(token.start(), 0))
         tag = (token[3] or "").lower()
-        if not tag:
-            if token[1]:
+        if not tag or tag in _HIDDEN or token.start() in hidden:
+            if token[1] or tag:
                 text.append(" ")
             continue
+        if tag == "head":
+            continue
         if tag in _BLOCK_TAGS:
             flush()
         if token[2]:
