@@ -15,7 +15,7 @@ from tidemark.llm import ORACLES, QUERIES, exact_dedup, mixing, packing, toxicit
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     return connection
 
@@ -30,7 +30,7 @@ def test_against_sql(spark, db, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, documents):
@@ -53,7 +53,7 @@ def test_pipeline(spark, documents):
             stay = [held[min(g, key=lambda i: (-len(held[i].text), held[i].doc_id))].doc_id for g in groups.values()]
             want = before.where(before.doc_id.isin(stay))
         elif name == "near_dedup":
-            _, component = brute.near([r.text for r in held])
+            _, component = brute.near([r.text for r in held], percent=80)
             want = before.where(before.doc_id.isin([held[i].doc_id for i in set(component)]))
         elif name == "mixing":
             db = duckdb.connect()

@@ -1,6 +1,20 @@
 """The registered query of each operator, and the SQL that has to agree where SQL can express it."""
 
-from tidemark.llm import chat, exact_dedup, hilbert, html_text, lattice, mixing, near_dedup, packing, substrings, toxicity
+from tidemark.llm import (
+    centroids,
+    chat,
+    exact_dedup,
+    hilbert,
+    html_text,
+    lattice,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    substrings,
+    toxicity,
+    whitening,
+)
 
 QUERIES = {
     "op1_suffix_dedup": substrings.op1_suffix_dedup,
@@ -13,9 +27,14 @@ QUERIES = {
     "op8_lattice": lattice.op8_lattice,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_shallot": centroids.op11_shallot,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_line_dedup": line_dedup.op13_line_dedup,
 }
 ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op5_chat": chat.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op11_shallot": centroids.ORACLE,
+    "op13_line_dedup": line_dedup.ORACLE,
 }
