@@ -1,0 +1,162 @@
+"""First rows as a stream of changes, and aggregates of them that run on the stream."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import avg_by, count_by, first_by, windowed_avg, windowed_count
+from tidemark.streaming import CHANGE, first_changes, latest_per_key, run_to_table, settled
+
+START = dt.datetime(2021, 5, 3, 10)
+SCHEMA = "vehicle string, at timestamp, id long, kind string, speed double, seen timestamp"
+
+
+def readings(seed=1, n=400):
+    """One vehicle has a third of the rows, and so has none at all; some have no time, some repeat, some tie."""
+    draw = random.Random(seed)
+    out = []
+    for i in range(n):
+        vehicle = draw.choice(["v1", None, f"v{draw.randint(2, 30)}"])
+        at = None if draw.random() < 0.05 else START + dt.timedelta(minutes=draw.randint(0, 300))
+        out.append((vehicle, at, draw.randint(0, 50), draw.choice("ab") if draw.random() < 0.9 else None, draw.choice([None, 10.0, 20.0, 35.0]), START))
+    return out + out[:20]
+
+
+def files(spark, folder, parts):
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(folder))
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def parts_of(rows, n, seed=2):
+    rows = list(rows)
+    random.Random(seed).shuffle(rows)
+    return [rows[i::n] for i in range(n)]
+
+
+def same(a, b):
+    assert sorted(map(repr, a.select(sorted(a.columns)).collect())) == sorted(map(repr, b.select(sorted(b.columns)).collect()))
+
+
+TIE = ["id", "kind", "speed"]
+
+
+def changes_of(stream, **how):
+    return first_changes(stream, ["vehicle"], "at", TIE, **how)
+
+
+@pytest.fixture(scope="module")
+def first(spark):
+    return first_by(spark.createDataFrame(readings(), SCHEMA), ["vehicle"], "at", TIE)
+
+
+@pytest.mark.parametrize("n,held", [(1, 50_000), (5, 10)])
+def test_changes_add_up_to_the_first_rows(spark, tmp_path, first, n, held):
+    changes = changes_of(files(spark, tmp_path / "in", parts_of(readings(), n)), held=held)
+    assert changes.columns == [*SCHEMA.replace(",", "").split()[::2], CHANGE]
+    out = run_to_table(changes, "update")
+    left = out.groupBy(*first.columns).agg(F.sum(CHANGE).alias("n")).where("n <> 0")
+    assert {r.n for r in left.collect()} == {1}
+    same(left.drop("n"), first)
+    if n == 1:
+        assert out.where("change < 0").count() == 0  # within one batch nothing has to be taken back
+    else:
+        assert out.where("change < 0").count() > 0
+
+
+AGGREGATES = {
+    "count": (["kind"], lambda df, change: count_by(df, ["kind"], change=change)),
+    "avg": (["kind"], lambda df, change: avg_by(df, ["kind"], "speed", change=change)),
+    "windows": (["window_start", "window_end", "kind"], lambda df, change: windowed_count(df, "at", "30 minutes", ["kind"], change=change)),
+    "averages": (["window_start", "window_end", "kind"], lambda df, change: windowed_avg(df, "at", "1 hour", ["kind"], "speed", slide="20 minutes", change=change)),
+}
+
+
+@pytest.mark.parametrize("name", AGGREGATES)
+def test_aggregates_on_the_stream_are_those_of_the_table(spark, tmp_path, first, name):
+    """Six files out of order, one in a batch: groups come and go."""
+    keys, aggregate = AGGREGATES[name]
+    updates = run_to_table(aggregate(changes_of(files(spark, tmp_path / "in", parts_of(readings(), 6))), CHANGE), "update")
+    assert updates.select("batch_id").distinct().count() >= 6
+    same(settled(updates, keys), aggregate(first, None))
+
+
+def test_a_group_that_is_gone(spark, tmp_path):
+    late, early = ("v", START + dt.timedelta(hours=1), 1, "a", 1.0, START), ("v", START, 2, "b", 2.0, START)
+    updates = run_to_table(count_by(changes_of(files(spark, tmp_path / "in", [[late], [early]])), ["kind"], change=CHANGE), "update")
+    assert {(r.kind, r["count"]) for r in latest_per_key(updates, ["kind"]).collect()} == {("a", 0), ("b", 1)}
+    assert [(r.kind, r["count"]) for r in settled(updates, ["kind"]).collect()] == [("b", 1)]
+
+
+def test_complete_mode_is_sorted(spark, tmp_path, first):
+    changes = changes_of(files(spark, tmp_path / "in", parts_of(readings(), 3)))
+    windows = windowed_count(changes, "at", "30 minutes", ["kind"], ordered=True, change=CHANGE)
+    same(run_to_table(windows, "complete").where("rows > 0").drop("rows"), windowed_count(first, "at", "30 minutes", ["kind"]))
+
+
+def test_a_restart_goes_on_with_its_state(spark, tmp_path, first):
+    parts, run = parts_of(readings(), 4), str(tmp_path / "run")
+    for some in (parts[:2], parts[2:]):
+        stream = files(spark, tmp_path / "in", some)
+        updates = run_to_table(count_by(changes_of(stream), ["kind"], change=CHANGE), "update", run)
+    same(settled(updates, ["kind"]), count_by(first, ["kind"]))
+
+
+# --- With a watermark -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_windows_behind_a_watermark(spark, tmp_path, mode):
+    """Rows in order of time but for a delay of half an hour, in five batches: the same windows as of the table."""
+    draw = random.Random(4)
+    rows = [r for r in readings(3) if r[1] is not None]
+    rows.sort(key=lambda r: r[1] + dt.timedelta(minutes=draw.randint(0, 29)))
+    parts = [rows[len(rows) * i // 5 : len(rows) * (i + 1) // 5] for i in range(5)]
+    changes = changes_of(files(spark, tmp_path / "in", parts), delay="30 minutes")
+    windows = windowed_count(changes, "at", "30 minutes", ["kind"], ordered=mode == "complete", change=CHANGE)
+    out = run_to_table(windows, mode)
+    got = settled(out, ["window_start", "window_end", "kind"]) if mode == "update" else out.where("rows > 0").drop("rows")
+    same(got, windowed_count(first_by(spark.createDataFrame(rows, SCHEMA), ["vehicle"], "at", TIE), "at", "30 minutes", ["kind"]))
+
+
+def test_late_rows_change_nothing(spark, tmp_path):
+    """The third batch is more than the delay behind the second one: its rows are no first readings any more."""
+    minute = lambda m: START + dt.timedelta(minutes=m)
+    row = lambda vehicle, m: (vehicle, minute(m), 1, "a", 1.0, START)
+    parts = [[row("x", 5), row("y", 50)], [row("x", 130), row("z", 125)], [row("y", 1), row("w", 2), row("z", 124), row("u", 126)]]
+    changes = changes_of(files(spark, tmp_path / "in", parts), delay="10 minutes")
+    got = settled(run_to_table(windowed_count(changes, "at", "1 hour", ["kind"], change=CHANGE), "update"), ["window_start", "window_end", "kind"])
+    # z at 124 and u at 126 are within the delay, y at 1 and w at 2 are not
+    assert {(r.window_start, r["count"]) for r in got.collect()} == {(minute(0), 2), (minute(120), 2)}
+
+
+def test_state_of_closed_windows_is_dropped(spark, tmp_path):
+    run = str(tmp_path / "run")
+    rows = [(f"v{i}", START + dt.timedelta(minutes=10 * i), i, "a", 1.0, START) for i in range(60)]
+    stream = files(spark, tmp_path / "in", [rows[i : i + 10] for i in range(0, 60, 10)])
+    windows = windowed_count(changes_of(stream, delay="1 minute"), "at", "30 minutes", ["kind"], change=CHANGE)
+    run_to_table(windows, "update", run)
+    operators = spark.read.format("state-metadata").load(f"{run}/checkpoint").select("operatorId", "operatorName").distinct().collect()
+    assert {r.operatorName.lower()[:9] for r in operators} == {"transform", "statestor"}
+    window_state = next(r.operatorId for r in operators if "statestoresave" in r.operatorName.lower())
+    left = spark.read.format("statestore").option("operatorId", window_state).load(f"{run}/checkpoint")
+    assert 0 < left.count() <= 3 and spark.createDataFrame(rows, SCHEMA).count() == 60
+
+
+def test_keys_are_reduced_within_a_task(spark, tmp_path):
+    from tidemark.streaming.changes import _first_in_task
+
+    rows = [(k, i, 1) for i in range(1000) for k in ("a", None, "b")]
+    df = spark.createDataFrame(rows, "k string, at long, id long").select("k", F.lit(False).alias("u"), "at", "id").coalesce(1)
+    got = df.mapInArrow(_first_in_task(["k"], ["u", "at", "id"], 100), df.schema).collect()
+    assert sorted((str(r.k), r["at"]) for r in got) == [("None", 0), ("a", 0), ("b", 0)]
+
+
+def test_wrong_columns(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    with pytest.raises(ValueError):
+        first_changes(df, ["vehicle"], "id")
+    with pytest.raises(ValueError):
+        first_changes(df, ["at"], "at")

@@ -1,6 +1,10 @@
 """Counts and averages by key and by time window.
 
 All of them aggregate within each task before the shuffle, on tables and on streams.
+
+With ``change``, a column of +1 and -1, they take a stream of changes (``streaming.first_changes``) for the rows that are left
+when all changes are made. The result then has one more column, ``rows``, of how many of them are in the group; a
+group of which none are left has 0 there, which in update mode tells that the group is gone (``streaming.settled``).
 """
 
 from collections.abc import Sequence
@@ -9,17 +13,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _average(value: str) -> Column:
+def _average(value: str, change: str | None = None) -> Column:
     # Readings come as text; one that is no number must not stop the query.
-    return F.avg(F.col(value).try_cast("double")).alias(value)
+    number = F.col(value).try_cast("double")
+    if change is None:
+        return F.avg(number).alias(value)
+    # Whole numbers add up and cancel exactly; other doubles leave what rounding makes of them.
+    counted = F.sum(F.when(number.isNotNull(), F.col(change)))
+    return F.try_divide(F.sum(number * F.col(change)), counted.cast("double")).alias(value)
+
+
+def _count(change: str | None) -> Column:
+    return (F.count("*") if change is None else F.sum(change)).alias("count")
+
+
+def _left(change: str | None) -> list[Column]:
+    return [] if change is None else [F.sum(change).alias("rows")]
 
 
-def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("count"))
+def count_by(df: DataFrame, keys: Sequence[str], change: str | None = None) -> DataFrame:
+    return df.groupBy(*keys).agg(_count(change), *_left(change))
 
 
-def avg_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys).agg(_average(value))
+def avg_by(df: DataFrame, keys: Sequence[str], value: str, change: str | None = None) -> DataFrame:
+    return df.groupBy(*keys).agg(_average(value, change), *_left(change))
 
 
 def _windowed(
@@ -32,14 +49,19 @@ def _windowed(
     slide: str | None,
     delay: str | None,
     ordered: bool,
+    change: str | None,
 ) -> DataFrame:
     if delay is not None:
         df = df.withWatermark(ts, delay)
     out = (
         df.groupBy(F.window(ts, size, slide), *keys)
-        .agg(result)
+        .agg(result, *_left(change))
         .select(
-            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, name
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            *keys,
+            name,
+            *(["rows"] if change else []),
         )
     )
     return out.orderBy("window_start", *keys) if ordered else out
@@ -53,12 +75,13 @@ def windowed_count(
     slide: str | None = None,
     delay: str | None = None,
     ordered: bool = False,
+    change: str | None = None,
 ) -> DataFrame:
     """Rows per time window and key; rows without a time belong to no window.
 
     ``delay`` sets a watermark. ``ordered`` sorts by window, which a stream allows in complete mode only.
     """
-    return _windowed(df, ts, size, keys, F.count("*").alias("count"), "count", slide, delay, ordered)
+    return _windowed(df, ts, size, keys, _count(change), "count", slide, delay, ordered, change)
 
 
 def windowed_avg(
@@ -70,6 +93,7 @@ def windowed_avg(
     slide: str | None = None,
     delay: str | None = None,
     ordered: bool = False,
+    change: str | None = None,
 ) -> DataFrame:
     """Average of ``value`` per time window and key; see ``windowed_count``."""
-    return _windowed(df, ts, size, keys, _average(value), value, slide, delay, ordered)
+    return _windowed(df, ts, size, keys, _average(value, change), value, slide, delay, ordered, change)

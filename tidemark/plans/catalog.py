@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vehicle_dedup": telemetry.vehicle_dedup,
     "type_count": telemetry.type_count,
     **telemetry.STREAMS,
+    **telemetry.FIRST_WATERMARK_STREAMS,
     "route_type_count": telemetry.route_type_count,
     "route_avg_speed": telemetry.route_avg_speed,
     "route_type_avg_speed": telemetry.route_type_avg_speed,
@@ -290,4 +291,5 @@ ORACLES: dict[str, str] = {
         WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')""",
 }
 ORACLES |= {name: ORACLES[name.removesuffix("_stream")] for name in telemetry.STREAMS}
+ORACLES |= {name: ORACLES[name.removesuffix("_first_watermark_stream")] for name in telemetry.FIRST_WATERMARK_STREAMS}
 ORACLES |= {"ad_click_from_messages": _AD_INTERVAL, "ad_click_from_messages_stream": _AD_INTERVAL, "tips_sliding_stream": _TIPS}

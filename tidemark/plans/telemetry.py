@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse_java_date
-from tidemark.operators import avg_by, count_by, decode_json, dedup, first_by, windowed_avg, windowed_count
+from tidemark.operators import avg_by, count_by, decode_json, dedup, windowed_avg, windowed_count
 from tidemark.schemas import TRAFFIC
 from tidemark.sources import (
     FILES_PER_BATCH,
@@ -15,7 +15,7 @@ from tidemark.sources import (
     read_table,
     read_table_stream,
 )
-from tidemark.streaming import latest_per_key, run_to_table
+from tidemark.streaming import CHANGE, first_changes, latest_per_key, run_to_table, settled
 
 _ROUTE = "get_json_object(props, '$.k')"
 
@@ -35,92 +35,88 @@ def _readings(events: DataFrame, *fields: str) -> DataFrame:
     return events.selectExpr(*(f"{_READING[f][1]} AS {f}" for f in fields))
 
 
-def _first_readings(spark: SparkSession, folder: str, *fields: str, stream: bool = False) -> DataFrame:
-    """The first reading of each vehicle; with ``stream``, as a stream of all files there are now leaves it.
-
-    Only the columns the query needs go through the de-duplication, and only the rows that are left
-    of them are parsed. A stream keeps one row per vehicle, in update mode: files may come in any order, and the last
-    version of each vehicle's row is the same as that of the table.
-    """
+def _first_readings(spark: SparkSession, folder: str, *fields: str) -> DataFrame:
+    """The first reading of each vehicle. Only the columns the query needs go through the de-duplication, and only the rows
+    that are left of them are parsed."""
     fields = ("vehicleId", "eventTime", "readingId", *fields)
-    columns = [_READING[f][0] for f in fields]
-    if stream:
-        events = read_table_stream(spark, folder, "events", FILES_PER_BATCH).select(*columns)
-        updates = run_to_table(first_by(events, ["user_id"], "ts", ["event_id"]), "update")
-        return _readings(latest_per_key(updates, ["user_id"]), *fields)
-    events = read_table(spark, folder, "events").select(*columns)
+    events = read_table(spark, folder, "events").select(*(_READING[f][0] for f in fields))
     return _readings(dedup(events, ["user_id"], "ts", ["event_id"]), *fields)
 
 
-def type_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    return count_by(_first_readings(spark, folder, "vehicleType", stream=stream), ["vehicleType"])
-
-
-def route_type_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    keys = ["routeId", "vehicleType"]
-    return count_by(_first_readings(spark, folder, *keys, stream=stream), keys)
-
-
-def route_avg_speed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    return avg_by(_first_readings(spark, folder, "routeId", "speed", stream=stream), ["routeId"], "speed")
-
-
-def route_type_avg_speed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    keys = ["routeId", "vehicleType"]
-    return avg_by(_first_readings(spark, folder, *keys, "speed", stream=stream), keys, "speed")
-
-
-def route_type_window_avg_speed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    keys = ["routeId", "vehicleType"]
-    readings = _first_readings(spark, folder, *keys, "speed", stream=stream)
-    return as_wall_clock(windowed_avg(readings, "eventTime", "30 minutes", keys, "speed"))
+def _first_reading_changes(spark: SparkSession, folder: str, *fields: str, delay: str | None = None) -> DataFrame:
+    """The same as a stream of changes: files may come in any order, but for what a watermark's ``delay`` shuts out."""
+    fields = ("vehicleId", "eventTime", "readingId", *fields)
+    events = read_table_stream(spark, folder, "events", FILES_PER_BATCH).select(*(_READING[f][0] for f in fields))
+    changes = first_changes(events, ["user_id"], "ts", ["event_id"], delay)
+    return changes.selectExpr(*(f"{_READING[f][1]} AS {f}" for f in fields), CHANGE)
 
 
-def _window_count(
-    spark: SparkSession, folder: str, size: str, keys: list[str], stream: bool, delay: str | None = None, ordered: bool = True
-) -> DataFrame:
-    readings = _first_readings(spark, folder, *keys, stream=stream)
-    return as_wall_clock(windowed_count(readings, "eventTime", size, keys, delay=delay, ordered=ordered))
+#: What each program counts or averages over the first reading of each vehicle: its fields, and the aggregate.
+_KEYED = {
+    "type_count": (("vehicleType",), count_by, ()),
+    "route_type_count": (("routeId", "vehicleType"), count_by, ()),
+    "route_avg_speed": (("routeId",), avg_by, ("speed",)),
+    "route_type_avg_speed": (("routeId", "vehicleType"), avg_by, ("speed",)),
+}
+_WINDOWED = {
+    "route_type_window_avg_speed": (("routeId", "vehicleType"), windowed_avg, ("speed",), "30 minutes"),
+    "type_window_count": (("vehicleType",), windowed_count, (), "30 minutes"),
+    "route_type_window_count": (("routeId", "vehicleType"), windowed_count, (), "30 minutes"),
+    "route_window_count": (("routeId",), windowed_count, (), "1 hour"),
+}
 
 
-def type_window_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    return _window_count(spark, folder, "30 minutes", ["vehicleType"], stream)
+def _keyed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    keys, aggregate, values = _KEYED[name]
+    return aggregate(_first_readings(spark, folder, *keys, *values), list(keys), *values)
 
 
-def type_window_count_watermark(spark: SparkSession, folder: str) -> DataFrame:
-    return _window_count(spark, folder, "30 minutes", ["vehicleType"], False, delay="5 seconds")
+def _keyed_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    keys, aggregate, values = _KEYED[name]
+    changes = _first_reading_changes(spark, folder, *keys, *values)
+    return settled(run_to_table(aggregate(changes, list(keys), *values, change=CHANGE), "update"), keys)
 
 
-def route_type_window_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    return _window_count(spark, folder, "30 minutes", ["routeId", "vehicleType"], stream)
+def _windows(spark: SparkSession, folder: str, name: str, delay: str | None = None, ordered: bool = False) -> DataFrame:
+    keys, aggregate, values, size = _WINDOWED[name]
+    readings = _first_readings(spark, folder, *keys, *values)
+    return as_wall_clock(aggregate(readings, "eventTime", size, list(keys), *values, delay=delay, ordered=ordered))
 
 
-def route_window_count(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    return _window_count(spark, folder, "1 hour", ["routeId"], stream)
+def _windows_stream(spark: SparkSession, folder: str, name: str, delay: str | None = None, mode: str = "update") -> DataFrame:
+    """Windows over changes. In update mode the last version of each window counts; in complete mode the result is written whole, sorted."""
+    keys, aggregate, values, size = _WINDOWED[name]
+    changes = _first_reading_changes(spark, folder, *keys, *values, delay=delay)
+    windows = aggregate(changes, "eventTime", size, list(keys), *values, ordered=mode == "complete", change=CHANGE)
+    out = run_to_table(windows, mode)
+    if mode == "complete":
+        return as_wall_clock(out.where("rows > 0").drop("rows"))
+    return as_wall_clock(settled(out, ["window_start", "window_end", *keys]))
 
 
-def route_window_count_watermark(spark: SparkSession, folder: str) -> DataFrame:
-    return _window_count(spark, folder, "1 hour", ["routeId"], False, delay="1 minute", ordered=False)
+type_count = partial(_keyed, name="type_count")
+route_type_count = partial(_keyed, name="route_type_count")
+route_avg_speed = partial(_keyed, name="route_avg_speed")
+route_type_avg_speed = partial(_keyed, name="route_type_avg_speed")
+route_type_window_avg_speed = partial(_windows, name="route_type_window_avg_speed")
+type_window_count = partial(_windows, name="type_window_count", ordered=True)
+type_window_count_watermark = partial(_windows, name="type_window_count", delay="5 seconds", ordered=True)
+route_type_window_count = partial(_windows, name="route_type_window_count", ordered=True)
+route_window_count = partial(_windows, name="route_window_count", ordered=True)
+route_window_count_watermark = partial(_windows, name="route_window_count", delay="1 minute")
 
+#: The same programs on a stream from end to end: first readings as changes, then the aggregate; results are those of the table.
+STREAMS = {f"{name}_stream": partial(_keyed_stream, name=name) for name in _KEYED}
+STREAMS |= {f"{name}_stream": partial(_windows_stream, name=name) for name in _WINDOWED}
 
-#: Programs over the first reading of each vehicle that run on a stream as well; results are those of the table.
-STREAMS = {
-    f"{query.__name__}_stream": partial(query, stream=True)
-    for query in (
-        type_count,
-        route_type_count,
-        route_avg_speed,
-        route_type_avg_speed,
-        route_type_window_avg_speed,
-        type_window_count,
-        route_type_window_count,
-        route_window_count,
-    )
+#: With a watermark set before the de-duplication and handed on to the windows, in the output modes of the programs.
+FIRST_WATERMARK_STREAMS = {
+    "type_window_count_first_watermark_stream": partial(_windows_stream, name="type_window_count", delay="5 seconds", mode="complete"),
+    "route_window_count_first_watermark_stream": partial(_windows_stream, name="route_window_count", delay="1 minute"),
 }
 
 
-# A watermark has to see readings in about their order, which the parts of a table are not in: these two count all
-# readings, and take all files as one batch where a late file would lose rows.
+# These two count all readings, without the de-duplication.
 
 
 def type_window_count_watermark_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,22 +1,27 @@
+from tidemark.streaming.changes import CHANGE, first_changes
 from tidemark.streaming.queries import (
     await_any,
     await_query,
     latest_per_key,
     run_to_table,
     scratch_folder,
+    settled,
     word_count_per_batch,
 )
 from tidemark.streaming.session_state import event_time_sessions, processing_time_sessions
 from tidemark.streaming.sinks import to_console, to_memory, to_parquet_lake, write_lake
 
 __all__ = [
+    "CHANGE",
     "await_any",
     "await_query",
     "event_time_sessions",
+    "first_changes",
     "latest_per_key",
     "processing_time_sessions",
     "run_to_table",
     "scratch_folder",
+    "settled",
     "to_console",
     "to_memory",
     "to_parquet_lake",

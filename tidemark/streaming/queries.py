@@ -139,6 +139,11 @@ def latest_per_key(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest.select(*keys, "__last.*")
 
 
+def settled(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What an aggregate of changes comes to: the last version of each group, without the groups that are gone."""
+    return latest_per_key(updates, keys).where("rows > 0").drop("rows")
+
+
 def word_count_per_batch(lines: DataFrame, column: str = "value", folder: str | None = None) -> DataFrame:
     """Count words within each micro-batch, remembering nothing from one to the next."""
     spark = lines.sparkSession
