@@ -196,13 +196,14 @@ def _result(state: DataFrame, centroids: np.ndarray) -> DataFrame:
     """The rows, with the sums of distances and the digest of the centroid: one small row for each cluster, which is broadcast."""
     spark = state.sparkSession
     rows = state.where("sums IS NULL").select(F.col("id").alias("vec_id"), F.col("near").alias("cluster"), "distance")
-    names = [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(centroids.tolist())]
-    digests = spark.createDataFrame(names, "cluster int, centroid_sha256 string")
-    sums = rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own"))
-    total = sums.agg(F.sum("own").alias("all"))
-    sums = digests.join(F.broadcast(sums), "cluster", "left").crossJoin(F.broadcast(total))
-    sums = sums.select("cluster", F.col("own").try_cast("long").alias("cluster_inertia"), F.col("all").try_cast("long").alias("inertia"), "centroid_sha256")
-    return rows.join(F.broadcast(sums), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+    sums = rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own")).collect()
+    own = {r.cluster: int(r.own) for r in sums}
+    whole = lambda n: n if n < 1 << 63 else None
+    digest = lambda c: hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()
+    found = [(i, whole(own.get(i, 0)), whole(sum(own.values())), digest(c)) for i, c in enumerate(centroids.tolist())]
+    of_cluster = spark.createDataFrame(found, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    joined = rows.join(F.broadcast(of_cluster), "cluster")
+    return joined.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
 def op11_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
