@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from samples import USER_EVENTS, user_line, write_blocks
 from tidemark.operators import decode_user_events, gap_sessions, sessionize, summarize_sessions
 from tidemark.sources import read_lines
-from tidemark.streaming import event_time_sessions, processing_time_sessions, run_to_table
+from tidemark.streaming import event_time_sessions, open_sessions, processing_time_sessions, run_to_table
 
 START = dt.datetime(2020, 1, 1)
 GAP = 30
@@ -199,6 +199,81 @@ def test_restart_in_the_middle_of_sessions(spark, tmp_path):
     assert sorted(map(key, out.collect())) == closed_sessions(events)
 
 
+# --- What a stream leaves open, and frequent keys ---------------------------------------------------
+
+
+def in_order(events, pieces):
+    events = sorted(events, key=lambda e: (e[1], e[2]))
+    borders = [events[len(events) * i // pieces][1] for i in range(1, pieces)]
+    cuts = [[] for _ in range(pieces)]
+    for e in events:
+        cuts[sum(e[1] > b for b in borders)].append(e)
+    return cuts
+
+
+def closed_and_open(spark, tmp_path, cuts, **how):
+    run = str(tmp_path / "run")
+    stream = event_stream(spark, tmp_path / "in", cuts)
+    closed = run_to_table(event_time_sessions(stream, "user", "ts", f"{GAP} seconds", "last", "id", **how), folder=run)
+    return closed, open_sessions(closed, run, "user", f"{GAP} seconds")
+
+
+@pytest.mark.parametrize("slices,pieces", [(None, 2), ("20 seconds", 1), ("100 seconds", 3), ("1 hour", 1)])
+def test_closed_and_open_are_all_sessions(spark, tmp_path, slices, pieces):
+    """Slices shorter and longer than the gap; the last event is nobody's end of a session, one waits below a millisecond."""
+    events = random_events(7, 300) + [(1, START + dt.timedelta(seconds=4001, microseconds=7), 1000, False), (5, START + dt.timedelta(seconds=4001, microseconds=9), 1001, True)]
+    closed, left = closed_and_open(spark, tmp_path, in_order(events, pieces), slices=slices)
+    assert sorted(map(key, closed.unionByName(left).collect())) == sorted(map(key, brute_force(events)[1]))
+    assert {s.closed_by for s in closed.collect()} <= {"flag", "timeout"} and {s.closed_by for s in left.collect()} & {"open", "flag"}
+
+
+def test_one_session_through_all_slices(spark, tmp_path):
+    events = [(1, START + dt.timedelta(seconds=7 * i), i, False) for i in range(200)] + [(2, START + dt.timedelta(seconds=3000), 500, False)]
+    closed, left = closed_and_open(spark, tmp_path, in_order(events, 2), slices="50 seconds")
+    assert [key(s) for s in closed.collect()] == [key(s) for s in brute_force(events)[1] if s[0] == 1]
+    assert [(s.user, s.closed_by) for s in left.collect()] == [(2, "open")]
+
+
+def test_a_frequent_key_is_spread_over_tasks(spark, tmp_path):
+    """A third of all rows are one user's: nothing is closed yet, and they wait in several partitions of the state."""
+    draw = random.Random(8)
+    events = [(1 if i % 3 == 0 else draw.randint(2, 40), START + dt.timedelta(seconds=draw.randint(0, 4000)), i, False) for i in range(600)]
+    run = str(tmp_path / "run")
+    stream = event_stream(spark, tmp_path / "in", [events[:300], events[300:]])
+    sessions = event_time_sessions(stream, "user", "ts", f"{GAP} seconds", "last", "id", "2 hours", slices="200 seconds")
+    closed = run_to_table(sessions, folder=run, state_partitions=4)
+    from tidemark.streaming.queries import state_store
+    from tidemark.streaming.session_state import _state
+
+    with state_store(spark):
+        waiting = _state(spark, f"{run}/checkpoint", "sliced").where("key.key = 1").groupBy("partition_id").count().collect()
+    assert sum(r["count"] for r in waiting) == 200 and len(waiting) == 4 and max(r["count"] for r in waiting) < 120
+    left = open_sessions(closed, run, "user", f"{GAP} seconds")
+    assert closed.count() == 0 and sorted(map(key, left.collect())) == sorted(map(key, brute_force(events)[1]))
+
+
+@pytest.mark.parametrize("slices", [None, "60 seconds"])
+def test_open_sessions_go_on_in_the_next_run(spark, tmp_path, slices):
+    events = random_events(9, 150)
+    first, second = in_order(events, 2)
+    for some, seen in ((first, first), (second, events)):
+        closed, left = closed_and_open(spark, tmp_path, [some], slices=slices)
+        assert sorted(map(key, closed.unionByName(left).collect())) == sorted(map(key, brute_force(seen)[1]))
+
+
+def test_sessions_of_a_stream_without_rows(spark, tmp_path):
+    closed, left = closed_and_open(spark, tmp_path, [[]])
+    assert closed.count() == 0 and left.count() == 0
+
+
+def test_the_registered_stream_depends_on_its_stream(spark, monkeypatch):
+    from tidemark.plans import sessions as plans
+
+    whole = plans.replay_by_time
+    monkeypatch.setattr(plans, "replay_by_time", lambda df, ts, **how: whole(df.where("false"), ts, **how))
+    assert plans.sessions_stream(spark, "/root/testdata/sf0.001").count() == 0
+
+
 # --- By the clock ---------------------------------------------------------------------------------
 
 

@@ -54,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sessions": sessions.sessions,
     "session_rows": sessions.session_rows,
     "sessions_stream": sessions.sessions_stream,
+    "sessions_sliced_stream": sessions.sessions_sliced_stream,
     "gap_sessions": sessions.gap_sessions,
     "user_events_decode": sessions.user_events_decode,
     "session_events_stream": sessions.session_events_stream,
@@ -285,6 +286,7 @@ ORACLES: dict[str, str] = {
     "sessions": _SESSIONS,
     "session_rows": _numbered(),
     "sessions_stream": _SESSIONS,
+    "sessions_sliced_stream": _SESSIONS,
     "gap_sessions": _GAP_SESSIONS,
     "user_events_decode": f"""{_USER_EVENTS}, date_trunc('millisecond', ts) AS "eventTime" FROM events""",
     "session_events_stream": f"""{_USER_EVENTS}, 'flag' AS closed_by FROM events

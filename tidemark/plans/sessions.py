@@ -1,6 +1,6 @@
 """User sessions: a ``purchase`` row of ``events`` is the last event of its user's session."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import (
@@ -10,10 +10,12 @@ from tidemark.operators import (
     sessionize,
     summarize_sessions,
 )
-from tidemark.sources import as_wall_clock, read_table, read_table_stream
-from tidemark.streaming import event_time_sessions, processing_time_sessions, run_to_table
+from tidemark.sources import as_wall_clock, read_table, read_table_stream, replay_by_time
+from tidemark.streaming import event_time_sessions, open_sessions, processing_time_sessions, run_to_table, scratch_folder
 
 GAP = "30 minutes"
+# Micro-batches that a replayed table is cut into at least, so that state and watermark are at work on small tables too.
+SLICES = 2
 
 
 def _clicks(events: DataFrame) -> DataFrame:
@@ -32,25 +34,18 @@ def session_rows(spark: SparkSession, folder: str) -> DataFrame:
     return as_wall_clock(sessionize(clicks, "user_id", "ts", GAP, "is_last", ["event_id"]))
 
 
-def sessions_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The sessions that a stream closes, and those that its end leaves open: what is beyond each user's last closed one.
-
-    A stream's watermark is in milliseconds, so the events of the last millisecond may be left to the second part.
-    """
-    clicks = _clicks(read_table_stream(spark, folder, "events"))
-    closed = run_to_table(event_time_sessions(clicks, "user_id", "ts", GAP, "is_last", "event_id"))
-    table = _clicks(read_table(spark, folder, "events"))
-    ends = closed.groupBy(F.col("user_id").alias("user")).agg(F.max("session_end").alias("end"), F.sum("n_events").alias("n"))
-    later = table.join(ends, F.col("user_id").eqNullSafe(F.col("user")), "left").where("end IS NULL OR ts >= end")
-    # of the events at the end itself those that the session took, its last ones apart, are known by their number
-    up_to = table.join(ends, F.col("user_id").eqNullSafe(F.col("user"))).where("ts <= end").groupBy("user").agg((F.count("*") - F.first("n")).alias("over"))
-    up_to = up_to.withColumnRenamed("user", "of_user")
-    place = F.row_number().over(Window.partitionBy("user_id", "ts").orderBy(F.desc("event_id")))
-    at_end = later.where("ts = end").join(up_to, F.col("user_id").eqNullSafe(F.col("of_user"))).withColumn("place", place).where("place <= over")
-    rest = later.where("end IS NULL OR ts > end").select(*table.columns).unionByName(at_end.select(*table.columns))
-    numbered = sessionize(rest, "user_id", "ts", GAP, "is_last", ["event_id"])
-    left = summarize_sessions(numbered, "user_id", "ts", GAP, "is_last", table.agg(F.max("ts")).scalar())
-    return as_wall_clock(closed.unionByName(left.select(*closed.columns)))
+def sessions_stream(spark: SparkSession, folder: str, slices: str | None = None) -> DataFrame:
+    """The sessions that a stream closes, and those that its end leaves open, which are read from its state. With ``slices`` a
+    user's events are cut along time, so that a frequent user is spread over tasks."""
+    run = scratch_folder(spark, "sessions")
+    clicks = replay_by_time(_clicks(read_table(spark, folder, "events")), "ts", at_least=SLICES)
+    sessions = event_time_sessions(clicks, "user_id", "ts", GAP, "is_last", "event_id", slices=slices)
+    closed = run_to_table(sessions, folder=run)
+    return as_wall_clock(closed.unionByName(open_sessions(closed, run, "user_id", GAP)))
+
+
+def sessions_sliced_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return sessions_stream(spark, folder, "10 days")
 
 
 def gap_sessions(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,7 @@ from tidemark.streaming.queries import (
     settled,
     word_count_per_batch,
 )
-from tidemark.streaming.session_state import event_time_sessions, processing_time_sessions
+from tidemark.streaming.session_state import event_time_sessions, open_sessions, processing_time_sessions
 from tidemark.streaming.sinks import to_console, to_memory, to_parquet_lake, write_lake
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "event_time_sessions",
     "first_changes",
     "latest_per_key",
+    "open_sessions",
     "processing_time_sessions",
     "run_to_table",
     "scratch_folder",

@@ -59,7 +59,7 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> dict[s
     are cores if nobody has set that.
     """
     set_for_data = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if set_for_data == 200 and not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+    if not spark._jsparkSession.sessionState().conf().contains("spark.sql.shuffle.partitions"):
         set_for_data = spark.sparkContext.defaultParallelism  # Spark's own default says nothing about the data
     return {
         "spark.sql.shuffle.partitions": str(partitions or set_for_data),
@@ -68,6 +68,13 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> dict[s
     }
 
 
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Settings under which the state of a query started here can be read."""
+    with _settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+        yield
+
+
 def run_to_table(
     df: DataFrame,
     mode: str = "append",

@@ -2,16 +2,21 @@
 
 import sys
 from collections.abc import Iterable, Iterator
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 from itertools import islice
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.checkpoints import checkpointed
 from tidemark.functions.intervals import interval_micros
+from tidemark.operators.sessions import sessionize
 from tidemark.schemas import USER_EVENT
+from tidemark.streaming.queries import state_store
 
 # The processors travel to the Python workers whole, so these need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -189,21 +194,7 @@ def _millis(micros: int) -> int:
 _ORIGIN = 10**17
 
 
-def event_time_sessions(
-    events: DataFrame, key: str, ts: str, gap: str, last_flag: str, tiebreak: str, delay: str = "0 seconds"
-) -> DataFrame:
-    """Sessions of a stream by event time: the closed ones of ``sessionize`` and ``summarize_sessions``.
-
-    Rows more than ``delay`` behind the latest event are left out. ``tiebreak`` is a whole number.
-    """
-    schema = (
-        T.StructType()
-        .add("key", events.schema[key].dataType)
-        .add("session_start", "long")
-        .add("session_end", "long")
-        .add("n_events", "long")
-        .add("closed_by", "string")
-    )
+def _event_times(events: DataFrame, key: str, ts: str, last_flag: str, tiebreak: str, delay: str) -> DataFrame:
     micros = F.unix_micros(ts) + F.lit(_ORIGIN)
     narrow = events.select(
         F.col(key).alias("key"),
@@ -212,19 +203,220 @@ def event_time_sessions(
         F.col(tiebreak).cast("long").alias("tie"),
         F.coalesce(F.col(last_flag), F.lit(False)).alias("last"),
     ).withWatermark("event_time", delay)
-    sessions = (
-        narrow.where(F.col("micros").isNotNull())
-        .groupBy("key")
-        .transformWithState(
-            statefulProcessor=EventTimeSessions(interval_micros(gap)),
-            outputStructType=schema,
-            outputMode="Append",
-            timeMode="EventTime",
-        )
-    )
+    return narrow.where(F.col("micros").isNotNull())
+
+
+def _named(sessions: DataFrame, key: str) -> DataFrame:
     return sessions.select(
         F.col("key").alias(key),
         *(F.timestamp_micros(F.col(c) - F.lit(_ORIGIN)).alias(c) for c in ("session_start", "session_end")),
         "n_events",
         "closed_by",
     )
+
+
+_SESSION = (
+    T.StructType()
+    .add("session_start", "long")
+    .add("session_end", "long")
+    .add("n_events", "long")
+    .add("closed_by", "string")
+)
+
+
+def event_time_sessions(
+    events: DataFrame,
+    key: str,
+    ts: str,
+    gap: str,
+    last_flag: str,
+    tiebreak: str,
+    delay: str = "0 seconds",
+    slices: str | None = None,
+) -> DataFrame:
+    """Sessions of a stream by event time: the closed ones of ``sessionize`` and ``summarize_sessions``.
+
+    Rows more than ``delay`` behind the latest event are left out. ``tiebreak`` is a whole number. ``open_sessions`` reads from the
+    checkpoint what the stream has not closed.
+
+    Without ``slices`` the waiting events of a key are in one task. With it, each key is cut into slices of time of that length, which are
+    grouped on their own, so that a frequent key is spread over tasks: a slice is cut into sessions when the watermark passes its end, and
+    a second step puts the first and last ones of neighbouring slices together. What it holds for a key is one row.
+    Sessions are the same, but are written up to a slice's length later.
+    """
+    key_field = T.StructField("key", events.schema[key].dataType)
+    rows = _event_times(events, key, ts, last_flag, tiebreak, delay)
+    out = T.StructType([key_field, *_SESSION.fields])
+    if slices is None:
+        sessions = rows.groupBy("key").transformWithState(
+            statefulProcessor=EventTimeSessions(interval_micros(gap)),
+            outputStructType=out,
+            outputMode="Append",
+            timeMode="EventTime",
+        )
+        return _named(sessions, key)
+    length = interval_micros(slices)
+    runs = rows.withColumn("slice", F.floor(F.col("micros") / F.lit(length)).cast("long")).groupBy("key", "slice").transformWithState(
+        statefulProcessor=SliceRuns(interval_micros(gap), length),
+        outputStructType=T.StructType([key_field, *_RUN.fields]),
+        outputMode="Append",
+        timeMode="EventTime",
+        eventTimeColumnName="at",
+    )
+    sessions = runs.groupBy("key", "lane").transformWithState(
+        statefulProcessor=Stitch(interval_micros(gap), length), outputStructType=out, outputMode="Append", timeMode="EventTime"
+    )
+    return _named(sessions, key)
+
+
+_RUN = (
+    T.StructType()
+    .add("lane", "long")  # -1 where the slices around may have a part in the session, else the slice
+    .add("start", "long")
+    .add("end", "long")
+    .add("n", "long")
+    .add("flagged", "boolean")
+    .add("place", "long")
+    .add("at", "timestamp")
+)
+_UTC = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+class SliceRuns(StatefulProcessor):
+    """The events of a key in one slice of time wait until the watermark has passed its end, and are then cut into sessions.
+
+    Those between the first and the last one are whole. All times are microseconds.
+    """
+
+    def __init__(self, gap: int, length: int):
+        self._gap, self._length = gap, length
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._waiting = handle.getListState("sliced", _WAITING)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        # Spark itself may still let in a row that the watermark passed one batch ago.
+        found = False
+        for some in _chunks(((r.micros, r.tie, r.last) for r in rows if r.micros > watermark), 1000):
+            self._waiting.appendList(some)
+            found = True
+        if found:
+            self._handle.registerTimer(_millis((key[1] + 1) * self._length))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # The rows written count as being of the moment at which they are.
+        at = _UTC + timedelta(milliseconds=max(timerValues.getCurrentWatermarkInMs(), _millis((key[1] + 1) * self._length)) + 1)
+        runs: list[list] = []
+        for ts, _, last in sorted(tuple(w) for w in self._waiting.get()):
+            if not runs or runs[-1][3] or ts - runs[-1][1] > self._gap:
+                runs.append([ts, ts, 0, False])
+            run = runs[-1]
+            run[1], run[2], run[3] = ts, run[2] + 1, last
+        self._waiting.clear()
+        for i, (start, end, n, flagged) in enumerate(runs):
+            whole = 0 < i and (i < len(runs) - 1 or flagged)
+            yield Row(key=key[0], lane=key[1] if whole else -1, start=start, end=end, n=n, flagged=flagged, place=i, at=at)
+
+
+_OPEN = T.StructType().add("start", "long").add("end", "long").add("n", "long").add("timer", "long")
+
+
+class Stitch(StatefulProcessor):
+    """Puts the runs at the borders of a key's slices together, which come in order of time but for those of one batch.
+
+    A session that no later slice went on with is over when the slice in which it could have gone on is.
+    """
+
+    def __init__(self, gap: int, length: int):
+        self._gap, self._length = gap, length
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._open = handle.getValueState("stitched", _OPEN)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[1] >= 0:
+            for r in rows:
+                yield self._closed(key, (r.start, r.end, r.n), "flag" if r.flagged else "timeout")
+            return
+        held = self._open.get()
+        session, timer = (None, None) if held is None else (tuple(held)[:3], held[3])
+        for start, _, end, n, flagged in sorted((r.start, r.place, r.end, r.n, r.flagged) for r in rows):
+            if session is not None and start - session[1] > self._gap:
+                yield self._closed(key, session, "timeout")
+                session = None
+            session = (start, end, n) if session is None else (session[0], end, session[2] + n)
+            if flagged:
+                yield self._closed(key, session, "flag")
+                session = None
+        if timer is not None:
+            self._handle.deleteTimer(_millis(timer))
+        if session is None:
+            self._open.clear()
+        else:
+            over = ((session[1] + self._gap) // self._length + 1) * self._length
+            self._handle.registerTimer(_millis(over))
+            self._open.update((*session, over))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self._open.get()
+        if held is not None:
+            yield self._closed(key, tuple(held)[:3], "timeout")
+            self._open.clear()
+
+    def _closed(self, key, session: tuple[int, int, int], closed_by: str) -> Row:
+        start, end, n = session
+        return Row(key=key[0], session_start=start, session_end=end, n_events=n, closed_by=closed_by)
+
+
+def _state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame | None:
+    """What a stream holds in a state variable, by Spark's state data source; nothing if no operator of it has that variable."""
+    operators = spark.read.format("state-metadata").load(checkpoint).select("operatorId", "operatorProperties").distinct()
+    found = operators.where(F.col("operatorProperties").contains(f'"stateName":"{variable}"')).first()
+    if found is None:
+        return None
+    reader = spark.read.format("statestore").option("operatorId", found.operatorId).option("stateVarName", variable)
+    return reader.load(checkpoint)
+
+
+def open_sessions(closed: DataFrame, run: str, key: str, gap: str) -> DataFrame:
+    """The sessions that a stream of ``event_time_sessions``, run by ``run_to_table`` in the folder ``run``, has not closed.
+
+    They are put together from its state alone: sessions that are under way, and events that wait for the watermark. One that has been still for as
+    long as ``gap`` at the last event the stream has seen is a timeout, one that ends with a flag is closed by it, others are open. ``closed`` is what the stream wrote.
+    """
+    spark = closed.sparkSession
+    with state_store(spark):
+        return _open_sessions(closed, f"{run}/checkpoint", key, gap)
+
+
+def _open_sessions(closed: DataFrame, checkpoint: str, key: str, gap: str) -> DataFrame:
+    spark = closed.sparkSession
+    parts = []
+    for variable in ("progress", "stitched"):
+        under_way = _state(spark, checkpoint, variable)
+        if under_way is not None:
+            session = under_way.where("value.start IS NOT NULL").select("key.key", "value.*")
+            parts.append(session.select("key", "start", "end", "n", F.lit(None).cast("long").alias("tie"), F.lit(False).alias("last")))
+    for variable in ("waiting", "sliced"):
+        waiting = _state(spark, checkpoint, variable)
+        if waiting is not None:
+            event = waiting.select("key.key", "list_element.*")
+            parts.append(event.select("key", F.col("ts").alias("start"), F.col("ts").alias("end"), F.lit(1).cast("long").alias("n"), "tie", "last"))
+    rows = reduce(DataFrame.unionByName, parts)
+    times = {c: F.timestamp_micros(F.col(c) - F.lit(_ORIGIN)) for c in ("start", "end")}
+    rows = checkpointed(rows.withColumns(times))  # the next run of the stream changes its state
+    numbered = sessionize(rows, "key", "end", gap, "last", ["tie"])
+    last = rows.agg(F.max("end").alias("at")).unionByName(closed.agg(F.max("session_end").alias("at"))).agg(F.max("at")).scalar()
+    still = F.unix_micros(last) - F.unix_micros("session_end") >= interval_micros(gap)
+    sessions = numbered.groupBy("key", "session_no").agg(
+        F.min("start").alias("session_start"),
+        F.max("end").alias("session_end"),
+        F.sum("n").alias("n_events"),
+        F.bool_or("last").alias("flagged"),
+    )
+    closed_by = F.when(F.col("flagged"), "flag").when(still, "timeout").otherwise("open")
+    return sessions.select(F.col("key").alias(key), "session_start", "session_end", "n_events", closed_by.alias("closed_by"))
