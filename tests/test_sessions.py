@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from samples import USER_EVENTS, user_line, write_blocks
 from tidemark.operators import decode_user_events, gap_sessions, sessionize, summarize_sessions
 from tidemark.sources import read_lines
+from tidemark.streaming.queries import state_store
+from tidemark.streaming.state import state_variable
 from tidemark.streaming import event_time_sessions, open_sessions, processing_time_sessions, run_to_table
 
 START = dt.datetime(2020, 1, 1)
@@ -242,11 +244,8 @@ def test_a_frequent_key_is_spread_over_tasks(spark, tmp_path):
     stream = event_stream(spark, tmp_path / "in", [events[:300], events[300:]])
     sessions = event_time_sessions(stream, "user", "ts", f"{GAP} seconds", "last", "id", "2 hours", slices="200 seconds")
     closed = run_to_table(sessions, folder=run, state_partitions=4)
-    from tidemark.streaming.queries import state_store
-    from tidemark.streaming.session_state import _state
-
     with state_store(spark):
-        waiting = _state(spark, f"{run}/checkpoint", "sliced").where("key.key = 1").groupBy("partition_id").count().collect()
+        waiting = state_variable(spark, run, "sliced").where("key.key = 1").groupBy("partition_id").count().collect()
     assert sum(r["count"] for r in waiting) == 200 and len(waiting) == 4 and max(r["count"] for r in waiting) < 120
     left = open_sessions(closed, run, "user", f"{GAP} seconds")
     assert closed.count() == 0 and sorted(map(key, left.collect())) == sorted(map(key, brute_force(events)[1]))

@@ -1,4 +1,4 @@
-from tidemark.operators.aggregates import avg_by, count_by, windowed_avg, windowed_count
+from tidemark.operators.aggregates import avg_by, count_by, pane_sums, sliding_avg, windowed_avg, windowed_count, windows_of_panes
 from tidemark.operators.areas import append_areas
 from tidemark.operators.decode import (
     decode_delimited,
@@ -31,11 +31,14 @@ __all__ = [
     "interval_join",
     "join_rides_with_fares",
     "malformed_user_events",
+    "pane_sums",
     "sessionize",
+    "sliding_avg",
     "summarize_sessions",
     "tokenize",
     "windowed_avg",
     "windowed_count",
+    "windows_of_panes",
     "with_date_parts",
     "within_bbox",
     "word_count",

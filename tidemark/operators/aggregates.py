@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.intervals import interval_micros
+
 
 def _average(value: str, change: str | None = None) -> Column:
     # Readings come as text; one that is no number must not stop the query.
@@ -97,3 +99,32 @@ def windowed_avg(
 ) -> DataFrame:
     """Average of ``value`` per time window and key; see ``windowed_count``."""
     return _windowed(df, ts, size, keys, _average(value, change), value, slide, delay, ordered, change)
+
+
+def pane_sums(df: DataFrame, ts: str, slide: str, keys: Sequence[str], value: str, delay: str | None = None) -> DataFrame:
+    """Sum and number of the values per key and pane, a window as long as the step of a sliding window: ``pane``, keys, ``total``
+    and ``n``. Rows without a time are in none. On a stream this is an aggregate for any output mode."""
+    if delay is not None:
+        df = df.withWatermark(ts, delay)
+    number = F.col(value).try_cast("double")
+    return df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.sum(number).alias("total"), F.count(number).alias("n"))
+
+
+def windows_of_panes(panes: DataFrame, size: str, slide: str, keys: Sequence[str], value: str) -> DataFrame:
+    """The averages per sliding window that ``windowed_avg`` gives, put together from ``pane_sums`` of the same ``slide``, of
+    which ``size`` has to be a multiple.
+
+    A row is in one pane and is never copied to the windows it is in; only panes are. On a stream (in append
+    mode) windows follow when the watermark passes their ends; of panes that a stream has written in update mode take the last versions.
+    """
+    if interval_micros(size) % interval_micros(slide):
+        raise ValueError(f"{size} is no multiple of {slide}")
+    at = F.window_time("pane") if panes.isStreaming else F.col("pane.start")
+    average = F.try_divide(F.sum("total"), F.sum("n").cast("double")).alias(value)
+    windows = panes.withColumn("__at", at).groupBy(F.window("__at", size, slide), *keys).agg(average)
+    return windows.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, value)
+
+
+def sliding_avg(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str], value: str, delay: str | None = None) -> DataFrame:
+    """``windowed_avg`` of a sliding window by way of its panes."""
+    return windows_of_panes(pane_sums(df, ts, slide, keys, value, delay), size, slide, keys, value)

@@ -35,10 +35,13 @@ def decode_delimited(df: DataFrame, schema: StructType, sep: str = ",", column:
     """
     pieces = F.split(F.col(column).cast("string"), re.escape(sep))
     fields = [
-        _typed(F.get(pieces, F.lit(i)), field.dataType).alias(field.name)
+        _typed(F.get("__pieces", F.lit(i)), field.dataType).alias(field.name)
         for i, field in enumerate(schema.fields)
     ]
-    return df.select(*(c for c in df.columns if c != column), *fields)
+    others = [c for c in df.columns if c != column]
+    # A filter on the fields is not moved below this step, where each of its terms would split the line again.
+    split_once = df.select(*others, F.explode(F.array(pieces)).alias("__pieces"))
+    return split_once.select(*others, *fields)
 
 
 def _typed(text: Column, data_type) -> Column:

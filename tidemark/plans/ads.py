@@ -6,11 +6,13 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators import decode_json, interval_join
 from tidemark.schemas import AD_CLICK, AD_IMPRESSION
-from tidemark.sources import FILES_PER_BATCH, as_wall_clock, pack_envelope, read_table, read_table_stream
+from tidemark.sources import FILES_PER_BATCH, as_wall_clock, pack_envelope, read_table, read_table_stream, replay_by_time
 from tidemark.streaming import run_to_table
 
 CLICK_BOUND = "6 hours"
 DELAY = "10 minutes"
+# Micro-batches that a replayed table is cut into at least, so that state and watermark are at work on small tables too.
+SLICES = 2
 # Tasks that the impressions of one ad are spread over in a stream; each keeps all clicks on the ad.
 SALT = 4
 
@@ -51,7 +53,7 @@ def ad_click_join_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ad_click_interval_join_stream(spark: SparkSession, folder: str) -> DataFrame:
-    events = read_table_stream(spark, folder, "events")
+    events = replay_by_time(read_table(spark, folder, "events"), "ts", at_least=SLICES)
     joined = _join(events, upper=CLICK_BOUND, left_delay=DELAY, right_delay=DELAY)
     return as_wall_clock(run_to_table(joined))
 
@@ -88,5 +90,6 @@ def ad_click_from_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ad_click_from_messages_stream(spark: SparkSession, folder: str) -> DataFrame:
-    joined = _from_messages(read_table_stream(spark, folder, "events"), left_delay=DELAY, right_delay=DELAY)
+    events = replay_by_time(read_table(spark, folder, "events"), "ts", at_least=SLICES)
+    joined = _from_messages(events, left_delay=DELAY, right_delay=DELAY)
     return as_wall_clock(run_to_table(joined))

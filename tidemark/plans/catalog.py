@@ -25,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "type_window_count": telemetry.type_window_count,
     "type_window_count_watermark": telemetry.type_window_count_watermark,
     "type_window_count_watermark_stream": telemetry.type_window_count_watermark_stream,
+    "late_readings_stream": telemetry.late_readings_stream,
     "all_readings_type_window_count": telemetry.all_readings_type_window_count,
     "decoded_type_window_count": telemetry.decoded_type_window_count,
     "route_type_window_count": telemetry.route_type_window_count,
@@ -92,6 +93,17 @@ def _by_window(size: str, keys: str, result: str, rows: str = "first") -> str:
 _COUNT = "count(*) AS count"
 _SPEED = "avg(round(value * 100)) AS speed"
 
+_LATE = """
+WITH batches AS (
+  SELECT event_id, ts, user_id, event_id % 3 AS batch FROM events
+), ends AS (
+  SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '10 days' AS bound
+  FROM batches GROUP BY batch
+)
+SELECT event_id, ts, user_id, coalesce(ts < date_trunc('millisecond', bound), false) AS late, batch::BIGINT AS batch_id
+FROM batches JOIN ends USING (batch)
+"""
+
 _TRAFFIC = """
 SELECT user_id::VARCHAR AS "vehicleId", event_type AS "vehicleType",
        json_extract_string(props, '$.k') AS "routeId",
@@ -253,6 +265,7 @@ ORACLES: dict[str, str] = {
     "type_window_count": _by_window("30 minutes", '"vehicleType"', _COUNT),
     "type_window_count_watermark": _by_window("30 minutes", '"vehicleType"', _COUNT),
     "type_window_count_watermark_stream": _by_window("30 minutes", '"vehicleType"', _COUNT, "readings"),
+    "late_readings_stream": _LATE,
     "all_readings_type_window_count": _by_window("30 minutes", '"vehicleType"', _COUNT, "readings"),
     # Messages carry whole seconds; the first reading of a second is the one with the lowest offset.
     "decoded_type_window_count": _by_window("30 minutes", '"vehicleType"', _COUNT).replace(

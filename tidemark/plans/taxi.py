@@ -14,16 +14,23 @@ from tidemark.operators import (
     delimited,
     finished,
     join_rides_with_fares,
-    windowed_avg,
+    pane_sums,
+    sliding_avg,
+    windows_of_panes,
     within_bbox,
 )
 from tidemark.schemas import AREA, TAXI_FARE, TAXI_RIDE
-from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_table, read_table_stream
-from tidemark.streaming import await_query, run_to_table, scratch_folder, to_parquet_lake
+from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_table, read_table_stream, replay_by_time
+from tidemark.streaming import await_query, open_groups, run_to_table, scratch_folder, to_parquet_lake
 
 TOWN = BoundingBox(west=0.01, east=0.08, south=0.01, north=0.07)
 JOIN_BOUND = "90 days"
 DELAY = "30 minutes"
+# Micro-batches that a replayed table is cut into at least, so that state and watermark are at work on small tables too.
+SLICES = 2
+LINEITEM_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_linestatus", "l_shipdate", "l_suppkey", "l_partkey", "l_discount", "l_tax"
+)
 
 # Corners of the districts that ride coordinates fall into. Harbour has a notch, Old Town overlaps it.
 DISTRICTS = {
@@ -90,11 +97,15 @@ def ride_fare_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _replayed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Rides and fares as streams in order of the times they are joined on."""
+    lineitem = read_table(spark, folder, "lineitem").select(*LINEITEM_COLUMNS)
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return replay_by_time(lineitem, "l_shipdate", at_least=SLICES), replay_by_time(orders, "o_orderdate", at_least=SLICES)
+
+
 def ride_fare_join_stream(spark: SparkSession, folder: str) -> DataFrame:
-    joined = _ride_fare_join(
-        read_table_stream(spark, folder, "lineitem"), read_table_stream(spark, folder, "orders")
-    )
-    return as_wall_clock(run_to_table(joined))
+    return as_wall_clock(run_to_table(_ride_fare_join(*_replayed(spark, folder))))
 
 
 def enriched_rides(rides: DataFrame, fares: DataFrame) -> DataFrame:
@@ -120,15 +131,15 @@ def ride_districts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ride_districts_stream(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = enriched_rides(
-        read_table_stream(spark, folder, "lineitem"), read_table_stream(spark, folder, "orders")
-    )
-    return as_wall_clock(run_to_table(enriched))
+    return as_wall_clock(run_to_table(enriched_rides(*_replayed(spark, folder))))
+
+
+TIPS = {"size": "30 days", "slide": "10 days", "keys": ["stopNbhd"], "value": "tip"}
 
 
 def average_tips(enriched: DataFrame) -> DataFrame:
     """Average tip by district, over 30 days every 10 days."""
-    return windowed_avg(enriched, "endTime", "30 days", ["stopNbhd"], "tip", slide="10 days")
+    return sliding_avg(enriched, "endTime", **TIPS)
 
 
 def tips_sliding(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,13 +158,20 @@ def _messages(rows: DataFrame, schema: StructType, **fields: Column | str) -> Da
 
 
 def tips_sliding_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole way: delimited rides and fares as streams, decoded, filtered, joined, set in districts. Windows are taken
-    over what the stream has written, so those still open at its end are there too."""
-    lineitem, orders = _rides(read_table_stream(spark, folder, "lineitem")), read_table_stream(spark, folder, "orders")
-    sent = _messages(lineitem, TAXI_RIDE, **{c: c for c in lineitem.columns if c in TAXI_RIDE.fieldNames()})
+    """The whole way on a stream: delimited rides and fares, decoded, filtered, joined, set in districts, summed by pane.
+
+    The stream writes the panes its watermark has passed; those still open at its end are read from its state. Windows are
+    put together from a row for each pane and district.
+    """
+    lineitem, orders = _replayed(spark, folder)
+    rides = _rides(lineitem)
+    sent = _messages(rides, TAXI_RIDE, **{c: c for c in rides.columns if c in TAXI_RIDE.fieldNames()})
     paid = _messages(orders, TAXI_FARE, rideId="o_orderkey", startTime="o_orderdate", tip=F.round(F.col("o_totalprice") * 100), totalFare="o_totalprice")
     rides, fares = decode_delimited(sent, _wide(TAXI_RIDE)), decode_delimited(paid, _wide(TAXI_FARE))
-    return as_wall_clock(average_tips(run_to_table(_enriched(finished(within_bbox(rides, bbox=TOWN)), fares))))
+    enriched = _enriched(finished(within_bbox(rides, bbox=TOWN)), fares)
+    run = scratch_folder(spark, "tips")
+    closed = run_to_table(pane_sums(enriched, "endTime", TIPS["slide"], TIPS["keys"], TIPS["value"]), folder=run)
+    return as_wall_clock(windows_of_panes(closed.unionByName(open_groups(closed, run)), **TIPS))
 
 
 def _points(embeddings: DataFrame) -> DataFrame:

@@ -14,8 +14,14 @@ from tidemark.sources import (
     pack_envelope,
     read_table,
     read_table_stream,
+    replay_by_number,
+    replay_by_time,
 )
-from tidemark.streaming import CHANGE, first_changes, latest_per_key, run_to_table, settled
+from tidemark.sources.replay import ROWS_PER_SLICE
+from tidemark.streaming import CHANGE, first_changes, latest_per_key, run_to_table, settled, split_late
+
+# Micro-batches that a replayed table is cut into at least, so that state and watermark are at work on small tables too.
+SLICES = 2
 
 _ROUTE = "get_json_object(props, '$.k')"
 
@@ -44,9 +50,13 @@ def _first_readings(spark: SparkSession, folder: str, *fields: str) -> DataFrame
 
 
 def _first_reading_changes(spark: SparkSession, folder: str, *fields: str, delay: str | None = None) -> DataFrame:
-    """The same as a stream of changes: files may come in any order, but for what a watermark's ``delay`` shuts out."""
+    """The same as a stream of changes. Files may come in any order; with a watermark the table is replayed in order of time."""
     fields = ("vehicleId", "eventTime", "readingId", *fields)
-    events = read_table_stream(spark, folder, "events", FILES_PER_BATCH).select(*(_READING[f][0] for f in fields))
+    columns = [_READING[f][0] for f in fields]
+    if delay is None:
+        events = read_table_stream(spark, folder, "events", FILES_PER_BATCH).select(*columns)
+    else:
+        events = replay_by_time(read_table(spark, folder, "events").select(*columns), "ts", at_least=SLICES)
     changes = first_changes(events, ["user_id"], "ts", ["event_id"], delay)
     return changes.selectExpr(*(f"{_READING[f][1]} AS {f}" for f in fields), CHANGE)
 
@@ -120,7 +130,7 @@ FIRST_WATERMARK_STREAMS = {
 
 
 def type_window_count_watermark_stream(spark: SparkSession, folder: str) -> DataFrame:
-    readings = _readings(read_table_stream(spark, folder, "events", FILES_PER_BATCH), "eventTime", "vehicleType")
+    readings = replay_by_time(_readings(read_table(spark, folder, "events"), "eventTime", "vehicleType"), "eventTime", at_least=SLICES)
     counts = windowed_count(
         readings, "eventTime", "30 minutes", ["vehicleType"], delay="5 seconds", ordered=True
     )
@@ -128,12 +138,25 @@ def type_window_count_watermark_stream(spark: SparkSession, folder: str) -> Data
 
 
 def route_window_count_watermark_stream(spark: SparkSession, folder: str) -> DataFrame:
-    readings = _readings(read_table_stream(spark, folder, "events"), "eventTime", "routeId")
+    readings = replay_by_time(_readings(read_table(spark, folder, "events"), "eventTime", "routeId"), "eventTime", at_least=SLICES)
     counts = windowed_count(readings, "eventTime", "1 hour", ["routeId"], delay="1 minute")
     updates = run_to_table(counts, "update")
     return as_wall_clock(latest_per_key(updates, ["window_start", "window_end", "routeId"]))
 
 
+LATE = "10 days"
+
+
+def late_readings_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings dealt over three batches or more, each of which goes through all times: those a watermark would drop as late, and the others."""
+    events = read_table(spark, folder, "events").select("event_id", "ts", "user_id")
+    batches = max(3, -(-events.count() // ROWS_PER_SLICE))
+    stream = replay_by_number(events, F.pmod("event_id", F.lit(batches)), batches)
+    kept, late, _ = split_late(stream, "ts", LATE)
+    both = kept.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return as_wall_clock(both.select("event_id", "ts", "user_id", "late", "batch_id"))
+
+
 def all_readings_type_window_count(spark: SparkSession, folder: str) -> DataFrame:
     readings = _readings(read_table(spark, folder, "events"), "eventTime", "vehicleType")
     return as_wall_clock(windowed_count(readings, "eventTime", "30 minutes", ["vehicleType"]))

@@ -1,11 +1,11 @@
-"""A table played back as a stream in order of time."""
+"""Tables played back as streams, in order of time or as their rows arrived."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.checkpoints import new_folder
 
 #: Rows of a slice, about: one micro-batch.
-ROWS_PER_SLICE = 250_000
+ROWS_PER_SLICE = 1_000_000
 #: The file source leaves out files more than seven days older than the newest.
 _STEP_MS, _SPAN_MS = 1000, 5 * 24 * 3600 * 1000
 
@@ -19,12 +19,21 @@ def replay_by_time(df: DataFrame, ts: str, rows_per_slice: int = ROWS_PER_SLICE,
     rows of one instant are in one slice. The file source takes files in order of their modification times, which are set to
     the order of the slices; a store that does not keep them is refused.
     """
-    spark = df.sparkSession
-    folder = new_folder(spark, "replay")
     slices = max(at_least, -(-df.count() // rows_per_slice), 1)
-    df.repartitionByRange(slices, ts).sortWithinPartitions(ts).write.parquet(folder)
+    return _as_stream(df.repartitionByRange(slices, ts).sortWithinPartitions(ts))
+
+
+def replay_by_number(df: DataFrame, slice_no: Column, slices: int) -> DataFrame:
+    """The table ``df`` as a stream that delivers in each micro-batch the rows of one slice, numbered from 0 up to ``slices``."""
+    return _as_stream(df.repartitionById(slices, slice_no.cast("int")))
+
+
+def _as_stream(sliced: DataFrame) -> DataFrame:
+    spark = sliced.sparkSession
+    folder = new_folder(spark, "replay")
+    sliced.write.parquet(folder)
     _put_in_order(spark, folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return spark.readStream.schema(sliced.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def _put_in_order(spark: SparkSession, folder: str) -> None:

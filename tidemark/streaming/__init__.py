@@ -1,4 +1,5 @@
 from tidemark.streaming.changes import CHANGE, first_changes
+from tidemark.streaming.late import split_late
 from tidemark.streaming.queries import (
     await_any,
     await_query,
@@ -9,6 +10,7 @@ from tidemark.streaming.queries import (
     word_count_per_batch,
 )
 from tidemark.streaming.session_state import event_time_sessions, open_sessions, processing_time_sessions
+from tidemark.streaming.state import open_groups, state_variable
 from tidemark.streaming.sinks import to_console, to_memory, to_parquet_lake, write_lake
 
 __all__ = [
@@ -18,11 +20,14 @@ __all__ = [
     "event_time_sessions",
     "first_changes",
     "latest_per_key",
+    "open_groups",
     "open_sessions",
     "processing_time_sessions",
     "run_to_table",
     "scratch_folder",
     "settled",
+    "split_late",
+    "state_variable",
     "to_console",
     "to_memory",
     "to_parquet_lake",

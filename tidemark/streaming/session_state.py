@@ -7,7 +7,7 @@ from functools import reduce
 from itertools import islice
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -17,6 +17,7 @@ from tidemark.functions.intervals import interval_micros
 from tidemark.operators.sessions import sessionize
 from tidemark.schemas import USER_EVENT
 from tidemark.streaming.queries import state_store
+from tidemark.streaming.state import state_variable
 
 # The processors travel to the Python workers whole, so these need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -372,43 +373,28 @@ class Stitch(StatefulProcessor):
         return Row(key=key[0], session_start=start, session_end=end, n_events=n, closed_by=closed_by)
 
 
-def _state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame | None:
-    """What a stream holds in a state variable, by Spark's state data source; nothing if no operator of it has that variable."""
-    operators = spark.read.format("state-metadata").load(checkpoint).select("operatorId", "operatorProperties").distinct()
-    found = operators.where(F.col("operatorProperties").contains(f'"stateName":"{variable}"')).first()
-    if found is None:
-        return None
-    reader = spark.read.format("statestore").option("operatorId", found.operatorId).option("stateVarName", variable)
-    return reader.load(checkpoint)
-
-
 def open_sessions(closed: DataFrame, run: str, key: str, gap: str) -> DataFrame:
     """The sessions that a stream of ``event_time_sessions``, run by ``run_to_table`` in the folder ``run``, has not closed.
 
     They are put together from its state alone: sessions that are under way, and events that wait for the watermark. One that has been still for as
     long as ``gap`` at the last event the stream has seen is a timeout, one that ends with a flag is closed by it, others are open. ``closed`` is what the stream wrote.
     """
-    spark = closed.sparkSession
-    with state_store(spark):
-        return _open_sessions(closed, f"{run}/checkpoint", key, gap)
-
-
-def _open_sessions(closed: DataFrame, checkpoint: str, key: str, gap: str) -> DataFrame:
     spark = closed.sparkSession
     parts = []
     for variable in ("progress", "stitched"):
-        under_way = _state(spark, checkpoint, variable)
+        under_way = state_variable(spark, run, variable)
         if under_way is not None:
             session = under_way.where("value.start IS NOT NULL").select("key.key", "value.*")
             parts.append(session.select("key", "start", "end", "n", F.lit(None).cast("long").alias("tie"), F.lit(False).alias("last")))
     for variable in ("waiting", "sliced"):
-        waiting = _state(spark, checkpoint, variable)
+        waiting = state_variable(spark, run, variable)
         if waiting is not None:
             event = waiting.select("key.key", "list_element.*")
             parts.append(event.select("key", F.col("ts").alias("start"), F.col("ts").alias("end"), F.lit(1).cast("long").alias("n"), "tie", "last"))
     rows = reduce(DataFrame.unionByName, parts)
     times = {c: F.timestamp_micros(F.col(c) - F.lit(_ORIGIN)) for c in ("start", "end")}
-    rows = checkpointed(rows.withColumns(times))  # the next run of the stream changes its state
+    with state_store(spark):
+        rows = checkpointed(rows.withColumns(times))  # the next run of the stream changes its state
     numbered = sessionize(rows, "key", "end", gap, "last", ["tie"])
     last = rows.agg(F.max("end").alias("at")).unionByName(closed.agg(F.max("session_end").alias("at"))).agg(F.max("at")).scalar()
     still = F.unix_micros(last) - F.unix_micros("session_end") >= interval_micros(gap)
