@@ -45,8 +45,8 @@ def check_near(got, rows):
     sets, component = brute.near([rows[i][1] for i in order])
     want = sorted((repr(rows[i][0]), len(s), repr(rows[order[c]][0])) for i, s, c in zip(order, sets, component, strict=True))
     assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in got) == want
-    assert sum(r.kept for r in got) == len(set(component))
-    assert all(r.doc_id == r.component_id for r in got if r.kept)
+    assert sum(r.stays for r in got) == len(set(component))
+    assert all(r.kept == (r.doc_id == r.component_id) and r.kept >= r.stays for r in got)
 
 
 def test_near(documents, rows):
@@ -120,6 +120,15 @@ def test_pipeline_drops_near_copies_from_80_of_100(spark):
     assert near_dedup.near_dedup(docs).where("kept").count() == 80
 
 
+def test_rows_that_repeat_are_kept_by_their_id_and_one_stays(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(7, text), (7, text), (8, text), (9, None), (9, None)], "doc_id long, text string")
+    got = near_dedup.near_dedup(docs).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(7, 7, True)] * 2 + [(8, 7, False)] + [(9, 9, True)] * 2
+    assert [sum(r.stays for r in got if r.doc_id == i) for i in (7, 8, 9)] == [1, 0, 2]  # texts without words are linked with nothing
+    assert near_dedup.without_near_copies(docs).count() == 3
+
+
 @pytest.mark.parametrize("percent", [5, 30, 50, 65, 70, 80, 85, 100])
 def test_bands_and_sketches_follow_from_the_similarity(percent):
     """Pairs exactly at the limit, drawn: none is missed, at any limit."""

@@ -174,12 +174,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85, row_col: str | None = None) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept, row.
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept, stays, row.
 
     Two texts are linked if their sets of shingles share ``percent`` of 100 of their union. A null text counts as empty; texts
-    without words are linked with nothing, and each is its own component. ``kept`` is one row of each component: the
-    smallest id (no id last), of rows with one id the first; so of rows that repeat one is kept. ``row`` is ``row_col``,
-    which then has to be unique, or else a number of the row. Other columns are not read. An empty table gives no rows.
+    without words are linked with nothing, and each is its own component. ``kept`` is whether a row's id is that of its component, the
+    smallest in it (no id last); of rows that repeat, ids included, that holds for all or none. ``stays`` is true for one row of
+    each component, of the kept ones the first. ``row`` is ``row_col``, which then has to be unique, or else a number of the row. Other columns are not read. An empty table gives no rows.
     Samples, bands and the cut of sketches follow from ``percent`` (1 to 100): a link is missed by the bands, or dropped by
     its sketches, with a probability of 2.5e-8 each at most.
     """
@@ -200,7 +200,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = named.groupBy("comp").agg(F.min(F.struct("none", "id", "node")).alias("best"))
     of_class = named.join(best, "comp").select("digest", "digest2", F.coalesce("alone", F.lit(-1)).alias("alone"), F.col("best.id").alias("component_id"), F.col("best.node").alias("keep_row"))
     slim = described.select("id", "row", "size", "digest", "digest2", F.when(F.col("size") == 0, F.col("row")).otherwise(F.lit(-1)).alias("alone"))
-    return slim.join(of_class, ["digest", "digest2", "alone"]).select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), "component_id", (F.col("row") == F.col("keep_row")).alias("kept"), "row")
+    return slim.join(of_class, ["digest", "digest2", "alone"]).select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), (F.col("row") == F.col("keep_row")).alias("stays"), "row")
 
 
 def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
@@ -248,8 +248,8 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, classes: Dat
 def without_near_copies(docs: DataFrame, percent: int = 85, **columns: str) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are: one of each component."""
     rows = numbered(docs)
-    return without(rows, near_dedup(rows, percent=percent, row_col=ROW, **columns).where("NOT kept").select(F.col("row").alias(ROW)))
+    return without(rows, near_dedup(rows, percent=percent, row_col=ROW, **columns).where("NOT stays").select(F.col("row").alias(ROW)))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents")).drop("row")
+    return near_dedup(table(spark, sf_dir, "documents")).drop("row", "stays")
