@@ -54,6 +54,19 @@ def test_odd_pages(spark, field):
     assert html_text.extract(df.where("false"), field).count() == 0
 
 
+def test_long_odd_pages_take_no_more_than_their_length(field):
+    """A megabyte each of what once took the square of it."""
+    import time
+
+    n = 1 << 20
+    pages = ["".join(f"<div>t{i % 10}" for i in range(n // 7)), "<a " * (n // 3), "<p>" + "<a x='" * (n // 6), "<svg " * (n // 5), "<b>" * (n // 6) + "<p>t</p>" * (n // 16) + "</i>" * (n // 8)]
+    for page in pages:
+        start = time.process_time()
+        html_text.leaves(page)
+        assert time.process_time() - start < 20
+    assert len(html_text.leaves(pages[0])) == n // 7 and html_text.leaves("<p>a</p> b <a c <!-- d")[1].text == "b <a c"
+
+
 def test_viterbi_is_the_best_chain(field):
     import itertools
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,9 +52,13 @@ _PART = re.compile(r"[A-Za-z]+")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+#: Tags around a block that its features look at, the innermost ones: so that what a page costs grows with its length alone.
+DEPTH = 64
+
+
 @dataclass
 class Leaf:
-    path: tuple[str, ...]  # what it is under: tags, and tags with a class, id or role
+    path: tuple[str, ...]  # what it is under: tags, and their classes, ids and roles
     text: str
     linked: int  # code points in links
 
@@ -65,8 +70,8 @@ def _hidden(page: str) -> dict[int, int]:
     if not _HIDES.search(page):
         return spans
     open_at: dict[str, list[int]] = {tag: [] for tag in _HIDDEN}
-    at = 0
-    while mark := _MARK.search(page, at):
+    at, last = 0, page.rfind(">")  # behind it no tag ends; to look for one from each place there would take the square
+    while at <= last and (mark := _MARK.search(page, at)):
         at, tag = mark.end(), (mark[2] or "").lower()
         closed = (mark[3] or "").endswith("/")
         if tag in _RAW_ENDS:
@@ -86,23 +91,24 @@ def leaves(page: str) -> list[Leaf]:
     are passed over, as either may be left out, and what else a head holds has no text."""
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    opened: Counter[str] = Counter()  # the tags on the stack
     text: list[str] = []
-    linked, links, at = 0, 0, 0
+    linked, at, last = 0, 0, page.rfind(">")
 
     def flush() -> None:
         nonlocal linked
         if text:
             clean = " ".join(entities.unescape("".join(text)).split())
             if clean:
-                out.append(Leaf(tuple(name for _, names in stack for name in names), clean, linked))
+                out.append(Leaf(tuple(name for _, names in stack[-DEPTH:] for name in names), clean, linked))
             text.clear()
         linked = 0
 
     hidden = _hidden(page)
-    while token := _TOKEN.search(page, at):
+    while at <= last and (token := _TOKEN.search(page, at)):
         if token.start() > at:
             text.append(page[at : token.start()])
-            if links:
+            if opened["a"]:
                 linked += token.start() - at
         at = max(token.end(), hidden.get(token.start(), 0))
         tag = (token[3] or "").lower()
@@ -115,27 +121,37 @@ def leaves(page: str) -> list[Leaf]:
         if tag in _BLOCK_TAGS:
             flush()
         if token[2]:
-            if any(open_tag == tag for open_tag, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if opened[tag]:
+                _close(stack, opened, next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
         elif tag in _VOID_TAGS:
             if tag == "br":
                 text.append(" ")
         else:
-            _close_implied(stack, tag)
+            _close_implied(stack, opened, tag)
             stack.append((tag, _names(tag, token[4])))
-        links = any(open_tag == "a" for open_tag, _ in stack) if tag == "a" or links else 0
-    text.append(page[at:])
+            opened[tag] += 1
+    rest, comment, _ = page[at:].partition("<!--")  # of what needs no end only a comment is left
+    text.append(rest)
+    if comment and opened["a"]:
+        linked += len(rest)
     flush()
     return out
 
 
-def _close_implied(stack: list[tuple[str, tuple[str, ...]]], tag: str) -> None:
+def _close(stack: list[tuple[str, tuple[str, ...]]], opened: Counter[str], at: int) -> None:
+    for tag, _ in stack[at:]:
+        opened[tag] -= 1
+    del stack[at:]
+
+
+def _close_implied(stack: list[tuple[str, tuple[str, ...]]], opened: Counter[str], tag: str) -> None:
     """Close what the tag ends without saying so."""
     ends = _CLOSES.get(tag, set()) | ({"p"} if tag in _IN_P else set())
+    if not any(opened[t] for t in ends):
+        return
     for i in range(len(stack) - 1, -1, -1):
         if stack[i][0] in ends:
-            del stack[i:]
+            _close(stack, opened, i)
             return
         if stack[i][0] in ("ul", "ol", "dl", "table", "div", "section", "article", "td"):
             return
