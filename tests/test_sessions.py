@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from samples import USER_EVENTS, user_line, write_blocks
 from tidemark.operators import decode_user_events, gap_sessions, sessionize, summarize_sessions
 from tidemark.sources import read_lines
-from tidemark.streaming.queries import state_store
+from tidemark.streaming import (
+    event_time_sessions,
+    open_gap_sessions,
+    open_sessions,
+    processing_time_sessions,
+    run_to_table,
+)
+from tidemark.streaming.queries import _settings, state_settings, state_store
 from tidemark.streaming.state import state_variable
-from tidemark.streaming import event_time_sessions, open_sessions, processing_time_sessions, run_to_table
 
 START = dt.datetime(2020, 1, 1)
 GAP = 30
@@ -115,6 +121,30 @@ def test_gap_alone_on_a_stream(spark, tmp_path):
     assert sorted(map(key, got)) == sorted(want)
 
 
+def test_gap_sessions_closed_and_open(spark, tmp_path):
+    """One user has a third of the rows, many at one time; a second run goes on with the sessions that were open."""
+    events = sorted([(1 if i % 3 == 0 else u or 2, t, i, False) for u, t, i, _ in random_events(11, 300)], key=lambda e: e[1])
+    run = str(tmp_path / "run")
+    for some in ([events[:100], events[100:150]], [events[150:]]):
+        stream = event_stream(spark, tmp_path / "in", some)
+        closed = run_to_table(gap_sessions(stream, "user", "ts", f"{GAP} seconds", delay="0 seconds"), folder=run)
+        left = open_gap_sessions(closed, run)
+        seen = events[:150] if len(some) == 2 else events
+        assert sorted(map(key, closed.unionByName(left).collect())) == sorted(key(s[:4]) for s in brute_force(seen)[1])
+        assert left.count() > 0
+
+
+def test_sessions_of_a_task_meet_before_the_shuffle(spark, tmp_path):
+    stream = event_stream(spark, tmp_path / "in", [random_events(12, 50)])
+    sessions = gap_sessions(stream, "user", "ts", f"{GAP} seconds", delay="0 seconds")
+    with _settings(spark, state_settings(spark)):
+        query = sessions.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        query.processAllAvailable()
+        plan = query._jsq.explainInternal(False)
+        query.stop()
+    assert "MergingSessions" in plan[plan.rindex("Exchange hashpartitioning") :]  # what is below the exchange comes later in the text
+
+
 # --- By event time --------------------------------------------------------------------------------
 
 

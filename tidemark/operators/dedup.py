@@ -3,6 +3,7 @@
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -62,7 +63,7 @@ def first_by(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str
 def _first_in_batch(keys: list[str]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbered = pa.table({**{k: batch.column(k) for k in keys}, "__row": pa.array(range(batch.num_rows))})
+            numbered = pa.table({**{k: batch.column(k) for k in keys}, "__row": pa.array(np.arange(batch.num_rows))})
             first = numbered.group_by(keys).aggregate([("__row", "min")])["__row_min"]
             yield batch.take(first.combine_chunks().sort())
 

@@ -110,12 +110,12 @@ def sessionize(
     ts: str,
     gap: str,
     last_flag: str,
-    tiebreak: Sequence[str] = (),
+    tiebreak: Sequence[str],
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``session_no``, which counts each key's sessions from 1.
 
-    Rows go in the order of ``ts`` and ``tiebreak``, which should tell all rows of a key apart. A
+    Rows go in the order of ``ts`` and ``tiebreak``, which have to tell all rows of a key apart that a flag sets apart. A
     session ends behind a row whose ``last_flag`` is true, and before a row that comes more than ``gap``
     after the one before it. Rows without a time belong to no session and are left out.
 

@@ -57,6 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sessions_stream": sessions.sessions_stream,
     "sessions_sliced_stream": sessions.sessions_sliced_stream,
     "gap_sessions": sessions.gap_sessions,
+    "gap_sessions_stream": sessions.gap_sessions_stream,
+    "events_lake": sessions.events_lake,
     "user_events_decode": sessions.user_events_decode,
     "session_events_stream": sessions.session_events_stream,
 }
@@ -301,6 +303,10 @@ ORACLES: dict[str, str] = {
     "sessions_stream": _SESSIONS,
     "sessions_sliced_stream": _SESSIONS,
     "gap_sessions": _GAP_SESSIONS,
+    "gap_sessions_stream": _GAP_SESSIONS,
+    "events_lake": """
+        SELECT event_id, ts, user_id, event_type, value FROM events
+        WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-21'""",
     "user_events_decode": f"""{_USER_EVENTS}, date_trunc('millisecond', ts) AS "eventTime" FROM events""",
     "session_events_stream": f"""{_USER_EVENTS}, 'flag' AS closed_by FROM events
         WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')""",

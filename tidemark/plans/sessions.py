@@ -11,7 +11,17 @@ from tidemark.operators import (
     summarize_sessions,
 )
 from tidemark.sources import as_wall_clock, read_table, read_table_stream, replay_by_time
-from tidemark.streaming import event_time_sessions, open_sessions, processing_time_sessions, run_to_table, scratch_folder
+from tidemark.streaming import (
+    await_query,
+    event_time_sessions,
+    open_gap_sessions,
+    open_sessions,
+    processing_time_sessions,
+    read_compacted_lake,
+    run_to_table,
+    scratch_folder,
+    to_compacted_lake,
+)
 
 GAP = "30 minutes"
 # Micro-batches that a replayed table is cut into at least, so that state and watermark are at work on small tables too.
@@ -52,6 +62,23 @@ def gap_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return as_wall_clock(sessions_by_gap(read_table(spark, folder, "events"), "user_id", "ts", GAP))
 
 
+def gap_sessions_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions by Spark's session windows; tasks put those of a frequent user together before the shuffle."""
+    run = scratch_folder(spark, "sessions")
+    events = replay_by_time(read_table(spark, folder, "events").select("user_id", "ts"), "ts", at_least=SLICES)
+    closed = run_to_table(sessions_by_gap(events, "user_id", "ts", GAP, delay="0 seconds"), folder=run)
+    return as_wall_clock(closed.unionByName(open_gap_sessions(closed, run)))
+
+
+def events_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Events streamed into a lake by day, whose closed days are brought together; eleven days are read back."""
+    base = scratch_folder(spark, "lake")
+    events = read_table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    query = to_compacted_lake(replay_by_time(events, "ts", at_least=SLICES + 1), f"{base}/lake", f"{base}/checkpoint", "ts", available_now=True)
+    await_query(query)
+    return as_wall_clock(read_compacted_lake(spark, events.schema, f"{base}/lake", "2024-01-10", "2024-01-20"))
+
+
 def _lines(events: DataFrame) -> DataFrame:
     """Events as the lines a web site logs."""
     return events.select(

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import word_count as count_words
 from tidemark.sources import FILES_PER_BATCH, read_table, read_table_stream
-from tidemark.streaming import latest_per_key, run_to_table, word_count_per_batch as count_each_batch
+from tidemark.streaming import latest_per_key, run_to_result, run_to_table, scratch_folder, word_count_per_batch as count_each_batch
 
 
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -12,8 +12,9 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole result in the end; each batch writes what it changed."""
     documents = read_table_stream(spark, folder, "documents", FILES_PER_BATCH)
-    return run_to_table(count_words(documents, "text"), "complete")
+    return run_to_result(count_words(documents, "text"), ["value"], scratch_folder(spark, "words"))
 
 
 def word_count_update(spark: SparkSession, folder: str) -> DataFrame:

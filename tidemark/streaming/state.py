@@ -23,21 +23,41 @@ def state_variable(spark: SparkSession, run: str, variable: str) -> DataFrame |
         return reader.load(checkpoint)
 
 
+def _state_of(spark: SparkSession, run: str, operator: str) -> DataFrame | None:
+    """The state of a stream's only operator of this kind."""
+    checkpoint = f"{run}/checkpoint"
+    found = _operators(spark, checkpoint).where(F.col("operatorName") == operator).collect()
+    if len(found) > 1:
+        raise ValueError(f"the stream has more than one operator {operator}")
+    if not found:
+        return None
+    return spark.read.format("statestore").option("operatorId", found[0].operatorId).load(checkpoint)
+
+
 def open_groups(written: DataFrame, run: str) -> DataFrame:
     """The groups of an append-mode aggregate that its stream, run in the folder ``run``, has not written yet, with the columns of ``written``.
 
     The stream has to have one aggregate, its columns the keys and then aggregates that are kept as their value, which sums,
-    counts, minima and maxima are. Rows the state has are read once and kept, since the next run changes them.
+    counts, minima and maxima are. What the state has is read once and kept, since the next run changes it.
     """
-    spark, checkpoint = written.sparkSession, f"{run}/checkpoint"
-    found = _operators(spark, checkpoint).where("operatorName = 'stateStoreSave'").collect()
-    if not found:
-        return written.where("false")
-    if len(found) > 1:
-        raise ValueError("the stream has more than one aggregate")
+    spark = written.sparkSession
     with state_store(spark):
-        state = spark.read.format("statestore").option("operatorId", found[0].operatorId).load(checkpoint)
+        state = _state_of(spark, run, "stateStoreSave")
+        if state is None:
+            return written.where("false")
         fields = [F.col(f"{part}.`{f.name}`") for part in ("key", "value") for f in state.schema[part].dataType.fields]
         if len(fields) != len(written.columns):
             raise ValueError(f"the state has {len(fields)} columns, the result {len(written.columns)}")
         return checkpointed(state.select(*(f.cast(written.schema[c].dataType).alias(c) for f, c in zip(fields, written.columns))))
+
+
+def open_gap_sessions(written: DataFrame, run: str) -> DataFrame:
+    """The sessions that a stream of ``gap_sessions``, run in the folder ``run``, has not written yet, with the columns of ``written``."""
+    spark = written.sparkSession
+    with state_store(spark):
+        state = _state_of(spark, run, "sessionWindowStateStoreSaveExec")
+        if state is None:
+            return written.where("false")
+        key, last, n = (f"value.`{f.name}`" for f in state.schema["value"].dataType.fields[1:])
+        fields = [key, "value.session_window.start", last, n]
+        return checkpointed(state.select(*(F.col(f).alias(c) for f, c in zip(fields, written.columns))))
