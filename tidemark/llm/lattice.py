@@ -1,6 +1,7 @@
 """Language-model scores by a lattice of pieces: a text's probability is the sum over all its segmentations.
 
-The pieces are those of a public unigram vocabulary, weighted by how many different training words they are in, each
+No unigram vocabulary with scores is at hand, so the scores are worked out here: the pieces are those of a public byte-pair
+vocabulary, whose own scores are merge ranks and are not read, weighted by how many different training words they are in, each
 training word as a whole, and each training sentence of two words or more as a whole; the latter two by their discounted
 counts. What the discounts take is what shorter pieces share, so probabilities of all texts sum to one. A word's
 marginal probability is found by a forward recursion in logarithms over the ends of its prefixes. Words are independent,

@@ -10,7 +10,8 @@ runs of strings with one anchor; a run is its first string's start and how many
    suffixes are sorted by a difference cover (``suffixes``), and neighbours that share 50 bytes are one string;
 5. blocks get one bit for each string of their runs, remove what is covered and return documents.
 
-Nothing is left out on the way: hashes only decide what need not be compared.
+Steps 1, 2, 3 and 5 are what Spark distributes; the difference cover sorts within a task, slice by slice. Anchors only rule out what
+cannot repeat, but runs of one anchor whose whole 64-bit hashes are equal count as equal and are not compared byte by byte.
 """
 
 from __future__ import annotations
