@@ -1,4 +1,5 @@
 import json
+import math
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from test_functions import crossings_odd
 from tidemark.operators import append_areas
 from tidemark.operators.areas import _grid, _shapes
+from tidemark.operators.large_areas import area_cells
 from tidemark.schemas import AREA
 from tidemark.sources import malformed_areas, read_areas, read_table, read_table_stream
 from tidemark.streaming import run_to_table
@@ -50,6 +52,52 @@ def test_random_areas(spark, seed, max_bytes):
     assert got.count() == len(points)
 
 
+def star(rng, x, y, corners, size=1.0, back=0.0):
+    """A polygon with many corners around a point, some on one height or one line; with ``back`` it crosses itself."""
+    out = []
+    for i in range(corners):
+        angle = 2 * math.pi * i / corners + rng.uniform(-back, back)
+        far = size * rng.choice([0.3, 0.7, 1.0, rng.uniform(0.2, 1.0)])
+        out.append([round(x + far * math.cos(angle), 3), round(y + far * math.sin(angle), 3)])
+    return out
+
+
+@pytest.mark.parametrize("seed,back", [(4, 0.0), (5, 0.5)])
+def test_areas_with_many_corners(spark, seed, back):
+    """Among small areas, some of them under and over the large ones; corners, heights of corners and far points are among the points."""
+    rng = random.Random(seed)
+    areas = random_areas(rng, 10)
+    areas |= {f"area {i:02}x": star(rng, rng.uniform(-3, 3), rng.uniform(-3, 3), n, rng.choice([1.0, 4.0]), back) for i, n in enumerate([65, 200, 700])}
+    areas["area 05y"] = areas["area 01x"]  # the same corners under another name
+    corners = [c for p in areas.values() for c in p]
+    points = [(i, rng.uniform(-6, 8), rng.uniform(-6, 8)) for i in range(1500)]
+    points += [(2000 + i, *rng.choice(corners)) for i in range(300)] + [(3000 + i, rng.uniform(-6, 8), rng.choice(corners)[1]) for i in range(300)]
+    points += [(4000 + i, rng.choice(corners)[0], rng.uniform(-6, 8)) for i in range(200)] + [(5000, 1e9, 0.0), (5001, -1e9, 0.0), (5002, None, 1.0), (5003, 0.0, -1e9)]
+    got = append_areas(*frames(spark, points, areas), POINT)
+    assert got.columns == ["id", "x", "y", "area"]
+    assert {r.id: r.area for r in got.collect()} == expected(points, areas) and got.count() == len(points)
+
+
+def test_a_point_meets_few_edges_of_a_very_large_area(spark):
+    rng = random.Random(6)
+    turn = [2 * math.pi * i / 50_000 for i in range(50_000)]
+    far = [0.7 + 0.2 * math.sin(5 * t) + 0.001 * rng.random() for t in turn]
+    coast = [[r * math.cos(t), r * math.sin(t)] for r, t in zip(far, turn)]
+    areas = spark.createDataFrame([("a", "coast", coast)], "area string, name string, coord array<array<double>>")
+    cells, grids = area_cells(areas)
+    sizes = cells.agg(F.avg(F.size("edges")).alias("edges"), F.max(F.size("levels")).alias("levels"), F.count("*").alias("n")).first()
+    assert sizes.edges < 100 and sizes.n <= grids.first().n ** 2
+    points = [(i, rng.uniform(-1, 1), rng.uniform(-1, 1)) for i in range(200)]
+    got = append_areas(*frames(spark, points, {"coast": coast}), POINT)
+    assert {r.id: r.area for r in got.collect()} == expected(points, {"coast": coast})
+
+
+def test_flat_areas_have_no_inside(spark):
+    flat = {"line": [[float(i), 1.0] for i in range(80)], "post": [[2.0, float(i)] for i in range(80)], "dot": [[3.0, 3.0]] * 80}
+    points = [(1, 2.0, 1.0), (2, 2.0, 1.5), (3, 3.0, 3.0), (4, 1.5, 1.0)]
+    assert {r.id: r.area for r in append_areas(*frames(spark, points, flat), POINT).collect()} == expected(points, flat)
+
+
 def test_two_points_per_row(spark):
     areas = {"west": [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]], "east": [[1.0, 0.0], [2.0, 0.0], [2.0, 1.0], [1.0, 1.0]]}
     rides = spark.createDataFrame([(0.5, 0.5, 1.5, 0.5), (1.5, 0.5, 3.0, 3.0)], "a float, b float, c float, d float")

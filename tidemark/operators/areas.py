@@ -5,7 +5,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.checkpoints import checkpointed
 from tidemark.functions.geo import point_in_polygon, polygon_edges
+from tidemark.operators.large_areas import MANY_EDGES, area_cells, cell_of, inside_cell
 
 # The lookup table is broadcast up to this size and joined by shuffle beyond it.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -74,7 +76,7 @@ def append_areas(
     df: DataFrame,
     areas: DataFrame,
     points: Mapping[str, tuple[str, str]],
-    default: str = "Other",
+    default: str | None = "Other",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add, for each ``name: (lon, lat)`` in ``points``, the name of the area the point lies in.
@@ -84,7 +86,16 @@ def append_areas(
     a point looks only at the areas of its cell. The size of that list is measured first. Up to
     ``max_broadcast_bytes`` it is broadcast; beyond, each distinct point is joined by shuffle. A stream
     is then joined with the list by shuffle as it is.
+
+    On a table, areas with very many corners are cut into cells of their own (``large_areas``), so that a point is compared with the
+    few edges near it.
     """
+    if not df.isStreaming:
+        large = areas.where((F.size("coord") > MANY_EDGES) & ~F.exists("coord", lambda c: F.exists(c, lambda v: v.isNull()) | (F.size(c) < 2)))
+        if not large.isEmpty():
+            rest = areas.join(large.select("coord").distinct(), "coord", "left_anti").select(*areas.columns)
+            small = append_areas(df, rest, points, None, max_broadcast_bytes)
+            return _append_large(small, large, points, default)
     shapes = _shapes(areas)
     width, height, size = _grid(shapes)
     listed = shapes.select(
@@ -107,7 +118,7 @@ def append_areas(
 
 
 def _look_up(
-    df: DataFrame, cells: DataFrame, name: str, lon: str, lat: str, width: float, height: float, default: str
+    df: DataFrame, cells: DataFrame, name: str, lon: str, lat: str, width: float, height: float, default: str | None
 ) -> DataFrame:
     columns = df.columns
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
@@ -119,7 +130,7 @@ def _look_up(
 
 
 def _join_points(
-    df: DataFrame, listed: DataFrame, name: str, lon: str, lat: str, width: float, height: float, default: str
+    df: DataFrame, listed: DataFrame, name: str, lon: str, lat: str, width: float, height: float, default: str | None
 ) -> DataFrame:
     columns = df.columns
     x, y = F.col("__x"), F.col("__y")
@@ -135,3 +146,28 @@ def _join_points(
     return df.join(hits.hint("merge"), (lon == x) & (lat == y), "left").select(
         *columns, F.coalesce("__name", F.lit(default)).alias(name)
     )
+
+
+def _append_large(df: DataFrame, areas: DataFrame, points: Mapping[str, tuple[str, str]], default: str | None) -> DataFrame:
+    """The names that are there already, or of large areas that come later in the alphabet."""
+    shapes = areas.groupBy("coord").agg(F.max("name").alias("name")).withColumn("area", F.md5(F.to_json("coord")))
+    cells, grids = (checkpointed(part) for part in area_cells(shapes))
+    width, height, _ = _grid(grids.withColumn("edges", F.array()))
+    listed = grids.withColumn("__cx", F.explode(F.sequence(_cell(F.col("x0"), width), _cell(F.col("x1"), width))))
+    listed = listed.withColumn("__cy", F.explode(F.sequence(_cell(F.col("y0"), height), _cell(F.col("y1"), height))))
+    for name, (lon, lat) in points.items():
+        columns = df.columns
+        x, y = F.col("__x"), F.col("__y")
+        lon, lat = F.col(lon).cast("double"), F.col(lat).cast("double")
+        distinct = df.select(lon.alias("__x"), lat.alias("__y")).distinct()
+        near = distinct.withColumns({"__px": _cell(x, width), "__py": _cell(y, height)}).join(
+            listed,
+            (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy"))
+            & x.between(F.col("x0"), F.col("x1")) & y.between(F.col("y0"), F.col("y1")),
+        )
+        cx, cy = cell_of(x, y)
+        placed = near.select("__x", "__y", "name", "area", cx.alias("cx"), cy.alias("cy"))
+        hits = placed.join(cells, ["area", "cx", "cy"]).where(inside_cell(x, y)).groupBy("__x", "__y").agg(F.max("name").alias("__large"))
+        both = F.coalesce(F.array_max(F.array(F.col(name), F.col("__large"))), F.lit(default))
+        df = df.join(hits, (lon == x) & (lat == y), "left").withColumn(name, both).select(*columns)
+    return df

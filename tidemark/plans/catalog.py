@@ -10,6 +10,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": words.word_count,
     "word_count_stream": words.word_count_stream,
     "word_count_update": words.word_count_update,
+    "line_word_count_stream": words.line_word_count_stream,
     "word_count_per_batch": words.word_count_per_batch,
     "traffic_decode": telemetry.traffic_decode,
     "traffic_decode_stream": telemetry.traffic_decode_stream,
@@ -47,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tips_sliding": taxi.tips_sliding,
     "tips_sliding_stream": taxi.tips_sliding_stream,
     "neighbourhoods": taxi.neighbourhoods,
+    "neighbourhoods_from_file": taxi.neighbourhoods_from_file,
     "neighbourhoods_shuffled": taxi.neighbourhoods_shuffled,
     "neighbourhoods_stream": taxi.neighbourhoods_stream,
     "delimited_decode": taxi.delimited_decode,
@@ -251,6 +253,9 @@ ORACLES: dict[str, str] = {
     "word_count": _WORDS,
     "word_count_stream": _WORDS,
     "word_count_update": _WORDS,
+    "line_word_count_stream": _WORDS.replace(
+        "FROM documents", r"FROM (SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS text FROM documents)"
+    ),
     "word_count_per_batch": f"SELECT value, count, 0::BIGINT AS batch_id FROM ({_WORDS})",
     "traffic_decode": _TRAFFIC,
     "traffic_decode_stream": _TRAFFIC,
@@ -291,6 +296,7 @@ ORACLES: dict[str, str] = {
     "ride_districts_stream": _RIDE_DISTRICTS,
     "tips_sliding": _TIPS,
     "neighbourhoods": _NEIGHBOURHOODS,
+    "neighbourhoods_from_file": _NEIGHBOURHOODS,
     "neighbourhoods_shuffled": _NEIGHBOURHOODS,
     "neighbourhoods_stream": _NEIGHBOURHOODS,
     "delimited_decode": "SELECT * FROM orders",

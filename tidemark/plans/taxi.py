@@ -20,7 +20,7 @@ from tidemark.operators import (
     within_bbox,
 )
 from tidemark.schemas import AREA, TAXI_FARE, TAXI_RIDE
-from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_table, read_table_stream, replay_by_time
+from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_areas, read_table, read_table_stream, replay_by_time
 from tidemark.streaming import await_query, open_groups, run_to_table, scratch_folder, to_parquet_lake
 
 TOWN = BoundingBox(west=0.01, east=0.08, south=0.01, north=0.07)
@@ -190,6 +190,14 @@ def neighbourhoods(spark: SparkSession, folder: str) -> DataFrame:
     return _in_regions(_points(read_table(spark, folder, "embeddings")))
 
 
+def neighbourhoods_from_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the regions read from a file of JSON lines, some of which are no polygon."""
+    path = scratch_folder(spark, "regions")
+    lines = _areas(spark, REGIONS).select(F.to_json(F.struct("name", "coord")).alias("value"))
+    lines.unionByName(spark.createDataFrame([("",), ("no polygon",)], "value string")).write.text(path)
+    return append_areas(_points(read_table(spark, folder, "embeddings")), read_areas(spark, path), {"region": ("x", "y")})
+
+
 def neighbourhoods_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The same as ``neighbourhoods`` with nothing broadcast, as when there are very many areas."""
     return _in_regions(_points(read_table(spark, folder, "embeddings")), max_broadcast_bytes=0)
