@@ -52,7 +52,7 @@ def first(spark):
     return first_by(spark.createDataFrame(readings(), SCHEMA), ["vehicle"], "at", TIE)
 
 
-@pytest.mark.parametrize("n,held", [(1, 50_000), (5, 10)])
+@pytest.mark.parametrize("n,held", [(1, 50_000), (3, 10)])
 def test_changes_add_up_to_the_first_rows(spark, tmp_path, first, n, held):
     changes = changes_of(files(spark, tmp_path / "in", parts_of(readings(), n)), held=held)
     assert changes.columns == [*SCHEMA.replace(",", "").split()[::2], CHANGE]
@@ -76,10 +76,10 @@ AGGREGATES = {
 
 @pytest.mark.parametrize("name", AGGREGATES)
 def test_aggregates_on_the_stream_are_those_of_the_table(spark, tmp_path, first, name):
-    """Six files out of order, one in a batch: groups come and go."""
+    """Four files out of order, one in a batch: groups come and go."""
     keys, aggregate = AGGREGATES[name]
-    updates = run_to_table(aggregate(changes_of(files(spark, tmp_path / "in", parts_of(readings(), 6))), CHANGE), "update")
-    assert updates.select("batch_id").distinct().count() >= 6
+    updates = run_to_table(aggregate(changes_of(files(spark, tmp_path / "in", parts_of(readings(), 4))), CHANGE), "update", state_partitions=2)
+    assert updates.select("batch_id").distinct().count() >= 4
     same(settled(updates, keys), aggregate(first, None))
 
 
@@ -97,8 +97,8 @@ def test_complete_mode_is_sorted(spark, tmp_path, first):
 
 
 def test_a_restart_goes_on_with_its_state(spark, tmp_path, first):
-    parts, run = parts_of(readings(), 4), str(tmp_path / "run")
-    for some in (parts[:2], parts[2:]):
+    parts, run = parts_of(readings(), 2), str(tmp_path / "run")
+    for some in (parts[:1], parts[1:]):
         stream = files(spark, tmp_path / "in", some)
         updates = run_to_table(count_by(changes_of(stream), ["kind"], change=CHANGE), "update", run)
     same(settled(updates, ["kind"]), count_by(first, ["kind"]))
@@ -109,14 +109,14 @@ def test_a_restart_goes_on_with_its_state(spark, tmp_path, first):
 
 @pytest.mark.parametrize("mode", ["update", "complete"])
 def test_windows_behind_a_watermark(spark, tmp_path, mode):
-    """Rows in order of time but for a delay of half an hour, in five batches: the same windows as of the table."""
+    """Rows in order of time but for a delay of half an hour, in four batches: the same windows as of the table."""
     draw = random.Random(4)
     rows = [r for r in readings(3) if r[1] is not None]
     rows.sort(key=lambda r: r[1] + dt.timedelta(minutes=draw.randint(0, 29)))
-    parts = [rows[len(rows) * i // 5 : len(rows) * (i + 1) // 5] for i in range(5)]
+    parts = [rows[len(rows) * i // 4 : len(rows) * (i + 1) // 4] for i in range(4)]
     changes = changes_of(files(spark, tmp_path / "in", parts), delay="30 minutes")
     windows = windowed_count(changes, "at", "30 minutes", ["kind"], ordered=mode == "complete", change=CHANGE)
-    out = run_to_table(windows, mode)
+    out = run_to_table(windows, mode, state_partitions=2)
     got = settled(out, ["window_start", "window_end", "kind"]) if mode == "update" else out.where("rows > 0").drop("rows")
     same(got, windowed_count(first_by(spark.createDataFrame(rows, SCHEMA), ["vehicle"], "at", TIE), "at", "30 minutes", ["kind"]))
 
@@ -135,9 +135,9 @@ def test_late_rows_change_nothing(spark, tmp_path):
 def test_state_of_closed_windows_is_dropped(spark, tmp_path):
     run = str(tmp_path / "run")
     rows = [(f"v{i}", START + dt.timedelta(minutes=10 * i), i, "a", 1.0, START) for i in range(60)]
-    stream = files(spark, tmp_path / "in", [rows[i : i + 10] for i in range(0, 60, 10)])
+    stream = files(spark, tmp_path / "in", [rows[i : i + 20] for i in range(0, 60, 20)])
     windows = windowed_count(changes_of(stream, delay="1 minute"), "at", "30 minutes", ["kind"], change=CHANGE)
-    run_to_table(windows, "update", run)
+    run_to_table(windows, "update", run, state_partitions=2)
     operators = spark.read.format("state-metadata").load(f"{run}/checkpoint").select("operatorId", "operatorName").distinct().collect()
     assert {r.operatorName.lower()[:9] for r in operators} == {"transform", "statestor"}
     window_state = next(r.operatorId for r in operators if "statestoresave" in r.operatorName.lower())

@@ -246,7 +246,7 @@ def in_order(events, pieces):
 def closed_and_open(spark, tmp_path, cuts, **how):
     run = str(tmp_path / "run")
     stream = event_stream(spark, tmp_path / "in", cuts)
-    closed = run_to_table(event_time_sessions(stream, "user", "ts", f"{GAP} seconds", "last", "id", **how), folder=run)
+    closed = run_to_table(event_time_sessions(stream, "user", "ts", f"{GAP} seconds", "last", "id", **how), folder=run, state_partitions=2)
     return closed, open_sessions(closed, run, "user", f"{GAP} seconds")
 
 

@@ -17,7 +17,7 @@ from tidemark.functions.intervals import interval_micros
 from tidemark.operators.sessions import sessionize
 from tidemark.schemas import USER_EVENT
 from tidemark.streaming.queries import state_store
-from tidemark.streaming.state import state_variable
+from tidemark.streaming.state import operators, state_variable
 
 # The processors travel to the Python workers whole, so these need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -380,14 +380,14 @@ def open_sessions(closed: DataFrame, run: str, key: str, gap: str) -> DataFrame:
     long as ``gap`` at the last event the stream has seen is a timeout, one that ends with a flag is closed by it, others are open. ``closed`` is what the stream wrote.
     """
     spark = closed.sparkSession
-    parts = []
+    parts, among = [], operators(spark, run)
     for variable in ("progress", "stitched"):
-        under_way = state_variable(spark, run, variable)
+        under_way = state_variable(spark, run, variable, among)
         if under_way is not None:
             session = under_way.where("value.start IS NOT NULL").select("key.key", "value.*")
             parts.append(session.select("key", "start", "end", "n", F.lit(None).cast("long").alias("tie"), F.lit(False).alias("last")))
     for variable in ("waiting", "sliced"):
-        waiting = state_variable(spark, run, variable)
+        waiting = state_variable(spark, run, variable, among)
         if waiting is not None:
             event = waiting.select("key.key", "list_element.*")
             parts.append(event.select("key", F.col("ts").alias("start"), F.col("ts").alias("end"), F.lit(1).cast("long").alias("n"), "tie", "last"))

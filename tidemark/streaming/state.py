@@ -1,37 +1,37 @@
 """What a stream still holds when it has been stopped, read from its checkpoint by Spark's state data source."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.checkpoints import checkpointed
 from tidemark.streaming.queries import state_store
 
 
-def _operators(spark: SparkSession, checkpoint: str) -> DataFrame:
-    found = spark.read.format("state-metadata").load(checkpoint)
-    return found.select("operatorId", "operatorName", "operatorProperties").distinct()
+def operators(spark: SparkSession, run: str) -> list[Row]:
+    """The stateful operators of a stream run by ``run_to_table`` in the folder ``run``: operatorId, operatorName, operatorProperties."""
+    found = spark.read.format("state-metadata").load(f"{run}/checkpoint")
+    # a row for each state store, of which an operator has a few
+    return list(set(found.select("operatorId", "operatorName", "operatorProperties").collect()))
 
 
-def state_variable(spark: SparkSession, run: str, variable: str) -> DataFrame | None:
-    """A state variable of a stream run by ``run_to_table`` in the folder ``run``; nothing if no operator of it has it."""
-    checkpoint = f"{run}/checkpoint"
-    found = _operators(spark, checkpoint).where(F.col("operatorProperties").contains(f'"stateName":"{variable}"')).first()
-    if found is None:
-        return None
-    reader = spark.read.format("statestore").option("operatorId", found.operatorId).option("stateVarName", variable)
-    with state_store(spark):
-        return reader.load(checkpoint)
+def state_variable(spark: SparkSession, run: str, variable: str, among: list[Row] | None = None) -> DataFrame | None:
+    """A state variable of a stream; nothing if no operator of it (``among``: those to look at) has it."""
+    for operator in operators(spark, run) if among is None else among:
+        if f'"stateName":"{variable}"' in (operator.operatorProperties or ""):
+            reader = spark.read.format("statestore").option("operatorId", operator.operatorId).option("stateVarName", variable)
+            with state_store(spark):
+                return reader.load(f"{run}/checkpoint")
+    return None
 
 
-def _state_of(spark: SparkSession, run: str, operator: str) -> DataFrame | None:
+def _state_of(spark: SparkSession, run: str, name: str) -> DataFrame | None:
     """The state of a stream's only operator of this kind."""
-    checkpoint = f"{run}/checkpoint"
-    found = _operators(spark, checkpoint).where(F.col("operatorName") == operator).collect()
+    found = [o for o in operators(spark, run) if o.operatorName == name]
     if len(found) > 1:
-        raise ValueError(f"the stream has more than one operator {operator}")
+        raise ValueError(f"the stream has more than one operator {name}")
     if not found:
         return None
-    return spark.read.format("statestore").option("operatorId", found[0].operatorId).load(checkpoint)
+    return spark.read.format("statestore").option("operatorId", found[0].operatorId).load(f"{run}/checkpoint")
 
 
 def open_groups(written: DataFrame, run: str) -> DataFrame:
