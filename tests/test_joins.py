@@ -1,10 +1,12 @@
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import interval_join, join_rides_with_fares, windowed_avg
+from tidemark.operators.spread import spread, with_level
 from tidemark.plans import taxi
 from tidemark.sources import read_table, read_table_stream
 from tidemark.streaming import run_to_table
@@ -123,7 +125,7 @@ def stream_of(spark, folder, rows, schema, name):
 
 
 @pytest.mark.parametrize(
-    "how", [dict(upper="7 minutes", left_delay="10 minutes", right_delay="10 minutes"), dict(), dict(salt=3)]
+    "how", [dict(upper="7 minutes", left_delay="10 minutes", right_delay="10 minutes"), dict(), dict(salt=3), dict(rows_per_task=8)]
 )
 def test_stream_equals_table(spark, tmp_path, how):
     left, right = sides(spark, 3, 150)
@@ -136,6 +138,42 @@ def test_stream_equals_table(spark, tmp_path, how):
     assert pairs(run_to_table(joined)) == brute_force(left, right, bound)
 
 
+def test_a_key_that_becomes_frequent_is_spread(spark, tmp_path):
+    """One key has a third of all rows, and the join's tasks hold far fewer of them; other keys stay whole."""
+    left, right = sides(spark, 5, 600)
+    left, right, _, _ = spread(
+        stream_of(spark, tmp_path, left, "lk int, lt timestamp, l int", "left"),
+        stream_of(spark, tmp_path, right, "rk int, rt timestamp, r int", "right"),
+        "lk", "rk", rows_per_task=64, parts=4,
+    )
+    rows = run_to_table(left).collect()
+    cells = Counter((r.lk, r["__left_at"], r["__left_cell"]) for r in rows)
+    frequent = len({r.l for r in rows if r.lk == 1})
+    levels = {r["__left_level"] for r in rows if r.lk == 1}
+    assert frequent > 150 and {0, 1, 2} <= levels
+    assert max(n for (key, at, _), n in cells.items() if key == 1 and at >= 2) < frequent / 2
+    assert max(r["__left_level"] for r in rows if r.lk != 1) == 0
+    of_row = Counter((r.l, r["__left_at"]) for r in rows)
+    assert set(of_row.values()) == {1}
+
+
+def test_a_sketch_keeps_frequent_keys_and_its_size(spark, tmp_path):
+    """More keys than the sketch has room for: the frequent one still rises, and the state stays small."""
+    rng = random.Random(9)
+    rows = [(1 if i % 3 == 0 else rng.randint(2, 10_000), START + dt.timedelta(seconds=i), i) for i in range(1500)]
+    stream = stream_of(spark, tmp_path, rows, "lk int, lt timestamp, l int", "rows")
+    got = run_to_table(with_level(stream, "lk", "level", 50, parts=2, keys=5)).collect()
+    assert sorted((r.lk, r.lt, r.l) for r in got) == sorted(rows)
+    assert max(r.level for r in got if r.lk == 1) >= 2 and max(r.level for r in got if r.lk != 1) == 0
+
+
+def test_spreading_by_rows_is_for_open_joins(spark):
+    left, right = frames(spark, *sides(spark, 6, 50))
+    assert pairs(join(left, right, rows_per_task=1)) == pairs(join(left, right))
+    with pytest.raises(ValueError, match="without a bound"):
+        join(left, right, upper="7 minutes", rows_per_task=1)
+
+
 def state_rows(df, folder):
     query = (
         df.writeStream.format("noop").option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()

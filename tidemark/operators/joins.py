@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import interval_micros
+from tidemark.operators.spread import spread
 
 # A bucket is this many times as long as the join bound: longer buckets mean fewer copies of the left
 # rows (1 + 1/BUCKET_BOUNDS on average), shorter ones fewer comparisons within a key.
@@ -29,6 +30,7 @@ def interval_join(
     right_delay: str | None = None,
     time_buckets: bool = True,
     salt: int = 1,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Pairs of equal key whose right event is not before the left one, and at most ``upper`` after it.
 
@@ -40,9 +42,12 @@ def interval_join(
     and a left row in every bucket its interval touches, so each pair still meets exactly once.
 
     Without ``upper`` every later right row is a partner. On tables adaptive execution splits the
-    partitions of frequent keys; a stream has no such help, and ``salt`` spreads the left rows of a key
-    over that many tasks, each of which gets the key's right rows.
+    partitions of frequent keys; a stream has no such help, and ``salt`` spreads the left rows of each key
+    over that many tasks, each of which gets the key's right rows. ``rows_per_task`` spreads them by the number of rows that
+    the key has had so far, and leaves other keys alone; it is for joins without ``upper``, and on tables does nothing.
     """
+    if rows_per_task is not None and (upper is not None or left_delay is not None or right_delay is not None):
+        raise ValueError("rows_per_task is for joins without a bound and without watermarks")
     if left_delay is not None:
         left = left.withWatermark(left_time, left_delay)
     if right_delay is not None:
@@ -68,6 +73,10 @@ def interval_join(
         right = right.withColumn("__right_salt", F.explode(salts))
         on = on & (F.col("__left_salt") == F.col("__right_salt"))
         helpers += ["__left_salt", "__right_salt"]
+    if rows_per_task is not None and left.isStreaming and right.isStreaming:
+        left, right, meet, added = spread(left, right, left_key, right_key, rows_per_task)
+        on = on & meet
+        helpers += added
     return left.join(right, on & in_time, "inner").drop(*helpers)
 
 

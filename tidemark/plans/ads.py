@@ -13,8 +13,8 @@ CLICK_BOUND = "6 hours"
 DELAY = "10 minutes"
 # Micro-batches that a replayed table is cut into at least, so that state and watermark are at work on small tables too.
 SLICES = 2
-# Tasks that the impressions of one ad are spread over in a stream; each keeps all clicks on the ad.
-SALT = 4
+# Impressions or clicks of one ad beyond which a stream spreads its later impressions; each task then keeps the later clicks on the ad.
+ROWS_PER_TASK = 100_000
 
 
 def _impressions(events: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def ad_click_interval_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def ad_click_join_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table_stream(spark, folder, "events", FILES_PER_BATCH)
-    return as_wall_clock(run_to_table(_join(events, salt=SALT)))
+    return as_wall_clock(run_to_table(_join(events, rows_per_task=ROWS_PER_TASK)))
 
 
 def ad_click_interval_join_stream(spark: SparkSession, folder: str) -> DataFrame:
