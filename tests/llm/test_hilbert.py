@@ -53,6 +53,16 @@ def test_windows_of_clustered_vectors(spark):
     assert recall(found(hilbert.search(df, k=10, block=256)), exact(rows, 10, 20)) >= 0.9
 
 
+def test_queries_are_dealt_out(spark, monkeypatch):
+    """Blocks that many queries look into are compared in several tasks, with the same result."""
+    draw = np.random.default_rng(4)
+    rows = [(i, draw.standard_normal(6).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    once = found(hilbert.search(df, k=5, every=3, block=128))
+    monkeypatch.setattr(hilbert, "LOOKING", 16)
+    assert found(hilbert.search(df, k=5, every=3, block=128)) == once and len(once) == 200
+
+
 def test_ties_copies_and_unusable_vectors(spark):
     rows = [(i, [1.0, 2.0]) for i in range(60)] + [(100, [0.0, 0.0]), (120, None), (140, [1.0, None]), (160, [float("nan"), 1.0]), (180, [float("inf"), 1.0]), (200, [1.0]), (None, [1.0, 1.0]), (61, [3.0, 1.0]), (20, [1.0, 2.0]), (62, [-1.0, 0.5])]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, block string, key int")

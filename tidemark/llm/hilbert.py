@@ -5,7 +5,11 @@ largest inner product is the nearest point. Each of several orderings projects t
 sorts them along a Hilbert curve; Spark's range partitioning cuts an ordering into blocks of neighbouring keys. A query looks
 into its own block and ``window`` blocks either side in every ordering; what all windows find is merged and reranked by
 exact inner products. The window is the narrowest that finds ``recall`` of the true neighbours of a bounded sample
-of queries, for which all rows are compared.
+of queries, for which all rows are compared. Where a window takes in many queries, these are dealt out to several tasks.
+
+Curves narrow the search as far as the vectors have clusters or few directions. On vectors spread evenly over 64 dimensions no window is
+narrow: for a recall of 0.9 the six windows together hold 1.27 times the rows at 20,000 vectors and 1.07 times at 100,000 (24
+orderings: 0.82 and 0.63), by simulation.
 
 Of equal vectors only the ``k`` + 1 with the smallest ids can be in a result, so only these are laid along the curves.
 """
@@ -25,6 +29,8 @@ from tidemark.llm.common import kept, partitions, table
 ORDERINGS, DIMENSIONS, BITS = 6, 8, 6
 #: Rows of a block, about.
 BLOCK = 2048
+#: Queries that look into a block in one task; beyond, they are dealt out, and each deal gets the block's rows.
+LOOKING = 8192
 #: Rows that shifts and scales are fitted on, and queries that the window is fitted on: documented bounds.
 SAMPLE_ROWS, SAMPLE_QUERIES = 2000, 64
 
@@ -218,10 +224,10 @@ def search(
     usable = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), vector.alias("vector")).where(
         F.col("vec_id").isNotNull() & vector.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(vector, lambda x: x != 0)
     )
-    most = usable.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if most is None:
+    length = usable.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    if length is None:
         return vectors.sparkSession.createDataFrame([], _RESULT)
-    same = usable.where(F.size("vector") == most["n"]).mapInArrow(_as_bytes, "vec_id long, vector binary")
+    same = usable.where(F.size("vector") == length["n"]).mapInArrow(_as_bytes, "vec_id long, vector binary")
     rows = kept(same.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
     first = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     index = kept(rows.withColumn("copy", first).where(F.col("copy") <= k + 1).select("vec_id", "vector"), "index")
@@ -236,7 +242,7 @@ def search(
     size = index.select("vector").mapInArrow(lengths, "longest double, n long").agg(F.max("longest").alias("longest"), F.sum("n").alias("n")).first()
     drawn = lambda n, of: F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(min(1.0, n / max(of, 1)) * (1 << 30))
     sample = index.where(drawn(SAMPLE_ROWS, size["n"])).orderBy("vec_id").toArrow()
-    curves = Curves(_matrix(sample["vector"]) if len(sample) else np.zeros((0, most["n"])), size["longest"])
+    curves = Curves(_matrix(sample["vector"]) if len(sample) else np.zeros((0, length["n"])), size["longest"])
     both = index.withColumn("role", F.lit(0)).unionByName(queries.withColumn("role", F.lit(1)))
     orders = both.mapInArrow(lambda b: _orders(b, curves), "ordering int, key long, vec_id long, vector binary, role int")
     asked = queries.count()
@@ -245,10 +251,13 @@ def search(
     placed = orders.repartitionByRange(blocks, "ordering", "key", "vec_id", "role").withColumn("block", F.spark_partition_id())
     placed = kept(placed, "placed")
     window = _window(placed, queries.where(drawn(SAMPLE_QUERIES, asked)), index, k, recall)
-    there = placed.where("role = 0").select("block", "vec_id", "vector")
+    most = placed.where("role = 1").groupBy("block").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    deals = max(1, -(-(2 * window + 1) * most // LOOKING))
+    there = placed.where("role = 0").select("block", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"), "vec_id", "vector")
     near = F.explode(F.sequence(F.col("block") - window, F.col("block") + window))
-    looking = placed.where("role = 1").select(near.alias("at"), F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
-    found = there.groupBy("block").cogroup(looking.groupBy("at")).applyInArrow(_match(k), _FOUND)
+    deal = F.pmod(F.xxhash64("vec_id"), F.lit(deals)).cast("int")
+    looking = placed.where("role = 1").select(near.alias("at"), deal.alias("deal"), F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
+    found = there.groupBy("block", "deal").cogroup(looking.groupBy("at", "deal")).applyInArrow(_match(k), _FOUND)
     return _merged(found, k)
 
 
