@@ -84,3 +84,19 @@ def test_capital_sigma_at_the_end_of_words(text):
 
     want = Tokenizer.from_file(packing.default_tokenizer()).encode(text, add_special_tokens=False).ids
     assert np.frombuffer(packing.tokenize([text], packing.default_tokenizer())[0], "<u4").tolist() == [*want, 0]
+
+
+def test_other_tokenizers_read_whole_texts(spark):
+    """A byte-level one keeps white space and capitals."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Hello World, ok", "", "  two  spaces\n", "été"]
+    tokenizer = Tokenizer.from_file(path)
+    want = [[*tokenizer.encode(text, add_special_tokens=False).ids, 0] for text in texts]
+    assert want[0] == [15496, 2159, 11, 12876, 0]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in packing.tokenize(texts, path)] == want
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tokenizer=path).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == dict(enumerate(want))
+    assert packing._words(packing.default_tokenizer()).by_words

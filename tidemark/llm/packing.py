@@ -11,6 +11,7 @@ only the tasks' counts are summed up.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,6 +31,15 @@ CAPACITY = 2048
 REMEMBERED = 800_000
 #: What may follow a word of letters and is then a token group of its own.
 _TAIL = ".,!?;:%&*$#|"
+# What a tokenizer file says if words between white space can be read one by one, in lower case. Others read whole texts.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 def default_tokenizer() -> str:
@@ -47,6 +57,8 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        says = json.loads(self.tokenizer.to_str())
+        self.by_words = says["normalizer"] == _NORMALIZER and says["pre_tokenizer"] == _PRE_TOKENIZER
 
     def learn(self, words: set[str]) -> None:
         new = set(filterfalse(self.__contains__, words))
@@ -97,9 +109,11 @@ def _split(text: str) -> list[str]:
 
 
 def tokenize(texts: list[str], path: str) -> list[bytes]:
-    """Each text's ids, then id 0. White space always ends a token, so words are looked up one by one."""
+    """Each text's ids, then id 0. Where white space always ends a token, words are looked up one by one."""
     known = _words(path)
     out: list[bytes] = []
+    if not known.by_words:
+        return [np.array([*known.tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes() for text in texts]
     for i in range(0, len(texts), 1000):
         split = [_split(text) for text in texts[i : i + 1000]]
         known.learn(set().union(*split))
