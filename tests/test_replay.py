@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import pane_sums, sliding_avg, windowed_avg, windowed_count, windows_of_panes
-from tidemark.sources import replay_by_number, replay_by_time
+from tidemark.sources import replay, replay_by_number, replay_by_time
 from tidemark.streaming import open_groups, run_to_table, scratch_folder, split_late
 
 START = dt.datetime(2021, 5, 3)
@@ -42,6 +42,26 @@ def test_slices_come_in_order_of_time(spark):
     assert all(max(a) < min(b) for a, b in zip(times, times[1:])) and None in found[0]
 
 
+def test_a_large_table_has_longer_slices(spark, monkeypatch):
+    """However many rows there are, slices are not more; each is read by several tasks."""
+    monkeypatch.setattr(replay, "ROWS_PER_FILE", 20)
+    table = spark.createDataFrame([(i, START + dt.timedelta(minutes=i * 37 % 400), "a", 1.0) for i in range(400)], SCHEMA)
+    stream = replay_by_time(table, "ts", rows_per_slice=10)
+    found = batches(stream)
+    assert 2 <= len(found) <= replay.MOST_SLICES and sum(map(len, found)) == 400
+    assert all(max(a) < min(b) for a, b in zip(found, found[1:]))
+    query = stream.writeStream.format("noop").option("checkpointLocation", scratch_folder(spark, "noop")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert max(p.numInputRows for p in query.recentProgress) >= 3 * 20
+
+
+def test_tables_replayed_together_have_as_many_slices(spark):
+    many = spark.createDataFrame([(i, START + dt.timedelta(minutes=i), "a", 1.0) for i in range(200)], SCHEMA)
+    few = spark.createDataFrame([(i, START + dt.timedelta(minutes=10 * i), "a", 1.0) for i in range(20)], SCHEMA)
+    found = [batches(s) for s in replay.replay_together((many, "ts"), (few, "ts"), rows_per_slice=50)]
+    assert [len(f) for f in found] == [4, 4]
+
+
 def test_nothing_to_replay(spark):
     table = spark.createDataFrame([], SCHEMA)
     assert batches(replay_by_time(table, "ts", at_least=3)) == []

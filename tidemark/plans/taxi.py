@@ -20,7 +20,7 @@ from tidemark.operators import (
     within_bbox,
 )
 from tidemark.schemas import AREA, TAXI_FARE, TAXI_RIDE
-from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_areas, read_table, read_table_stream, replay_by_time
+from tidemark.sources import FILES_PER_BATCH, as_wall_clock, read_areas, read_table, read_table_stream, replay_together
 from tidemark.streaming import await_query, open_groups, run_to_table, scratch_folder, to_parquet_lake
 
 TOWN = BoundingBox(west=0.01, east=0.08, south=0.01, north=0.07)
@@ -97,11 +97,11 @@ def ride_fare_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _replayed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _replayed(spark: SparkSession, folder: str) -> list[DataFrame]:
     """Rides and fares as streams in order of the times they are joined on."""
     lineitem = read_table(spark, folder, "lineitem").select(*LINEITEM_COLUMNS)
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    return replay_by_time(lineitem, "l_shipdate", at_least=SLICES), replay_by_time(orders, "o_orderdate", at_least=SLICES)
+    return replay_together((lineitem, "l_shipdate"), (orders, "o_orderdate"), at_least=SLICES)
 
 
 def ride_fare_join_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,7 +1,7 @@
 from tidemark.sources.areas import malformed_areas, read_areas
 from tidemark.sources.kafka import kafka_options, pack_envelope, read_kafka
 from tidemark.sources.lines import read_lines, read_socket
-from tidemark.sources.replay import replay_by_number, replay_by_time
+from tidemark.sources.replay import replay_by_number, replay_by_time, replay_together
 from tidemark.sources.tables import (
     FILES_PER_BATCH,
     as_instants,
@@ -25,4 +25,5 @@ __all__ = [
     "read_table_stream",
     "replay_by_number",
     "replay_by_time",
+    "replay_together",
 ]
