@@ -2,12 +2,14 @@ import datetime as dt
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from samples import USER_EVENTS, user_line, write_blocks
 from tidemark.operators import decode_user_events, gap_sessions, sessionize, summarize_sessions
 from tidemark.sources import read_lines
+from tidemark.streaming import session_state
 from tidemark.streaming import (
     event_time_sessions,
     open_gap_sessions,
@@ -266,6 +268,29 @@ def test_one_session_through_all_slices(spark, tmp_path):
     assert [(s.user, s.closed_by) for s in left.collect()] == [(2, "open")]
 
 
+def test_keys_of_a_group_share_its_state(spark, tmp_path, monkeypatch):
+    """Of 300 events of many users nearly all wait: the state has few entries for them."""
+    monkeypatch.setattr(session_state, "GROUPS", 3)
+    draw = random.Random(11)
+    events = [(draw.randint(1, 90), START + dt.timedelta(seconds=draw.randint(0, 4000)), i, i % 7 == 0) for i in range(300)]
+    cuts = in_order(events, 2)
+    closed, left = closed_and_open(spark, tmp_path, cuts)
+    with state_store(spark):
+        waiting = state_variable(spark, str(tmp_path / "run"), "waiting").count()
+        under_way = state_variable(spark, str(tmp_path / "run"), "progress").count()
+    assert waiting <= 12 and under_way <= 3
+    assert sorted(map(key, closed.unionByName(left).collect())) == sorted(map(key, brute_force(events)[1]))
+
+
+def test_rows_of_a_group_are_brought_together():
+    batch = [pa.table({"k": k, "g": g, "t": t}).to_batches()[0] for k, g, t in ((["a", None, "a"], [1, 1, 2], [5, 6, 7]), (["a", None], [1, 1], [9, 3]))]
+    whole = pa.Table.from_batches(list(session_state._in_lists(["k", "g"], ["t"], "t", 100)(batch))).to_pylist()
+    assert sorted(((r["by_k"], r["by_g"], sorted(r["t"]), r["latest"]) for r in whole), key=repr) == sorted(
+        [("a", 1, [5, 9], 9), ("a", 2, [7], 7), (None, 1, [3, 6], 6)], key=repr
+    )
+    assert len(pa.Table.from_batches(list(session_state._in_lists(["k", "g"], ["t"], "t", 3)(batch)))) == 5
+
+
 def test_a_frequent_key_is_spread_over_tasks(spark, tmp_path):
     """A third of all rows are one user's: nothing is closed yet, and they wait in several partitions of the state."""
     draw = random.Random(8)

@@ -65,6 +65,8 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> dict[s
         "spark.sql.shuffle.partitions": str(partitions or set_for_data),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Nobody reads how many rows there are, and to keep count every write looks its key up first.
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
         # A task puts the sessions of a frequent key together before the shuffle, and sends one row for each.
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
