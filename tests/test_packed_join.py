@@ -1,0 +1,118 @@
+"""Bounded joins of streams whose rows wait in the state by groups of keys."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from test_joins import START, brute_force, frames, join, pairs, sides, stream_of
+from tidemark.operators import join_rides_with_fares
+from tidemark.operators.packed_join import packed_join
+from tidemark.streaming import run_to_table, scratch_folder
+from tidemark.streaming.state import operators, state_variable
+
+LEFT, RIGHT = "lk int, lt timestamp, l int", "rk int, rt timestamp, r int"
+
+
+def streams(spark, folder, left, right):
+    return stream_of(spark, folder, left, LEFT, "left"), stream_of(spark, folder, right, RIGHT, "right")
+
+
+def packed(left, right, upper, delay="10 minutes", **how):
+    left, right = left.withWatermark("lt", delay), right.withWatermark("rt", delay)
+    return packed_join(left, right, [("lk", "rk")], "lt", "rt", upper, True, **how).where("lk = rk")
+
+
+@pytest.mark.parametrize("how", [{}, {"lower_inclusive": False}, {"time_buckets": False}, {"salt": 3}])
+def test_packed_stream_equals_table(spark, tmp_path, how):
+    left, right = sides(spark, 3, 150)
+    how = dict(upper="7 minutes", left_delay="10 minutes", right_delay="10 minutes", packed=True, **how)
+    joined = join(*streams(spark, tmp_path, left, right), **how)
+    assert joined.columns == ["lk", "lt", "l", "rk", "rt", "r"]
+    want = brute_force(left, right, dt.timedelta(minutes=7), how.get("lower_inclusive", True))
+    assert pairs(run_to_table(joined)) == want and want
+    assert pairs(join(*frames(spark, left, right), **how)) == want
+
+
+def test_a_frequent_key_is_held_in_pieces(spark, tmp_path):
+    """One key has a third of the rows, many times what is held together."""
+    left, right = sides(spark, 4, 300)
+    joined = packed(*streams(spark, tmp_path, left, right), 45 * 60 * 10**6, groups=2, held=16)
+    assert pairs(run_to_table(joined)) == brute_force(left, right, dt.timedelta(minutes=45))
+
+
+def test_rows_wait_together_and_are_forgotten(spark, tmp_path):
+    left, right = sides(spark, 5, 300)
+    entries = {}
+    for name, upper in (("long", dt.timedelta(days=9)), ("short", dt.timedelta(minutes=5))):
+        run = scratch_folder(spark, "packed")
+        joined = packed(*streams(spark, tmp_path / name, left, right), int(upper.total_seconds()) * 10**6, groups=4)
+        assert pairs(run_to_table(joined, folder=run)) == brute_force(left, right, upper)
+        waiting = state_variable(spark, run, "waiting")
+        entries[name] = [] if waiting is None else waiting.collect()
+    assert 0 < len(entries["long"]) <= 8  # of 300 left rows that all wait
+    assert sum(len(str(e)) for e in entries["short"]) < sum(len(str(e)) for e in entries["long"]) / 2
+
+
+def test_late_rows_are_left_out(spark, tmp_path):
+    times = [0, 60, 120, 5]  # minutes; the last one is late by the third
+    left = [(1, START + dt.timedelta(minutes=m), i) for i, m in enumerate(times)]
+    right = [(1, START + dt.timedelta(minutes=m + 1), i) for i, m in enumerate(times)]
+    folders = []
+    for name, rows, schema in (("left", left, LEFT), ("right", right, RIGHT)):
+        folders.append(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}*"))
+    run = scratch_folder(spark, "packed")
+    joined = packed(*folders, 2 * 60 * 10**6, delay="1 minute")
+    for i in range(4):
+        for name, rows, schema in (("left", left, LEFT), ("right", right, RIGHT)):
+            spark.createDataFrame([rows[i]], schema).write.parquet(f"{tmp_path}/{name}{i}")
+        got = pairs(run_to_table(joined, folder=run))
+    assert got == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_columns_come_through_as_they_are(spark, tmp_path):
+    """Large numbers beside nulls, times beyond what nanoseconds reach, nested columns."""
+    schema = "k string, t timestamp, n long, d decimal(30,5), s string, x double, f float, b boolean, day date, z binary, far timestamp, local timestamp_ntz, a array<long>, p struct<q: int, w: array<timestamp>>, m map<string, long>"
+    far = dt.datetime(9999, 12, 31, 23, 59, 59, 999999)
+    full = ("a", START, 2**62 + 1, None, "é", float("nan"), 0.1, True, dt.date(1, 1, 1), b"\x00", far, far, [2**62 + 1, None], (1, [far, None]), {"u": None})
+    empty = ("a", START, *[None] * 13)
+    rows = [full, empty]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, schema).write.parquet(path)
+
+    def both(source):
+        left = source.select(*(F.col(c).alias(f"l_{c}") for c in source.columns)).withWatermark("l_t", "1 hour")
+        right = source.select(*(F.col(c).alias(f"r_{c}") for c in source.columns)).withWatermark("r_t", "1 hour")
+        return left, right
+
+    stream = spark.readStream.schema(schema).parquet(path)
+    got = run_to_table(packed_join(*both(stream), [("l_k", "r_k")], "l_t", "r_t", 10**6, True))
+    left, right = both(spark.read.parquet(path))
+    want = left.join(right, F.col("l_k") == F.col("r_k"))
+    assert got.dtypes == want.dtypes
+    text = [F.to_json(F.struct(*got.columns)).alias("row"), F.hash(*(c for c in got.columns if not c.endswith("_m"))).alias("h")]
+    assert sorted(got.select(*text).collect()) == sorted(want.select(*text).collect()) and got.count() == 4
+
+
+def test_rides_meet_fares_without_an_entry_for_each(spark, tmp_path):
+    draw = random.Random(7)
+    hours = lambda n: START + dt.timedelta(hours=n)
+    fares = [(i, hours(i % 50), 1.0, 2.0) for i in range(200)]
+    rides = [(draw.randint(0, 199), hours(draw.randint(0, 60)), i, i, 0.1, 0.2, 0.3, 0.4) for i in range(200)]
+    fare, ride = "rideId long, startTime timestamp, totalFare double, tip double", (
+        "rideId long, endTime timestamp, driverId long, taxiId long, startLon double, startLat double, endLon double, endLat double"
+    )
+    run = scratch_folder(spark, "rides")
+    got = run_to_table(join_rides_with_fares(stream_of(spark, tmp_path, rides, ride, "rides"), stream_of(spark, tmp_path, fares, fare, "fares"), upper="9 hours"), folder=run)
+    want = join_rides_with_fares(spark.createDataFrame(rides, ride), spark.createDataFrame(fares, fare), upper="9 hours")
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and got.count()
+    assert [o.operatorName for o in operators(spark, run)] == ["transformWithStateInPandasExec"]
+
+
+def test_packed_needs_a_bound_and_watermarks(spark):
+    left, right = frames(spark, *sides(spark, 6, 10))
+    with pytest.raises(ValueError, match="with a bound"):
+        join(left, right, packed=True)
+    with pytest.raises(ValueError, match="both sides"):
+        packed_join(left, left, [("lk", "lk")], "lt", "lt", 1, True)

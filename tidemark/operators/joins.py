@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import interval_micros
+from tidemark.operators.packed_join import packed_join
 from tidemark.operators.spread import spread
 
 # A bucket is this many times as long as the join bound: longer buckets mean fewer copies of the left
@@ -31,6 +32,7 @@ def interval_join(
     time_buckets: bool = True,
     salt: int = 1,
     rows_per_task: int | None = None,
+    packed: bool = False,
 ) -> DataFrame:
     """Pairs of equal key whose right event is not before the left one, and at most ``upper`` after it.
 
@@ -45,7 +47,12 @@ def interval_join(
     partitions of frequent keys; a stream has no such help, and ``salt`` spreads the left rows of each key
     over that many tasks, each of which gets the key's right rows. ``rows_per_task`` spreads them by the number of rows that
     the key has had so far, and leaves other keys alone; it is for joins without ``upper``, and on tables does nothing.
+
+    ``packed`` keeps the rows of streams by groups of keys (``packed_join``), which costs a fraction of a state entry for each. It is for joins with
+    ``upper`` and both delays, needs state in RocksDB, and the result has a watermark on the right time only; on tables it does nothing.
     """
+    if packed and None in (upper, left_delay, right_delay):
+        raise ValueError("packed is for joins with a bound and with watermarks")
     if rows_per_task is not None and (upper is not None or left_delay is not None or right_delay is not None):
         raise ValueError("rows_per_task is for joins without a bound and without watermarks")
     if left_delay is not None:
@@ -54,6 +61,7 @@ def interval_join(
         right = right.withWatermark(right_time, right_delay)
 
     on = F.col(left_key) == F.col(right_key)
+    equal = [(left_key, right_key)]
     helpers = []
     start, event = F.col(left_time), F.col(right_time)
     in_time = event >= start if lower_inclusive else event > start
@@ -67,16 +75,21 @@ def interval_join(
             right = right.withColumn("__right_bucket", _bucket(event, width))
             on = on & (F.col("__left_bucket") == F.col("__right_bucket"))
             helpers += ["__left_bucket", "__right_bucket"]
+            equal.append(("__left_bucket", "__right_bucket"))
     if salt > 1:
         left = left.withColumn("__left_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)))
         salts = F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))
         right = right.withColumn("__right_salt", F.explode(salts))
         on = on & (F.col("__left_salt") == F.col("__right_salt"))
         helpers += ["__left_salt", "__right_salt"]
+        equal.append(("__left_salt", "__right_salt"))
     if rows_per_task is not None and left.isStreaming and right.isStreaming:
         left, right, meet, added = spread(left, right, left_key, right_key, rows_per_task)
         on = on & meet
         helpers += added
+    if packed and left.isStreaming and right.isStreaming:
+        met = packed_join(left, right, equal, left_time, right_time, interval_micros(upper), lower_inclusive)
+        return met.where(on & in_time).drop(*helpers)
     return left.join(right, on & in_time, "inner").drop(*helpers)
 
 
@@ -90,5 +103,5 @@ def join_rides_with_fares(
     )
     return interval_join(
         fares, rides, "__fare_ride", "rideId", "startTime", "endTime",
-        upper=upper, lower_inclusive=False, left_delay=delay, right_delay=delay,
+        upper=upper, lower_inclusive=False, left_delay=delay, right_delay=delay, packed=True,
     ).drop("__fare_ride")

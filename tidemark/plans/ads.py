@@ -32,7 +32,7 @@ def _clicks(events: DataFrame) -> DataFrame:
     )
 
 
-def _join(events: DataFrame, **how: str | int) -> DataFrame:
+def _join(events: DataFrame, **how: str | int | bool) -> DataFrame:
     return interval_join(
         _impressions(events), _clicks(events),
         "impressionAdId", "clickAdId", "impressionTime", "clickTime", **how,
@@ -54,7 +54,7 @@ def ad_click_join_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def ad_click_interval_join_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = replay_by_time(read_table(spark, folder, "events"), "ts", at_least=SLICES)
-    joined = _join(events, upper=CLICK_BOUND, left_delay=DELAY, right_delay=DELAY)
+    joined = _join(events, upper=CLICK_BOUND, left_delay=DELAY, right_delay=DELAY, packed=True)
     return as_wall_clock(run_to_table(joined))
 
 
@@ -69,7 +69,7 @@ def _topic(events: DataFrame, event_type: str, schema: StructType) -> DataFrame:
     return pack_envelope(rows, event_type, F.to_json(F.struct(*fields)), F.col("ts"), F.col("event_id"))
 
 
-def _from_messages(events: DataFrame, **how: str) -> DataFrame:
+def _from_messages(events: DataFrame, **how: str | bool) -> DataFrame:
     """The join on messages of both kinds, decoded by their schemas."""
     seen = decode_json(_topic(events, "view", AD_IMPRESSION), AD_IMPRESSION, keep=("offset",)).select(
         F.col("adId").cast("long").alias("impressionAdId"),
@@ -91,5 +91,5 @@ def ad_click_from_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def ad_click_from_messages_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = replay_by_time(read_table(spark, folder, "events"), "ts", at_least=SLICES)
-    joined = _from_messages(events, left_delay=DELAY, right_delay=DELAY)
+    joined = _from_messages(events, left_delay=DELAY, right_delay=DELAY, packed=True)
     return as_wall_clock(run_to_table(joined))
