@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_joins import START, brute_force, frames, join, pairs, sides, stream_of
 from tidemark.operators import join_rides_with_fares
 from tidemark.operators.packed_join import packed_join
+from tidemark.plans import taxi
 from tidemark.streaming import run_to_table, scratch_folder
 from tidemark.streaming.state import operators, state_variable
 
@@ -110,6 +111,22 @@ def test_rides_meet_fares_without_an_entry_for_each(spark, tmp_path):
     assert [o.operatorName for o in operators(spark, run)] == ["transformWithStateInPandasExec"]
 
 
+def test_tips_of_a_stream_keep_no_entry_for_each_ride(spark, tmp_path, monkeypatch):
+    """Panes that the watermark closed and those read from the state behind a packed join are the table's."""
+    draw = random.Random(8)
+    day = lambda n: dt.datetime(1996, 1, 1) + dt.timedelta(days=n)
+    rides = [(draw.randint(0, 99), i, draw.choice("FFO"), day(draw.randint(0, 900)), i, i, draw.randint(0, 10) / 100, draw.randint(0, 8) / 100) for i in range(600)]
+    fares = [(draw.randint(0, 99), day(draw.randint(0, 900)), float(i)) for i in range(600)]
+    ride = "l_orderkey long, l_linenumber int, l_linestatus string, l_shipdate timestamp_ntz, l_suppkey long, l_partkey long, l_discount double, l_tax double"
+    spark.createDataFrame([*rides, (1, 1, "F", None, 1, 1, 0.05, 0.05)], ride).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([*fares, (1, None, 1.0)], "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    runs = []
+    monkeypatch.setattr(taxi, "scratch_folder", lambda *a: runs.append(scratch_folder(*a)) or runs[-1])
+    got, want = taxi.tips_sliding_stream(spark, str(tmp_path)).collect(), taxi.tips_sliding(spark, str(tmp_path)).collect()
+    assert sorted(got) == sorted(want) and want
+    assert {o.operatorName for o in operators(spark, runs[0])} == {"transformWithStateInPandasExec", "stateStoreSave"}
+
+
 def test_packed_needs_a_bound_and_watermarks(spark):
     left, right = frames(spark, *sides(spark, 6, 10))
     with pytest.raises(ValueError, match="with a bound"):
